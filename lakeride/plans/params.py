@@ -18,4 +18,10 @@ FUTURE_AS_OF = "2099-01-01 02:00:00"    # freshness bound 2099-01-01 -> fails
 METRIC_STEP = "1m"
 INCREASE_RANGE = "1h"
 INCREASE_STEP = "15m"
+# sf0.01 has ~14 events per hour spread over 24 task series, so the
+# catalogue's rate and firing examples use ranges that hold several samples
+RATE_RANGE = "1h"
+FIRING_RANGE = "2h"
+FIRING_THRESHOLD = 1
+FIRING_FOR = "30m"
 RETENTION_AS_OF = "2024-02-01 01:30:00"  # expire ledger versions older than 1 h

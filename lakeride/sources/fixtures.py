@@ -64,3 +64,112 @@ def raw_trip_json(events: DataFrame) -> DataFrame:
 
 def raw_trip_json_from(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_trip_json(load_table(spark, sf_dir, "events"))
+
+
+# ---- metric series ----------------------------------------------------------
+# Label values used by the derived series (the scheduler's DAG
+# and task ids, the scrape jobs, the consumer group and topic).
+DAG_IDS = ["gold_aggregation", "test_alert_scenarios", "test_dq_and_batch"]
+TASK_IDS = ["dq_check_freshness", "dq_check_invalid_ratio",
+            "dq_check_null_critical_fields", "insert_gold_trips_hourly"]
+SCRAPE_JOBS = ["airflow", "flink-jobmanager", "flink-taskmanager", "kafka",
+               "minio-cluster", "prometheus"]
+CONSUMER_GROUP = "flink-etl-pipeline"
+TOPIC = "raw.trip.events"
+
+
+def _pick(values: list[str], idx: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
+
+
+def _hour_chunk() -> Column:
+    return F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(3_600_000_000))
+
+
+def metric_samples(events: DataFrame) -> DataFrame:
+    """Labelled samples ``(metric, labels, ts, value)`` derived from events.
+
+    Every event finishes one task (a counter per dag/task/state that resets
+    at midnight), and adds one family-specific sample chosen by event_type
+    (see FIXTURES.md §5). Running counts and sums are chunked by hour so a
+    hot series is not ordered in a single task.
+    """
+    from ..functions.runs import running_count, running_sum
+
+    eid = F.col("event_id")
+    base = events.select("event_id", "ts", "event_type", "value")
+
+    finish = base.select(
+        "event_id", "ts",
+        _pick(DAG_IDS, eid % 3).alias("dag_id"),
+        _pick(TASK_IDS, eid % 4).alias("task_id"),
+        F.when(F.col("event_type") == "error", "failed").otherwise("success").alias("state"),
+        F.to_date("ts").alias("day"))
+    finish = running_count(finish, ["dag_id", "task_id", "state", "day"], ["ts", "event_id"],
+                           _hour_chunk(), "n")
+    finish = finish.select(
+        F.lit("airflow_task_finish_total").alias("metric"),
+        F.create_map(F.lit("dag_id"), "dag_id", F.lit("state"), "state",
+                     F.lit("task_id"), "task_id").alias("labels"),
+        "ts", F.col("n").cast("double").alias("value"))
+
+    lag = base.filter(F.col("event_type") == "click").select(
+        F.lit("kafka_consumergroup_lag").alias("metric"),
+        F.create_map(F.lit("consumergroup"), F.lit(CONSUMER_GROUP),
+                     F.lit("partition"), (eid % 3).cast("string"),
+                     F.lit("topic"), F.lit(TOPIC)).alias("labels"),
+        "ts", (F.col("value") * 100).alias("value"))
+
+    up = base.filter(F.col("event_type") == "view").select(
+        F.lit("up").alias("metric"),
+        F.create_map(F.lit("job"), _pick(SCRAPE_JOBS, eid % 6)).alias("labels"),
+        "ts", F.when(F.col("value") < 1, 0.0).otherwise(1.0).alias("value"))
+
+    running = base.filter(F.col("event_type") == "purchase").select(
+        F.lit("flink_jobmanager_numRunningJobs").alias("metric"),
+        F.create_map(F.lit("job"), F.lit("flink-jobmanager")).alias("labels"),
+        "ts", F.when(F.col("value") < 5, 0.0).otherwise(1.0).alias("value"))
+
+    dur = base.filter(F.col("event_type") == "signup").select(
+        "event_id", "ts", "value",
+        F.when(eid % 2 == 0, "gold_aggregation").otherwise("test_dq_and_batch").alias("dag_id"))
+    # summed in whole cents so every engine gets the same exact total
+    cents = F.round(F.col("value") * 100).cast("long")
+    dur = running_sum(dur, ["dag_id"], ["ts", "event_id"], cents, _hour_chunk(), "dsum")
+    dur = running_count(dur, ["dag_id"], ["ts", "event_id"], _hour_chunk(), "dcount")
+    dur_labels = F.create_map(F.lit("dag_id"), "dag_id",
+                              F.lit("task_id"), F.lit("insert_gold_trips_hourly"))
+    dur_sum = dur.select(F.lit("airflow_task_duration_seconds_sum").alias("metric"),
+                         dur_labels.alias("labels"), "ts", (F.col("dsum") / 100.0).alias("value"))
+    dur_cnt = dur.select(F.lit("airflow_task_duration_seconds_count").alias("metric"),
+                         dur_labels.alias("labels"), "ts", F.col("dcount").cast("double").alias("value"))
+
+    restarts = base.filter(F.col("event_type") == "error").select(
+        "event_id", "ts", F.to_date("ts").alias("day"))
+    restarts = running_count(restarts, ["day"], ["ts", "event_id"], _hour_chunk(), "n").select(
+        F.lit("flink_jobmanager_job_numRestarts").alias("metric"),
+        F.create_map(F.lit("job"), F.lit("flink-jobmanager")).alias("labels"),
+        "ts", F.col("n").cast("double").alias("value"))
+
+    return (finish.unionByName(lag).unionByName(up).unionByName(running)
+            .unionByName(dur_sum).unionByName(dur_cnt).unionByName(restarts))
+
+
+def statsd_lines(events: DataFrame) -> DataFrame:
+    """Raw StatsD metric names ``(name, ts, value)``, one per event, covering
+    every mapping rule plus names that must fall through to the drop rule."""
+    eid = F.col("event_id")
+    dag = _pick(DAG_IDS, eid % 3)
+    task = _pick(TASK_IDS, F.floor(eid / 8) % 4)
+    state = F.when(F.col("event_type") == "error", "failed").otherwise("success")
+    kind = eid % 8
+    name = (F.when(kind == 0, F.concat_ws(".", F.lit("airflow.ti.finish"), dag, task, state))
+            .when(kind == 1, F.concat_ws(".", F.lit("airflow.ti.start"), dag, task))
+            .when(kind == 2, F.concat_ws(".", F.lit("airflow.dag"), dag, task, F.lit("duration")))
+            .when(kind == 3, F.concat_ws(".", F.lit("airflow.dagrun.duration"), state, dag))
+            .when(kind == 4, F.lit("airflow.scheduler.tasks.running"))
+            .when(kind == 5, F.lit("airflow.dag_processing.total_parse_time"))
+            .when(kind == 6, F.concat_ws(".", F.lit("airflow.ti.finish"), dag, task, state, F.lit("extra")))
+            .otherwise(F.concat_ws(".", F.lit("flink"), F.col("event_type"), F.lit("records"))))
+    value = F.when(kind.isin(0, 1, 6), F.lit(1.0)).otherwise(F.col("value"))
+    return events.select(name.alias("name"), "ts", value.alias("value"))
