@@ -28,26 +28,37 @@ def _cols(names: Sequence[str]) -> list[Column]:
     return [F.col(c) for c in names]
 
 
-def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                value: Column, chunk: Column, out: str) -> DataFrame:
-    """Inclusive running sum of ``value`` per ``keys`` in ``order``.
+def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                 values: dict[str, Column], chunk: Column) -> DataFrame:
+    """Inclusive running sums of several ``values`` per ``keys`` in ``order``.
 
     ``chunk`` must be non-decreasing along ``order`` within a key (e.g. the
     hour or date of the ordering timestamp). Ties in ``order`` must be broken
-    by the caller for a deterministic result.
+    by the caller for a deterministic result. Keys must be non-NULL (they
+    are equi-joined).
     """
     keys = list(keys)
-    d = df.withColumn(_CHUNK, chunk).withColumn("_v", value)
+    names = list(values)
+    d = df.withColumn(_CHUNK, chunk)
+    for n in names:
+        d = d.withColumn(f"_v_{n}", values[n])
     w_local = (Window.partitionBy(*keys, _CHUNK).orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = d.withColumn("_local", F.sum("_v").over(w_local))
-    totals = d.groupBy(*keys, _CHUNK).agg(F.sum("_v").alias("_total"))
+    local = d.select("*", *[F.sum(f"_v_{n}").over(w_local).alias(f"_l_{n}") for n in names])
+    totals = d.groupBy(*keys, _CHUNK).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in names])
     w_chunks = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, _CHUNK,
-                            F.coalesce(F.sum("_total").over(w_chunks), F.lit(0)).alias("_offset"))
-    return (local.join(offsets, [*keys, _CHUNK], "inner")
-            .withColumn(out, F.col("_offset") + F.col("_local"))
-            .drop("_v", "_local", "_offset", _CHUNK))
+    offsets = totals.select(*keys, _CHUNK, *[
+        F.coalesce(F.sum(f"_t_{n}").over(w_chunks), F.lit(0)).alias(f"_o_{n}") for n in names])
+    joined = local.join(offsets, [*keys, _CHUNK], "inner")
+    return joined.select(
+        *[c for c in df.columns],
+        *[(F.col(f"_o_{n}") + F.col(f"_l_{n}")).alias(n) for n in names])
+
+
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                value: Column, chunk: Column, out: str) -> DataFrame:
+    """Inclusive running sum of one value (see :func:`running_sums`)."""
+    return running_sums(df, keys, order, {out: value}, chunk)
 
 
 def running_count(df: DataFrame, keys: Sequence[str], order: Sequence[str],

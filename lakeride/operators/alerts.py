@@ -125,16 +125,75 @@ def rule_vector(samples: DataFrame, rule: AlertRule, step: str = "1m") -> DataFr
     return vec.select("metric", "labels_key", "eval_ts", "value")
 
 
-def alert_rules(samples: DataFrame, rules=ALERT_RULES, step: str = "1m") -> DataFrame:
-    """All rules -> one frame of firing intervals with the rule's labels."""
+def _any_matcher(rules) -> Column:
+    cond = F.lit(False)
+    for r in rules:
+        c = F.lit(True)
+        for k, spec in r.matchers.items():
+            c = c & M.matcher(k, spec)
+        cond = cond | c
+    return cond
+
+
+def _rule_filter(rule: AlertRule) -> Column:
+    c = F.lit(True)
+    for k, spec in rule.matchers.items():
+        c = c & M.matcher(k, spec)
+    return c
+
+
+def rule_vectors(samples: DataFrame, rules=ALERT_RULES, step: str = "1m") -> DataFrame:
+    """Active steps of every rule -> (alertname, severity, component,
+    labels_key, eval_ts, _for_steps).
+
+    Rules on the same metric share work: one selection (union of their
+    matchers), one reset-adjusted pass for all range rules and one vector
+    per distinct range. Each vector row is then tagged with the rules whose
+    matchers and threshold it satisfies (an explode over a short array), so
+    the vector is computed and referenced once however many rules use it.
+    """
+    s = seconds(step)
+    by_metric: dict[str, list[AlertRule]] = {}
+    for r in rules:
+        by_metric.setdefault(r.metric, []).append(r)
+    tag_t = "struct<alertname:string,severity:string,component:string,_for_steps:int>"
+    parts = []
+    for metric, group in by_metric.items():
+        sel = M.with_series(M.select_series(samples, metric).filter(_any_matcher(group)))
+        by_range: dict[str | None, list[AlertRule]] = {}
+        for r in group:
+            by_range.setdefault(r.range_, []).append(r)
+        adj = M.reset_adjusted(sel) if any(k is not None for k in by_range) else None
+        for rng, rs in by_range.items():
+            vec = (M.increase_from_adjusted(adj, rng, step).withColumnRenamed("increase", "value")
+                   if rng else M.instant_last(sel, step))
+            tags = F.array(*[
+                F.when(_rule_filter(r) & _cmp(F.col("value"), r.op, r.threshold),
+                       F.struct(F.lit(r.name).alias("alertname"), F.lit(r.severity).alias("severity"),
+                                F.lit(r.component).alias("component"),
+                                F.lit(math.ceil(seconds(r.for_) / s)).alias("_for_steps")))
+                .otherwise(F.lit(None).cast(tag_t)) for r in rs])
+            parts.append(vec.select("labels_key", "eval_ts",
+                                    F.explode(F.filter(tags, lambda x: x.isNotNull())).alias("_r"))
+                         .select("_r.alertname", "_r.severity", "_r.component", "labels_key", "eval_ts",
+                                 "_r._for_steps"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def alert_rules(samples: DataFrame, rules=ALERT_RULES, step: str = "1m",
+                materialize: bool = False) -> DataFrame:
+    """All rules -> one frame of firing intervals with the rule's labels.
+
+    ``materialize`` checkpoints the active steps (reliable checkpoint in the
+    shared checkpoint folder) before the islands pass: the expensive vectors
+    are then neither recomputed after a lost executor nor re-planned."""
     s = seconds(step)
-    active = None
-    for rule in rules:
-        a = threshold_state(rule_vector(samples, rule, step), rule.op, rule.threshold).select(
-            F.lit(rule.name).alias("alertname"), F.lit(rule.severity).alias("severity"),
-            F.lit(rule.component).alias("component"), "labels_key", "eval_ts",
-            F.lit(math.ceil(seconds(rule.for_) / s)).alias("_for_steps"))
-        active = a if active is None else active.unionByName(a)
+    active = rule_vectors(samples, rules, step)
+    if materialize:
+        active = active.checkpoint()
     keys = ["alertname", "severity", "component", "labels_key", "_for_steps"]
     isl = islands(active.withColumn("_k", _step_index(F.col("eval_ts"), s)), keys, "_k")
     return (isl.filter(F.col("start_k") + F.col("_for_steps") <= F.col("end_k"))

@@ -29,9 +29,11 @@ def decode_trip_json(raw: DataFrame, value_col: str = "value",
     so quoted numbers are recovered instead of nulled.
     """
     schema = raw_trip_schema(numeric_as_string=coerce_numeric_strings)
-    parsed = raw.select(*keep, F.from_json(F.col(value_col).cast("string"), schema,
-                                           {"mode": "PERMISSIVE"}).alias("_r"))
-    out = parsed.select(*keep, "_r.*")
+    parsed = F.from_json(F.col(value_col).cast("string"), schema, {"mode": "PERMISSIVE"})
+    # Parse inside a generator: predicates on the parsed fields (the trip_id
+    # filters) cannot be pushed below it, so each message is parsed once
+    # instead of once for the filter and again for the projection.
+    out = raw.select(*keep, F.inline(F.array(parsed)))
     if coerce_numeric_strings:
         out = (out.withColumn("customer_id", F.col("customer_id").try_cast("bigint"))
                   .withColumn("transactionRecord", F.col("transactionRecord").withField(

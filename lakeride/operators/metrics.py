@@ -137,13 +137,12 @@ def reset_adjusted(samples: DataFrame, chunk: str | int = "1h") -> DataFrame:
             .drop("_c", "_delta", "_local", "_offset"))
 
 
-def counter_increase(samples: DataFrame, range_: str = "1h", step: str = "1m",
-                     min_samples: int = 2, chunk: str = "1h") -> DataFrame:
-    """``increase(x[range])`` per series at every step -> (metric, labels,
-    labels_key, eval_ts, increase, samples)."""
+def increase_from_adjusted(adj: DataFrame, range_: str = "1h", step: str = "1m",
+                           min_samples: int = 2) -> DataFrame:
+    """Increase vector from samples that already carry ``adj`` (several
+    ranges can share one :func:`reset_adjusted` pass)."""
     r, s = seconds(range_), seconds(step)
     g, R, S = _grid(r, s)
-    adj = reset_adjusted(samples, chunk)
     pre = (adj.withColumn("_b", _bucket(g))
            .groupBy(*SERIES, "_b")
            .agg(F.min("adj").alias("_lo_adj"), F.max("adj").alias("_hi_adj"),
@@ -156,6 +155,13 @@ def counter_increase(samples: DataFrame, range_: str = "1h", step: str = "1m",
             .select("metric", "labels", "labels_key", _eval_ts(s), "increase", "samples"))
 
 
+def counter_increase(samples: DataFrame, range_: str = "1h", step: str = "1m",
+                     min_samples: int = 2, chunk: str = "1h") -> DataFrame:
+    """``increase(x[range])`` per series at every step -> (metric, labels,
+    labels_key, eval_ts, increase, samples)."""
+    return increase_from_adjusted(reset_adjusted(samples, chunk), range_, step, min_samples)
+
+
 def counter_rate(samples: DataFrame, range_: str = "5m", step: str = "1m", **kw) -> DataFrame:
     """Per-second rate: increase / range seconds."""
     inc = counter_increase(samples, range_, step, **kw)

@@ -8,11 +8,16 @@ from ..operators import alerts as A
 from ..operators import metrics as M
 from ..sources import fixtures as FX
 from . import params as P
+from ..session import checkpoint_root
 from .catalog import register
 
 
 def samples(spark, d):
-    return M.with_series(FX.metric_samples(FX.load_table(spark, d, "events")))
+    """Derived samples, materialised once with a reliable checkpoint in the
+    shared checkpoint folder: the ordered counters behind them are not
+    recomputed by every consumer and the downstream plans stay small."""
+    checkpoint_root(spark)
+    return M.with_series(FX.metric_samples(FX.load_table(spark, d, "events", spread=False))).checkpoint()
 
 
 def _vec_cols(df, value="value"):
@@ -114,7 +119,7 @@ def _firing_intervals(spark, d):
 
 
 def _alerts(spark, d):
-    return A.alert_rules(samples(spark, d), A.ALERT_RULES, P.METRIC_STEP)
+    return A.alert_rules(samples(spark, d), A.ALERT_RULES, P.METRIC_STEP, materialize=True)
 
 
 @register("alert_rules")

@@ -29,6 +29,8 @@ def build_session(app: str = "lakeride", master: str | None = None,
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true"))
+    # only effective when this call launches the JVM (local mode / tests)
+    builder = builder.config("spark.driver.memory", os.environ.get("LAKERIDE_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()

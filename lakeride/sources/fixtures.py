@@ -13,8 +13,12 @@ from pyspark.sql import functions as F
 from ..functions.timecols import CREATED_AT_RENDER
 
 
-def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def load_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """Scan one driver table; ``spread`` round-robins an under-split scan
+    (only worth it when row-wise work follows before the first shuffle)."""
+    from .tables import spread as _spread
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _spread(df) if spread else df
 
 
 def _pad(col: Column, width: int) -> Column:
@@ -90,69 +94,70 @@ def metric_samples(events: DataFrame) -> DataFrame:
     """Labelled samples ``(metric, labels, ts, value)`` derived from events.
 
     Every event finishes one task (a counter per dag/task/state that resets
-    at midnight), and adds one family-specific sample chosen by event_type
-    (see FIXTURES.md §5). Running counts and sums are chunked by hour so a
-    hot series is not ordered in a single task.
+    at midnight) and adds one family-specific sample chosen by event_type
+    (see FIXTURES.md §5). All cumulative families go through one chunked
+    running-sum pass (hour chunks), so a hot series is never ordered in a
+    single task and the ordered work is planned once.
     """
-    from ..functions.runs import running_count, running_sum
+    from ..functions.runs import running_sums
 
     eid = F.col("event_id")
+    etype = F.col("event_type")
+    no_reset = F.lit("1970-01-01").cast("date")
     base = events.select("event_id", "ts", "event_type", "value")
 
     finish = base.select(
-        "event_id", "ts",
-        _pick(DAG_IDS, eid % 3).alias("dag_id"),
-        _pick(TASK_IDS, eid % 4).alias("task_id"),
-        F.when(F.col("event_type") == "error", "failed").otherwise("success").alias("state"),
-        F.to_date("ts").alias("day"))
-    finish = running_count(finish, ["dag_id", "task_id", "state", "day"], ["ts", "event_id"],
-                           _hour_chunk(), "n")
-    finish = finish.select(
-        F.lit("airflow_task_finish_total").alias("metric"),
-        F.create_map(F.lit("dag_id"), "dag_id", F.lit("state"), "state",
-                     F.lit("task_id"), "task_id").alias("labels"),
-        "ts", F.col("n").cast("double").alias("value"))
-
-    lag = base.filter(F.col("event_type") == "click").select(
-        F.lit("kafka_consumergroup_lag").alias("metric"),
-        F.create_map(F.lit("consumergroup"), F.lit(CONSUMER_GROUP),
-                     F.lit("partition"), (eid % 3).cast("string"),
-                     F.lit("topic"), F.lit(TOPIC)).alias("labels"),
-        "ts", (F.col("value") * 100).alias("value"))
-
-    up = base.filter(F.col("event_type") == "view").select(
-        F.lit("up").alias("metric"),
-        F.create_map(F.lit("job"), _pick(SCRAPE_JOBS, eid % 6)).alias("labels"),
-        "ts", F.when(F.col("value") < 1, 0.0).otherwise(1.0).alias("value"))
-
-    running = base.filter(F.col("event_type") == "purchase").select(
-        F.lit("flink_jobmanager_numRunningJobs").alias("metric"),
-        F.create_map(F.lit("job"), F.lit("flink-jobmanager")).alias("labels"),
-        "ts", F.when(F.col("value") < 5, 0.0).otherwise(1.0).alias("value"))
-
-    dur = base.filter(F.col("event_type") == "signup").select(
-        "event_id", "ts", "value",
-        F.when(eid % 2 == 0, "gold_aggregation").otherwise("test_dq_and_batch").alias("dag_id"))
-    # summed in whole cents so every engine gets the same exact total
-    cents = F.round(F.col("value") * 100).cast("long")
-    dur = running_sum(dur, ["dag_id"], ["ts", "event_id"], cents, _hour_chunk(), "dsum")
-    dur = running_count(dur, ["dag_id"], ["ts", "event_id"], _hour_chunk(), "dcount")
-    dur_labels = F.create_map(F.lit("dag_id"), "dag_id",
-                              F.lit("task_id"), F.lit("insert_gold_trips_hourly"))
-    dur_sum = dur.select(F.lit("airflow_task_duration_seconds_sum").alias("metric"),
-                         dur_labels.alias("labels"), "ts", (F.col("dsum") / 100.0).alias("value"))
-    dur_cnt = dur.select(F.lit("airflow_task_duration_seconds_count").alias("metric"),
-                         dur_labels.alias("labels"), "ts", F.col("dcount").cast("double").alias("value"))
-
-    restarts = base.filter(F.col("event_type") == "error").select(
-        "event_id", "ts", F.to_date("ts").alias("day"))
-    restarts = running_count(restarts, ["day"], ["ts", "event_id"], _hour_chunk(), "n").select(
-        F.lit("flink_jobmanager_job_numRestarts").alias("metric"),
-        F.create_map(F.lit("job"), F.lit("flink-jobmanager")).alias("labels"),
-        "ts", F.col("n").cast("double").alias("value"))
-
-    return (finish.unionByName(lag).unionByName(up).unionByName(running)
-            .unionByName(dur_sum).unionByName(dur_cnt).unionByName(restarts))
+        "event_id", "ts", F.lit("finish").alias("fam"),
+        _pick(DAG_IDS, eid % 3).alias("k1"), _pick(TASK_IDS, eid % 4).alias("k2"),
+        F.when(etype == "error", "failed").otherwise("success").alias("k3"),
+        F.to_date("ts").alias("day"), F.lit(0).cast("long").alias("cents"))
+    dur = base.filter(etype == "signup").select(
+        "event_id", "ts", F.lit("duration").alias("fam"),
+        F.when(eid % 2 == 0, "gold_aggregation").otherwise("test_dq_and_batch").alias("k1"),
+        F.lit("insert_gold_trips_hourly").alias("k2"), F.lit("").alias("k3"), no_reset.alias("day"),
+        # summed in whole cents so every engine gets the same exact total
+        F.round(F.col("value") * 100).cast("long").alias("cents"))
+    restarts = base.filter(etype == "error").select(
+        "event_id", "ts", F.lit("restarts").alias("fam"), F.lit("").alias("k1"), F.lit("").alias("k2"),
+        F.lit("").alias("k3"), F.to_date("ts").alias("day"), F.lit(0).cast("long").alias("cents"))
+    counters = running_sums(finish.unionByName(dur).unionByName(restarts),
+                            ["fam", "k1", "k2", "k3", "day"], ["ts", "event_id"],
+                            {"n": F.lit(1).cast("long"), "csum": F.col("cents")}, _hour_chunk())
+
+    fam = F.col("fam")
+    job_fm = F.create_map(F.lit("job"), F.lit("flink-jobmanager"))
+    dur_labels = F.create_map(F.lit("dag_id"), "k1", F.lit("task_id"), "k2")
+    counter_samples = counters.select("ts", F.explode(F.array(
+        F.when(fam == "finish", F.struct(
+            F.lit("airflow_task_finish_total").alias("metric"),
+            F.create_map(F.lit("dag_id"), "k1", F.lit("state"), "k3", F.lit("task_id"), "k2").alias("labels"),
+            F.col("n").cast("double").alias("value"))),
+        F.when(fam == "duration", F.struct(
+            F.lit("airflow_task_duration_seconds_sum").alias("metric"), dur_labels.alias("labels"),
+            (F.col("csum") / 100.0).alias("value"))),
+        F.when(fam == "duration", F.struct(
+            F.lit("airflow_task_duration_seconds_count").alias("metric"), dur_labels.alias("labels"),
+            F.col("n").cast("double").alias("value"))),
+        F.when(fam == "restarts", F.struct(
+            F.lit("flink_jobmanager_job_numRestarts").alias("metric"), job_fm.alias("labels"),
+            F.col("n").cast("double").alias("value"))),
+    )).alias("s")).filter(F.col("s").isNotNull()).select("s.metric", "s.labels", "ts", "s.value")
+
+    gauges = base.filter(etype.isin("click", "view", "purchase")).select(
+        F.when(etype == "click", "kafka_consumergroup_lag")
+         .when(etype == "view", "up")
+         .otherwise("flink_jobmanager_numRunningJobs").alias("metric"),
+        F.when(etype == "click", F.create_map(
+            F.lit("consumergroup"), F.lit(CONSUMER_GROUP), F.lit("partition"), (eid % 3).cast("string"),
+            F.lit("topic"), F.lit(TOPIC)))
+         .when(etype == "view", F.create_map(F.lit("job"), _pick(SCRAPE_JOBS, eid % 6)))
+         .otherwise(job_fm).alias("labels"),
+        "ts",
+        F.when(etype == "click", F.col("value") * 100)
+         .when(etype == "view", F.when(F.col("value") < 1, 0.0).otherwise(1.0))
+         .otherwise(F.when(F.col("value") < 5, 0.0).otherwise(1.0)).alias("value"))
+
+    return counter_samples.unionByName(gauges)
 
 
 def statsd_lines(events: DataFrame) -> DataFrame:
