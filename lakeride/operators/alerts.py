@@ -117,6 +117,7 @@ def firing_intervals(active: DataFrame, step: str = "1m", for_: str = "0m",
 
 
 def rule_vector(samples: DataFrame, rule: AlertRule, step: str = "1m") -> DataFrame:
+    """The expression vector of one rule (before its threshold)."""
     sel = M.select_series(samples, rule.metric, rule.matchers)
     if rule.range_:
         vec = M.counter_increase(sel, rule.range_, step).withColumnRenamed("increase", "value")
@@ -136,9 +137,13 @@ def _any_matcher(rules) -> Column:
 
 
 def _rule_filter(rule: AlertRule) -> Column:
+    """Matchers of one rule over label columns carried by a vector."""
     c = F.lit(True)
     for k, spec in rule.matchers.items():
-        c = c & M.matcher(k, spec)
+        op, val = ("=", spec) if isinstance(spec, str) else spec
+        v = F.coalesce(F.col(k), F.lit(""))
+        c = c & {"=": lambda: v == F.lit(val), "!=": lambda: v != F.lit(val),
+                 "=~": lambda: v.rlike(f"^(?:{val})$"), "!~": lambda: ~v.rlike(f"^(?:{val})$")}[op]()
     return c
 
 
@@ -160,13 +165,14 @@ def rule_vectors(samples: DataFrame, rules=ALERT_RULES, step: str = "1m") -> Dat
     parts = []
     for metric, group in by_metric.items():
         sel = M.with_series(M.select_series(samples, metric).filter(_any_matcher(group)))
+        keep = sorted({k for r in group for k in r.matchers})
         by_range: dict[str | None, list[AlertRule]] = {}
         for r in group:
             by_range.setdefault(r.range_, []).append(r)
         adj = M.reset_adjusted(sel) if any(k is not None for k in by_range) else None
         for rng, rs in by_range.items():
-            vec = (M.increase_from_adjusted(adj, rng, step).withColumnRenamed("increase", "value")
-                   if rng else M.instant_last(sel, step))
+            vec = (M.increase_from_adjusted(adj, rng, step, keep=keep).withColumnRenamed("increase", "value")
+                   if rng else M.instant_last(sel, step, keep=keep))
             tags = F.array(*[
                 F.when(_rule_filter(r) & _cmp(F.col("value"), r.op, r.threshold),
                        F.struct(F.lit(r.name).alias("alertname"), F.lit(r.severity).alias("severity"),

@@ -6,9 +6,13 @@ aligned). A range ``[r]`` at ``t`` holds the samples with ``t - r < ts <= t``.
 Scaling approach for range functions (increase, rate, last-in-lookback):
 samples are first reduced per (series, bucket) with mergeable aggregates
 (map-side combined, so a hot series does not sit in one task), buckets of
-width ``gcd(range, step)``; each bucket then fans out to the
-``range / step`` eval instants whose range covers it. The fan-out therefore
-multiplies buckets, never raw samples.
+width ``gcd(range, step)``. From then on a series holds at most
+span / bucket rows, however many samples it had, so the bucket rows are
+processed per series with windows: each bucket emits exactly the eval
+instants it is the latest bucket for (up to the next bucket or the end of
+the range), and the first bucket inside each range is found with a
+descending running ``last`` (an incremental frame). Every output row is
+produced once; nothing is replicated range/step times.
 
 Counter increase = reset-corrected difference between the last and the
 first sample in the range (a drop is a reset: the new value counts from 0).
@@ -88,14 +92,20 @@ def _bucket(g: int) -> Column:
     return F.expr(f"(unix_micros(cast(ts as timestamp)) + {gu - 1}) div {gu}")
 
 
-def _fan_out(pre: DataFrame, R: int, S: int) -> DataFrame:
-    """Bucket b is inside the range of eval index m iff b <= m*S <= b+R-1."""
+def _owned_evals(pre: DataFrame, R: int, S: int, keys) -> DataFrame:
+    """Adds ``_m`` (exploded): the eval indices bucket ``_b`` is the latest
+    bucket for, i.e. m*S in [b, min(next bucket - 1, b + R - 1)].
+    Also adds ``_cum`` (running sample count per series, inclusive)."""
+    w = Window.partitionBy(*keys).orderBy("_b")
+    d = pre.select("*", F.lead("_b").over(w).alias("_nb"),
+                   F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_cum"))
+    last_pos = F.least(F.coalesce(F.col("_nb") - 1, F.col("_b") + (R - 1)), F.col("_b") + (R - 1))
     lo = F.expr(f"(_b + {S - 1}) div {S}")
-    hi = F.expr(f"(_b + {R - 1}) div {S}")
-    return (pre.withColumn("_lo", lo).withColumn("_hi", hi)
+    hi = F.floor(last_pos / F.lit(S)).cast("long")
+    return (d.withColumn("_lo", lo).withColumn("_hi", hi)
             .filter(F.col("_lo") <= F.col("_hi"))
             .withColumn("_m", F.explode(F.sequence("_lo", "_hi")))
-            .drop("_lo", "_hi", "_b"))
+            .drop("_lo", "_hi", "_nb"))
 
 
 def _eval_ts(step_s: int) -> Column:
@@ -103,6 +113,19 @@ def _eval_ts(step_s: int) -> Column:
 
 
 # ---- counters ----------------------------------------------------------------
+# Aggregation buffers below are fixed-width (min/max/sum/count/max_by over
+# numbers), so every aggregate stays a partial+final HashAggregate. Label
+# values a consumer needs are carried as extra string grouping keys
+# (``keep``), never as a map in an aggregation buffer. Samples of one series
+# have distinct timestamps (a scrape store rejects duplicates).
+
+def _keep_cols(df: DataFrame, keep) -> tuple[DataFrame, list[str]]:
+    keep = [k for k in (keep or ()) if k]
+    for k in keep:
+        if k not in df.columns:
+            df = df.withColumn(k, label(k))
+    return df, keep
+
 
 def reset_adjusted(samples: DataFrame, chunk: str | int = "1h") -> DataFrame:
     """Adds ``adj``: the running sum of reset-corrected deltas per series.
@@ -116,13 +139,15 @@ def reset_adjusted(samples: DataFrame, chunk: str | int = "1h") -> DataFrame:
     keys = [*SERIES, "_c"]
     w = Window.partitionBy(*keys).orderBy("ts", "value")
     prev = F.lag("value").over(w)
-    d = d.withColumn("_delta", F.when(prev.isNull(), F.lit(0.0))
-                     .when(F.col("value") < prev, F.col("value"))
-                     .otherwise(F.col("value") - prev))
+    nxt = F.lead("value").over(w)
+    d = d.select("*",
+                 F.when(prev.isNull(), F.lit(0.0)).when(F.col("value") < prev, F.col("value"))
+                 .otherwise(F.col("value") - prev).alias("_delta"),
+                 prev.isNull().alias("_is_first"), nxt.isNull().alias("_is_last"))
     d = d.withColumn("_local", F.sum("_delta").over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    tv = F.struct("ts", "value")
-    summ = d.groupBy(*keys).agg(F.min(tv)["value"].alias("_first"), F.max(tv)["value"].alias("_last"),
+    summ = d.groupBy(*keys).agg(F.max(F.when(F.col("_is_first"), F.col("value"))).alias("_first"),
+                                F.max(F.when(F.col("_is_last"), F.col("value"))).alias("_last"),
                                 F.sum("_delta").alias("_within"))
     wc = Window.partitionBy(*SERIES).orderBy("_c")
     prev_last = F.lag("_last").over(wc)
@@ -134,32 +159,55 @@ def reset_adjusted(samples: DataFrame, chunk: str | int = "1h") -> DataFrame:
         F.lit(0.0)) + F.col("_bd"))
     return (d.join(summ.select(*keys, "_offset"), keys, "inner")
             .withColumn("adj", F.col("_offset") + F.col("_local"))
-            .drop("_c", "_delta", "_local", "_offset"))
+            .drop("_c", "_delta", "_local", "_offset", "_is_first", "_is_last"))
 
 
 def increase_from_adjusted(adj: DataFrame, range_: str = "1h", step: str = "1m",
-                           min_samples: int = 2) -> DataFrame:
+                           min_samples: int = 2, keep=()) -> DataFrame:
     """Increase vector from samples that already carry ``adj`` (several
-    ranges can share one :func:`reset_adjusted` pass)."""
+    ranges can share one :func:`reset_adjusted` pass).
+
+    adj is non-decreasing in time, so the increase over a range is
+    last adj - first adj: the last comes from the bucket that owns the eval
+    instant, the first from the earliest bucket at or after the range start.
+    """
     r, s = seconds(range_), seconds(step)
     g, R, S = _grid(r, s)
+    adj, keep = _keep_cols(adj, keep)
+    keys = [*SERIES, *keep]
     pre = (adj.withColumn("_b", _bucket(g))
-           .groupBy(*SERIES, "_b")
+           .groupBy(*keys, "_b")
            .agg(F.min("adj").alias("_lo_adj"), F.max("adj").alias("_hi_adj"),
-                F.count(F.lit(1)).alias("_n"), F.any_value("labels").alias("labels")))
-    out = (_fan_out(pre, R, S)
-           .groupBy(*SERIES, "_m")
-           .agg((F.max("_hi_adj") - F.min("_lo_adj")).alias("increase"),
-                F.sum("_n").alias("samples"), F.any_value("labels").alias("labels")))
+                F.count(F.lit(1)).alias("_n")))
+    evals = _owned_evals(pre, R, S, keys)
+    # query rows sit at the first bucket index inside the range
+    queries = evals.select(*keys, (F.col("_m") * S - (R - 1)).alias("_pos"), F.lit(1).alias("_q"), "_m",
+                           F.col("_hi_adj").alias("_hi"), F.col("_cum").alias("_cum_last"),
+                           F.lit(None).cast("double").alias("_lo"), F.lit(None).cast("long").alias("_cb"))
+    buckets = pre.select(*keys, F.col("_b").alias("_pos"), F.lit(0).alias("_q"),
+                         F.lit(None).cast("long").alias("_m"), F.lit(None).cast("double").alias("_hi"),
+                         F.lit(None).cast("long").alias("_cum_last"), F.col("_lo_adj").alias("_lo"),
+                         F.lit(None).cast("long").alias("_cb"), "_n")
+    w_run = Window.partitionBy(*keys).orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    buckets = buckets.withColumn("_cb", F.sum("_n").over(w_run) - F.col("_n")).drop("_n")
+    w_desc = (Window.partitionBy(*keys).orderBy(F.col("_pos").desc(), F.col("_q").asc())
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    both = buckets.unionByName(queries)
+    out = both.select("*", F.last("_lo", ignorenulls=True).over(w_desc).alias("_first_lo"),
+                      F.last("_cb", ignorenulls=True).over(w_desc).alias("_first_cb"))
+    out = (out.filter(F.col("_q") == 1)
+           .select(*keys, "_m", (F.col("_hi") - F.col("_first_lo")).alias("increase"),
+                   (F.col("_cum_last") - F.col("_first_cb")).alias("samples")))
     return (out.filter(F.col("samples") >= min_samples)
-            .select("metric", "labels", "labels_key", _eval_ts(s), "increase", "samples"))
+            .select(*keys, _eval_ts(s), "increase", "samples"))
 
 
 def counter_increase(samples: DataFrame, range_: str = "1h", step: str = "1m",
-                     min_samples: int = 2, chunk: str = "1h") -> DataFrame:
-    """``increase(x[range])`` per series at every step -> (metric, labels,
-    labels_key, eval_ts, increase, samples)."""
-    return increase_from_adjusted(reset_adjusted(samples, chunk), range_, step, min_samples)
+                     min_samples: int = 2, chunk: str = "1h", keep=()) -> DataFrame:
+    """``increase(x[range])`` per series at every step -> (metric,
+    labels_key, *keep, eval_ts, increase, samples)."""
+    samples, keep = _keep_cols(with_series(samples), keep)
+    return increase_from_adjusted(reset_adjusted(samples, chunk), range_, step, min_samples, keep)
 
 
 def counter_rate(samples: DataFrame, range_: str = "5m", step: str = "1m", **kw) -> DataFrame:
@@ -170,23 +218,28 @@ def counter_rate(samples: DataFrame, range_: str = "5m", step: str = "1m", **kw)
 
 # ---- gauges -------------------------------------------------------------------
 
-def instant_last(samples: DataFrame, step: str = "1m", lookback: str = "5m") -> DataFrame:
-    """Instant vector: newest sample within ``(t - lookback, t]`` per series."""
+def instant_last(samples: DataFrame, step: str = "1m", lookback: str = "5m", keep=()) -> DataFrame:
+    """Instant vector: newest sample within ``(t - lookback, t]`` per series.
+    The bucket that owns an eval instant holds that newest sample."""
     lb, s = seconds(lookback), seconds(step)
     g, R, S = _grid(lb, s)
-    tv = F.struct("ts", "value")
-    pre = (with_series(samples).withColumn("_b", _bucket(g))
-           .groupBy(*SERIES, "_b")
-           .agg(F.max(tv).alias("_last"), F.any_value("labels").alias("labels")))
-    out = (_fan_out(pre, R, S).groupBy(*SERIES, "_m")
-           .agg(F.max("_last")["value"].alias("value"), F.any_value("labels").alias("labels")))
-    return out.select("metric", "labels", "labels_key", _eval_ts(s), "value")
+    d, keep = _keep_cols(with_series(samples), keep)
+    keys = [*SERIES, *keep]
+    pre = (d.withColumn("_b", _bucket(g))
+           .groupBy(*keys, "_b")
+           .agg(F.max_by("value", "ts").alias("value"), F.count(F.lit(1)).alias("_n")))
+    return _owned_evals(pre, R, S, keys).select(*keys, _eval_ts(s), "value")
+
+
+def _label_or_col(df: DataFrame, k: str) -> Column:
+    return F.coalesce(F.col(k), F.lit("")) if k in df.columns else label(k)
 
 
 def sum_by(vector: DataFrame, by: list[str] | None = None, value: str = "value",
            out: str = "value") -> DataFrame:
-    """``sum by (labels) (v)`` per eval instant; ``by=None`` sums everything."""
-    keys = [F.col("eval_ts")] + [label(k).alias(k) for k in (by or [])]
+    """``sum by (labels) (v)`` per eval instant; ``by=None`` sums everything.
+    The ``by`` labels must be carried by the vector (``keep=``)."""
+    keys = [F.col("eval_ts")] + [_label_or_col(vector, k).alias(k) for k in (by or [])]
     return vector.groupBy(*keys).agg(F.sum(value).alias(out))
 
 
@@ -199,16 +252,15 @@ def series_ratio(vector: DataFrame, num_metric: str, den_metric: str, out: str =
             .groupBy("labels_key", "eval_ts")
             .agg((num / F.nullif(den, F.lit(0.0))).alias(out),
                  F.count_if(F.col("metric") == num_metric).alias("_hn"),
-                 F.count_if(F.col("metric") == den_metric).alias("_hd"),
-                 F.any_value("labels").alias("labels"))
+                 F.count_if(F.col("metric") == den_metric).alias("_hd"))
             .filter((F.col("_hn") > 0) & (F.col("_hd") > 0)).drop("_hn", "_hd"))
 
 
 def avg_duration(samples: DataFrame, base: str = "airflow_task_duration_seconds",
                  step: str = "1m", lookback: str = "5m") -> DataFrame:
     """Histogram average: ``<base>_sum / <base>_count`` per label set."""
-    vec = instant_last(select_series(samples).filter(
-        F.col("metric").isin(f"{base}_sum", f"{base}_count")), step, lookback)
+    vec = instant_last(samples.filter(F.col("metric").isin(f"{base}_sum", f"{base}_count")),
+                       step, lookback)
     return series_ratio(vec, f"{base}_sum", f"{base}_count", "avg_seconds")
 
 
@@ -220,9 +272,9 @@ def series_reduce(vector: DataFrame, start=None, end=None) -> DataFrame:
         v = v.filter(F.col("eval_ts") >= F.lit(start).cast("timestamp_ntz"))
     if end is not None:
         v = v.filter(F.col("eval_ts") <= F.lit(end).cast("timestamp_ntz"))
-    nn = F.when(F.col("value").isNotNull(), F.struct("eval_ts", "value"))
+    nn_ts = F.when(F.col("value").isNotNull(), F.col("eval_ts"))
     return (v.groupBy(*SERIES)
-            .agg(F.max(nn)["value"].alias("last_not_null"), F.sum("value").alias("total"),
+            .agg(F.max_by("value", nn_ts).alias("last_not_null"), F.sum("value").alias("total"),
                  F.avg("value").alias("mean"), F.max("value").alias("max")))
 
 
@@ -249,13 +301,14 @@ def up_down(value: Column) -> Column:
 
 def consumer_lag(samples: DataFrame, step: str = "1m", lookback: str = "5m",
                  by: list[str] | None = ("consumergroup", "topic")) -> DataFrame:
-    vec = instant_last(select_series(samples, "kafka_consumergroup_lag"), step, lookback)
-    return sum_by(vec, list(by) if by else None, out="lag")
+    by = list(by) if by else None
+    vec = instant_last(select_series(samples, "kafka_consumergroup_lag"), step, lookback, keep=by or ())
+    return sum_by(vec, by, out="lag")
 
 
 def target_status(samples: DataFrame, step: str = "1m", lookback: str = "5m") -> DataFrame:
-    vec = instant_last(select_series(samples, "up"), step, lookback)
-    return vec.select(label("job").alias("job"), "eval_ts", "value", up_down(F.col("value")).alias("status"))
+    vec = instant_last(select_series(samples, "up"), step, lookback, keep=("job",))
+    return vec.select("job", "eval_ts", "value", up_down(F.col("value")).alias("status"))
 
 
 # ---- StatsD name mapping ---------------------------------------------------------

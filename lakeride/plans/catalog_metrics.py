@@ -67,7 +67,7 @@ def _restart_increase(spark, d):
 def _sum_by_labels(spark, d):
     """sum by (state) (rate(airflow_task_finish_total[range]))"""
     s = M.select_series(samples(spark, d), "airflow_task_finish_total")
-    rate = M.counter_rate(s, P.RATE_RANGE, P.METRIC_STEP).withColumnRenamed("rate", "value")
+    rate = M.counter_rate(s, P.RATE_RANGE, P.METRIC_STEP, keep=("state",)).withColumnRenamed("rate", "value")
     return M.sum_by(rate, ["state"], out="rate")
 
 
