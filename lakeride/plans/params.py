@@ -8,6 +8,7 @@ INGEST_NOW = "2024-02-01 00:00:00"      # ingested_at / updated_at of bronze & s
 GOLD_AS_OF = "2024-01-15 00:00:00"      # gold run: dates >= 2024-01-14
 GOLD_NOW = "2024-02-01 01:00:00"        # updated_at of the first gold append
 GOLD_NOW_2 = "2024-02-01 02:00:00"      # updated_at of the second gold append
+GOLD_AS_OF_2 = "2024-01-20 00:00:00"    # second gold run: dates >= 2024-01-19
 DAILY_AS_OF = "2024-01-16 10:00:00"     # daily report -> 2024-01-15
 WEEKLY_AS_OF = "2024-01-22 10:00:00"    # weekly report -> dates >= 2024-01-15
 HOURLY_AS_OF = "2024-01-30 23:30:00"    # current hour 23:00 (partial) vs 22:00
@@ -24,4 +25,11 @@ RATE_RANGE = "1h"
 FIRING_RANGE = "2h"
 FIRING_THRESHOLD = 1
 FIRING_FOR = "30m"
-RETENTION_AS_OF = "2024-02-01 01:30:00"  # expire ledger versions older than 1 h
+RETENTION_AS_OF = "2024-02-01 02:30:00"  # expire ledger versions older than 1 h
+RETENTION = "1h"
+
+# table maintenance / streaming fixtures (splits together cover every row)
+SILVER_BATCHES = [("2024-01-01", "2024-01-08"), ("2024-01-08", "2024-01-15"),
+                  ("2024-01-15", "2024-01-22"), ("2024-01-22", "2100-01-01")]
+EVOLVE_SPLIT = "2024-01-16"
+STREAM_SPLIT = "2024-01-16 00:00:00"

@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 # catalogue modules register themselves on import
-_MODULES = ("catalog", "catalog_metrics", "oracle", "oracle_metrics")
+_MODULES = ("catalog", "catalog_metrics", "catalog_tables", "oracle", "oracle_metrics")
 
 
 def _load():
