@@ -99,6 +99,13 @@ def _consumer_lag_total(spark, d):
     return M.consumer_lag(samples(spark, d), P.METRIC_STEP, by=None)
 
 
+@register("consumer_lag_partition")
+def _consumer_lag_partition(spark, d):
+    """kafka_consumergroup_lag{topic="raw.trip.events"} per partition."""
+    s = M.select_series(samples(spark, d), "kafka_consumergroup_lag", {"topic": "raw.trip.events"})
+    return M.instant_last(s, P.METRIC_STEP, keep=("partition",)).select("partition", "eval_ts", "value")
+
+
 @register("target_status")
 def _target_status(spark, d):
     return M.target_status(samples(spark, d), P.METRIC_STEP)

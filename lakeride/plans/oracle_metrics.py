@@ -239,6 +239,10 @@ q("consumer_lag_total", f"""WITH {SAMPLES},
 {instant_cte('v', 'samples', "metric = 'kafka_consumergroup_lag'", STEP)}
 SELECT eval_ts, {_r6('SUM(value)')} AS lag FROM v GROUP BY eval_ts""")
 
+q("consumer_lag_partition", f"""WITH {SAMPLES},
+{instant_cte('v', 'samples', "metric = 'kafka_consumergroup_lag' AND topic = 'raw.trip.events'", STEP)}
+SELECT "partition", eval_ts, {_r6('value')} AS value FROM v""")
+
 q("target_status", f"""WITH {SAMPLES}, {instant_cte('v', 'samples', "metric = 'up'", STEP)}
 SELECT COALESCE(job, '') AS job, eval_ts, {_r6('value')} AS value,
        CASE WHEN value = 1 THEN 'UP' WHEN value = 0 THEN 'DOWN' END AS status

@@ -55,3 +55,15 @@ def test_evolve_schema_add_rename_drop(spark, sf0001):
     df = MT.evolve_schema(spark, path, rename={"route": "route_name"}, drop=("updated_at",))
     assert "route" in df.columns and "route_name" not in df.columns and "updated_at" not in df.columns
     assert df.filter(F.col("extra").isNull()).count() == silver.filter(F.col("event_date") < "2024-01-16").count()
+
+
+def test_create_tables_registers_layers(spark, sf0001):
+    from lakeride.sources.tables import create_tables, scan_table
+    root = scratch_path(spark, "t-catalog")
+    silver = C.silver(spark, sf0001)
+    write_layer(silver, f"{root}/silver", "silver")
+    create_tables(spark, {"silver": f"{root}/silver"}, drop_existing=True)
+    spark.sql("MSCK REPAIR TABLE silver_trips")
+    assert spark.table("silver_trips").count() == silver.count()
+    assert scan_table(spark, f"{root}/silver", "silver").count() == silver.count()
+    spark.sql("DROP TABLE IF EXISTS silver_trips")
