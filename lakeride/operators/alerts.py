@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from ..functions.runs import islands
 from ..functions.timecols import from_micros, micros, seconds
+from ..session import materialize as materialize_df
 from . import metrics as M
 
 US = 1_000_000
@@ -193,13 +194,13 @@ def alert_rules(samples: DataFrame, rules=ALERT_RULES, step: str = "1m",
                 materialize: bool = False) -> DataFrame:
     """All rules -> one frame of firing intervals with the rule's labels.
 
-    ``materialize`` checkpoints the active steps (reliable checkpoint in the
-    shared checkpoint folder) before the islands pass: the expensive vectors
-    are then neither recomputed after a lost executor nor re-planned."""
+    ``materialize`` writes the active steps to the shared checkpoint folder
+    before the islands pass: the expensive vectors are then neither
+    recomputed after a lost executor nor re-planned."""
     s = seconds(step)
     active = rule_vectors(samples, rules, step)
     if materialize:
-        active = active.checkpoint()
+        active = materialize_df(active, "alert-active-steps")
     keys = ["alertname", "severity", "component", "labels_key", "_for_steps"]
     isl = islands(active.withColumn("_k", _step_index(F.col("eval_ts"), s)), keys, "_k")
     return (isl.filter(F.col("start_k") + F.col("_for_steps") <= F.col("end_k"))

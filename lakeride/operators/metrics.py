@@ -170,6 +170,9 @@ def increase_from_adjusted(adj: DataFrame, range_: str = "1h", step: str = "1m",
     adj is non-decreasing in time, so the increase over a range is
     last adj - first adj: the last comes from the bucket that owns the eval
     instant, the first from the earliest bucket at or after the range start.
+    Each bucket row emits itself and its owned query rows in one generator;
+    one descending running ``last`` over them finds, for every query, the
+    earliest bucket inside its range.
     """
     r, s = seconds(range_), seconds(step)
     g, R, S = _grid(r, s)
@@ -179,24 +182,27 @@ def increase_from_adjusted(adj: DataFrame, range_: str = "1h", step: str = "1m",
            .groupBy(*keys, "_b")
            .agg(F.min("adj").alias("_lo_adj"), F.max("adj").alias("_hi_adj"),
                 F.count(F.lit(1)).alias("_n")))
-    evals = _owned_evals(pre, R, S, keys)
-    # query rows sit at the first bucket index inside the range
-    queries = evals.select(*keys, (F.col("_m") * S - (R - 1)).alias("_pos"), F.lit(1).alias("_q"), "_m",
-                           F.col("_hi_adj").alias("_hi"), F.col("_cum").alias("_cum_last"),
-                           F.lit(None).cast("double").alias("_lo"), F.lit(None).cast("long").alias("_cb"))
-    buckets = pre.select(*keys, F.col("_b").alias("_pos"), F.lit(0).alias("_q"),
-                         F.lit(None).cast("long").alias("_m"), F.lit(None).cast("double").alias("_hi"),
-                         F.lit(None).cast("long").alias("_cum_last"), F.col("_lo_adj").alias("_lo"),
-                         F.lit(None).cast("long").alias("_cb"), "_n")
-    w_run = Window.partitionBy(*keys).orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    buckets = buckets.withColumn("_cb", F.sum("_n").over(w_run) - F.col("_n")).drop("_n")
-    w_desc = (Window.partitionBy(*keys).orderBy(F.col("_pos").desc(), F.col("_q").asc())
+    w = Window.partitionBy(*keys).orderBy("_b")
+    d = pre.select("*", F.lead("_b").over(w).alias("_nb"),
+                   F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_cum"))
+    last_pos = F.least(F.coalesce(F.col("_nb") - 1, F.col("_b") + (R - 1)), F.col("_b") + (R - 1))
+    lo = F.expr(f"(_b + {S - 1}) div {S}")
+    hi = F.floor(last_pos / F.lit(S)).cast("long")
+    row_t = "struct<pos:bigint,q:int,m:bigint,lo:double,cb:bigint>"
+    me = F.struct(F.col("_b").alias("pos"), F.lit(0).alias("q"), F.lit(None).cast("long").alias("m"),
+                  F.col("_lo_adj").alias("lo"), (F.col("_cum") - F.col("_n")).alias("cb")).cast(row_t)
+    owned = F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
+    queries = F.transform(owned, lambda m: F.struct(
+        (m * S - (R - 1)).alias("pos"), F.lit(1).alias("q"), m.alias("m"),
+        F.lit(None).cast("double").alias("lo"), F.lit(None).cast("long").alias("cb")).cast(row_t))
+    rows = d.select(*keys, F.col("_hi_adj").alias("_hi"), F.col("_cum").alias("_cum_last"),
+                    F.explode(F.concat(F.array(me), queries)).alias("_r"))
+    w_desc = (Window.partitionBy(*keys).orderBy(F.col("_r.pos").desc(), F.col("_r.q").asc())
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    both = buckets.unionByName(queries)
-    out = both.select("*", F.last("_lo", ignorenulls=True).over(w_desc).alias("_first_lo"),
-                      F.last("_cb", ignorenulls=True).over(w_desc).alias("_first_cb"))
-    out = (out.filter(F.col("_q") == 1)
-           .select(*keys, "_m", (F.col("_hi") - F.col("_first_lo")).alias("increase"),
+    out = (rows.select("*", F.last("_r.lo", ignorenulls=True).over(w_desc).alias("_first_lo"),
+                       F.last("_r.cb", ignorenulls=True).over(w_desc).alias("_first_cb"))
+           .filter(F.col("_r.q") == 1)
+           .select(*keys, F.col("_r.m").alias("_m"), (F.col("_hi") - F.col("_first_lo")).alias("increase"),
                    (F.col("_cum_last") - F.col("_first_cb")).alias("samples")))
     return (out.filter(F.col("samples") >= min_samples)
             .select(*keys, _eval_ts(s), "increase", "samples"))

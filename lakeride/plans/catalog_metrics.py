@@ -8,16 +8,16 @@ from ..operators import alerts as A
 from ..operators import metrics as M
 from ..sources import fixtures as FX
 from . import params as P
-from ..session import checkpoint_root
+from ..session import materialize
 from .catalog import register
 
 
 def samples(spark, d):
-    """Derived samples, materialised once with a reliable checkpoint in the
-    shared checkpoint folder: the ordered counters behind them are not
-    recomputed by every consumer and the downstream plans stay small."""
-    checkpoint_root(spark)
-    return M.with_series(FX.metric_samples(FX.load_table(spark, d, "events", spread=False))).checkpoint()
+    """Derived samples, written once to the shared checkpoint folder: the
+    ordered counters behind them are not recomputed by every consumer and
+    the downstream plans stay small."""
+    return materialize(M.with_series(FX.metric_samples(FX.load_table(spark, d, "events", spread=False))),
+                       "metric-samples")
 
 
 def _vec_cols(df, value="value"):

@@ -76,3 +76,17 @@ def local_dir(path: str) -> str:
 def ensure_dir(path: str) -> str:
     os.makedirs(local_dir(path), exist_ok=True)
     return path
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` once as Parquet under the shared
+    checkpoint folder and reading it back.
+
+    Unlike an unpersisted ``checkpoint()``, which computes its input once
+    for the action and again to write the files, this computes it once; the
+    result survives lost executors and is read back with column pruning and
+    normal file splits."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
