@@ -35,10 +35,11 @@ def write_gold(gold: DataFrame, path: str, mode: str = "replace") -> None:
     re-running an hour rewrites the dates it covers and nothing else.
     ``append``: the faithful plain INSERT (duplicates per key accumulate).
 
-    REBALANCE lets AQE split a large date and merge small ones into
-    reasonably sized files without a fixed repartition count.
+    The shuffle before the write splits a large date (REBALANCE under AQE,
+    a deterministic salt otherwise), so no date is written by one task.
     """
-    out = gold.hint("rebalance", "report_date").write.partitionBy("report_date")
+    from ..sources.tables import balanced_by
+    out = balanced_by(gold, "report_date").write.partitionBy("report_date")
     if mode == "replace":
         out.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     elif mode == "append":

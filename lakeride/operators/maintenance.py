@@ -39,7 +39,8 @@ def as_of_read(table: DataFrame, commit_ts, version_col: str = "updated_at") ->
 def rollback(table: DataFrame, commit_ts, path: str, partition_col: str = "report_date",
              version_col: str = "updated_at") -> None:
     """Write the as-of view to a new path (the old path stays untouched)."""
-    (as_of_read(table, commit_ts, version_col).hint("rebalance", partition_col)
+    from ..sources.tables import balanced_by
+    (balanced_by(as_of_read(table, commit_ts, version_col), partition_col)
      .write.mode("errorifexists").partitionBy(partition_col).parquet(path))
 
 
@@ -67,7 +68,8 @@ def compact(spark: SparkSession, src: str, dst: str, partition_col: str,
     old = spark.conf.get(key, None)
     spark.conf.set(key, str(target_file_bytes))
     try:
-        (df.hint("rebalance", partition_col).write.mode("errorifexists")
+        from ..sources.tables import balanced_by
+        (balanced_by(df, partition_col).write.mode("errorifexists")
          .partitionBy(partition_col).option("compression", "snappy").parquet(dst))
     finally:
         if old is None:

@@ -10,6 +10,7 @@ writes a new path, see operators.maintenance).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.schemas import BRONZE, GOLD, PARTITION_COLUMN, SILVER
@@ -32,6 +33,23 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df
 
 
+def balanced_by(df: DataFrame, col: str, salt_buckets: int = 16) -> DataFrame:
+    """Shuffle for a write partitioned by ``col`` without funnelling a hot
+    value through one task.
+
+    With AQE on (the default) the REBALANCE hint lets Spark split large
+    partitions and merge small ones at run time. Without AQE the hint would
+    be a plain hash shuffle on ``col``, so a deterministic salt (a hash of
+    the whole row, stable across task retries) spreads each value over up
+    to ``salt_buckets`` tasks instead.
+    """
+    spark = df.sparkSession
+    if spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
+        return df.hint("rebalance", col)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
+    return df.repartition(col, salt)
+
+
 def scan_table(spark: SparkSession, path: str, layer: str | None = None) -> DataFrame:
     """Read a layer; raises AnalysisException if the table does not exist,
     before anything is written downstream."""
@@ -58,7 +76,7 @@ def write_layer(df: DataFrame, path: str, layer: str, mode: str = "append",
     (split a hot date, merge small ones) without a fixed partition count.
     """
     part = PARTITION_COLUMN[layer]
-    w = df.hint("rebalance", part).write.partitionBy(part).option("compression", "snappy")
+    w = balanced_by(df, part).write.partitionBy(part).option("compression", "snappy")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     if mode == "replace":

@@ -67,3 +67,16 @@ def test_create_tables_registers_layers(spark, sf0001):
     assert spark.table("silver_trips").count() == silver.count()
     assert scan_table(spark, f"{root}/silver", "silver").count() == silver.count()
     spark.sql("DROP TABLE IF EXISTS silver_trips")
+
+
+def test_balanced_write_without_aqe_spreads_a_date(spark, sf0001):
+    from lakeride.sources.tables import balanced_by
+    silver = C.silver(spark, sf0001)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = balanced_by(silver, "event_date", salt_buckets=4)
+        per_task = df.groupBy(F.spark_partition_id().alias("p"), "event_date").count()
+        tasks_per_date = per_task.groupBy("event_date").count().agg(F.max("count")).first()[0]
+        assert tasks_per_date > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
