@@ -127,39 +127,43 @@ def _keep_cols(df: DataFrame, keep) -> tuple[DataFrame, list[str]]:
     return df, keep
 
 
-def reset_adjusted(samples: DataFrame, chunk: str | int = "1h") -> DataFrame:
-    """Adds ``adj``: the running sum of reset-corrected deltas per series.
+def reset_adjusted(samples: DataFrame, chunk: str | int = "1h", keep=()) -> DataFrame:
+    """(metric, labels_key, *keep, ts, value, adj): ``adj`` is the running
+    sum of reset-corrected deltas per series.
 
     Ordered work runs per (series, time chunk); one summary row per chunk
     carries first/last value and the within-chunk total, and a window over
     those summaries supplies each chunk's offset and its boundary delta.
+    Both branches read the same narrow projection, so the shuffle of the
+    samples is planned once and reused.
     """
     cu = seconds(chunk) * US
-    d = with_series(samples).withColumn("_c", F.floor(micros(F.col("ts")) / F.lit(cu)))
-    keys = [*SERIES, "_c"]
+    samples, keep = _keep_cols(with_series(samples), keep)
+    keys = [*SERIES, *keep, "_c"]
+    # non-nullable chunk key: no isnotnull() gets inferred from the join and
+    # pushed into one branch only, so both branches plan the same exchange
+    chunk_id = F.coalesce(F.floor(micros(F.col("ts")) / F.lit(cu)), F.lit(0)).cast("long")
+    d = samples.select(*SERIES, *keep, "ts", "value", chunk_id.alias("_c"))
     w = Window.partitionBy(*keys).orderBy("ts", "value")
     prev = F.lag("value").over(w)
     nxt = F.lead("value").over(w)
-    d = d.select("*",
-                 F.when(prev.isNull(), F.lit(0.0)).when(F.col("value") < prev, F.col("value"))
-                 .otherwise(F.col("value") - prev).alias("_delta"),
-                 prev.isNull().alias("_is_first"), nxt.isNull().alias("_is_last"))
-    d = d.withColumn("_local", F.sum("_delta").over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    summ = d.groupBy(*keys).agg(F.max(F.when(F.col("_is_first"), F.col("value"))).alias("_first"),
-                                F.max(F.when(F.col("_is_last"), F.col("value"))).alias("_last"),
-                                F.sum("_delta").alias("_within"))
-    wc = Window.partitionBy(*SERIES).orderBy("_c")
+    delta = (F.when(prev.isNull(), F.lit(0.0)).when(F.col("value") < prev, F.col("value"))
+             .otherwise(F.col("value") - prev))
+    rows = d.select("*", delta.alias("_delta"), prev.isNull().alias("_is_first"), nxt.isNull().alias("_is_last"))
+    local = rows.select(*SERIES, *keep, "ts", "value", "_c", F.sum("_delta").over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_local"))
+    summ = rows.groupBy(*keys).agg(F.max(F.when(F.col("_is_first"), F.col("value"))).alias("_first"),
+                                   F.max(F.when(F.col("_is_last"), F.col("value"))).alias("_last"),
+                                   F.sum("_delta").alias("_within"))
+    wc = Window.partitionBy(*SERIES, *keep).orderBy("_c")
     prev_last = F.lag("_last").over(wc)
-    summ = summ.withColumn("_bd", F.when(prev_last.isNull(), F.lit(0.0))
-                           .when(F.col("_first") < prev_last, F.col("_first"))
-                           .otherwise(F.col("_first") - prev_last))
-    summ = summ.withColumn("_offset", F.coalesce(
-        F.sum(F.col("_bd") + F.col("_within")).over(wc.rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0.0)) + F.col("_bd"))
-    return (d.join(summ.select(*keys, "_offset"), keys, "inner")
-            .withColumn("adj", F.col("_offset") + F.col("_local"))
-            .drop("_c", "_delta", "_local", "_offset", "_is_first", "_is_last"))
+    bd = (F.when(prev_last.isNull(), F.lit(0.0)).when(F.col("_first") < prev_last, F.col("_first"))
+          .otherwise(F.col("_first") - prev_last))
+    summ = summ.select(*keys, bd.alias("_bd"), (bd + F.col("_within")).alias("_tot"))
+    offsets = summ.select(*keys, (F.coalesce(F.sum("_tot").over(
+        wc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)) + F.col("_bd")).alias("_offset"))
+    return (local.join(offsets, keys, "inner")
+            .select(*SERIES, *keep, "ts", "value", (F.col("_offset") + F.col("_local")).alias("adj")))
 
 
 def increase_from_adjusted(adj: DataFrame, range_: str = "1h", step: str = "1m",
@@ -212,8 +216,7 @@ def counter_increase(samples: DataFrame, range_: str = "1h", step: str = "1m",
                      min_samples: int = 2, chunk: str = "1h", keep=()) -> DataFrame:
     """``increase(x[range])`` per series at every step -> (metric,
     labels_key, *keep, eval_ts, increase, samples)."""
-    samples, keep = _keep_cols(with_series(samples), keep)
-    return increase_from_adjusted(reset_adjusted(samples, chunk), range_, step, min_samples, keep)
+    return increase_from_adjusted(reset_adjusted(samples, chunk, keep), range_, step, min_samples, keep)
 
 
 def counter_rate(samples: DataFrame, range_: str = "5m", step: str = "1m", **kw) -> DataFrame:
