@@ -71,14 +71,27 @@ def islands(df: DataFrame, keys: Sequence[str], k: str, chunk_steps: int = 1440,
             start: str = "start_k", end: str = "end_k") -> DataFrame:
     """Maximal runs of consecutive integers ``k`` per key -> (keys, start, end).
 
-    Gaps-and-islands: for distinct k in ascending order, ``k - position`` is
-    constant within a run. The position is a chunked running count, chunk =
-    ``k div chunk_steps``, so one window partition holds at most
-    ``chunk_steps`` rows however long a key's history is.
+    Gaps-and-islands in two levels. Inside each ``(key, k div chunk_steps)``
+    partition (at most ``chunk_steps`` distinct values) ``k - row_number`` is
+    constant along a run, giving local runs. A local run that touches neither
+    edge of its chunk is final; only runs touching an edge (at most two per
+    chunk) are stitched across chunks with a small per-key window, so no
+    window partition grows with a key's history.
     """
     keys = list(keys)
-    pts = df.select(*keys, k).distinct()
-    ranked = running_count(pts, keys, [k], F.floor(F.col(k) / F.lit(chunk_steps)), "_pos")
-    return (ranked.groupBy(*keys, (F.col(k) - F.col("_pos")).alias("_island"))
-            .agg(F.min(k).alias(start), F.max(k).alias(end))
-            .drop("_island"))
+    pts = df.select(*keys, F.col(k).cast("long").alias("_k")).distinct()
+    pts = pts.withColumn(_CHUNK, F.coalesce(F.floor(F.col("_k") / F.lit(chunk_steps)), F.lit(0)).cast("long"))
+    w = Window.partitionBy(*keys, _CHUNK).orderBy("_k")
+    local = (pts.select(*keys, _CHUNK, "_k", (F.col("_k") - F.row_number().over(w)).alias("_g"))
+             .groupBy(*keys, _CHUNK, "_g").agg(F.min("_k").alias("_s"), F.max("_k").alias("_e")))
+    lo_edge = F.col(_CHUNK) * F.lit(chunk_steps)
+    touches = (F.col("_s") == lo_edge) | (F.col("_e") == lo_edge + F.lit(chunk_steps - 1))
+    interior = local.filter(~touches).select(*keys, F.col("_s").alias(start), F.col("_e").alias(end))
+    wb = Window.partitionBy(*keys).orderBy("_s")
+    prev_e = F.lag("_e").over(wb)
+    border = local.filter(touches).select(
+        *keys, "_s", "_e", F.when(prev_e.isNotNull() & (F.col("_s") == prev_e + 1), 0).otherwise(1).alias("_new"))
+    merged = (border.withColumn("_grp", F.sum("_new").over(wb.rowsBetween(Window.unboundedPreceding, 0)))
+              .groupBy(*keys, "_grp").agg(F.min("_s").alias(start), F.max("_e").alias(end))
+              .drop("_grp"))
+    return interior.unionByName(merged)
