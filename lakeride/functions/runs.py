@@ -24,10 +24,6 @@ from pyspark.sql import functions as F
 _CHUNK = "_chunk"
 
 
-def _cols(names: Sequence[str]) -> list[Column]:
-    return [F.col(c) for c in names]
-
-
 def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                  values: dict[str, Column], chunk: Column) -> DataFrame:
     """Inclusive running sums of several ``values`` per ``keys`` in ``order``.

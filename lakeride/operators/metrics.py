@@ -301,7 +301,6 @@ LAG_BANDS = [(None, "green"), (1000, "yellow"), (10000, "red")]
 RESTART_BANDS = [(None, "green"), (1, "yellow"), (3, "red")]
 FAILED_CHECKPOINT_BANDS = [(None, "green"), (1, "yellow"), (5, "red")]
 BYTES_BANDS = [(None, "green"), (10485760, "yellow"), (104857600, "red")]
-UP_VALUE_TEXT = {0: "DOWN", 1: "UP"}
 
 
 def up_down(value: Column) -> Column:

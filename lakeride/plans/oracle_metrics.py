@@ -23,9 +23,6 @@ def _list(values) -> str:
     return "[" + ", ".join(f"'{v}'" for v in values) + "]"
 
 
-_NULL_LABELS = ("NULL AS dag_id, NULL AS task_id, NULL AS state, NULL AS job, NULL AS consumergroup, "
-                "NULL AS topic, NULL AS \"partition\"")
-
 SAMPLES = f"""ev AS (SELECT event_id, ts, event_type, value FROM events),
 fin AS (
   SELECT event_id, ts, {_list(DAG_IDS)}[event_id % 3 + 1] AS dag_id,
