@@ -120,3 +120,23 @@ def gated_gold(silver: DataFrame, gold_path: str, as_of=None, now=None, mode: st
         return GateOutcome(False, results, False)
     write_gold(hourly_gold(silver, as_of, now), gold_path, mode)
     return GateOutcome(True, results, True)
+
+
+INSERT_TASK = "insert_gold_trips_hourly"
+
+
+def task_states(results: DataFrame, dag_id: str = "gold_aggregation", insert_task: str = INSERT_TASK,
+                insert_failed: bool = False) -> DataFrame:
+    """Run states of one gate run: each check is ``success`` or ``failed``;
+    the insert task is ``upstream_failed`` when any check failed (it never
+    runs, so it is not counted as failed), otherwise ``success`` or
+    ``failed`` as reported by ``insert_failed``. These are the states the
+    task-finish counter is labelled with."""
+    checks = results.select(F.lit(dag_id).alias("dag_id"), F.col("check").alias("task_id"),
+                            F.when(F.col("passed"), "success").otherwise("failed").alias("state"))
+    any_failed = F.max(F.when(F.col("passed"), 0).otherwise(1))
+    insert = results.agg(any_failed.alias("_f")).select(
+        F.lit(dag_id).alias("dag_id"), F.lit(insert_task).alias("task_id"),
+        F.when(F.col("_f") == 1, "upstream_failed")
+         .otherwise("failed" if insert_failed else "success").alias("state"))
+    return checks.unionByName(insert)

@@ -142,6 +142,13 @@ def _dq_results(spark, d):
     return Q.dq_checks(silver(spark, d), P.GOLD_AS_OF)
 
 
+@register("gate_task_states")
+def _gate_task_states(spark, d):
+    """Run states of the gate tasks (a failed check makes the insert
+    upstream_failed, not failed)."""
+    return Q.task_states(Q.dq_checks(silver(spark, d), P.GOLD_AS_OF))
+
+
 @register("invalid_pct")
 def _invalid_pct(spark, d):
     return R.invalid_pct(silver(spark, d), P.GOLD_AS_OF)

@@ -142,3 +142,23 @@ def test_gold_reads_only_needed_partitions(spark, silver):
     write_layer(silver, path, "silver")
     plan = G.hourly_gold(spark.read.parquet(path), AS_OF)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan and "2024-01-14" in plan
+
+
+def test_upstream_failed_insert_does_not_fire_gold_alert(spark, silver):
+    """Forced failures: the insert task is upstream_failed, so only the three
+    check alerts fire from the task-finish counter, never the insert one."""
+    from lakeride.functions.schemas import METRIC_SAMPLE
+    from lakeride.operators import alerts as A
+    _, results = Q.dq_gate(silver, "2099-01-01 02:00:00")
+    forced = results.select("check", F.lit(False).alias("passed"))
+    states = {r.task_id: r.state for r in Q.task_states(forced).collect()}
+    assert states[Q.INSERT_TASK] == "upstream_failed"
+    assert all(states[c] == "failed" for c in (Q.FRESHNESS, Q.VALIDITY, Q.NULLS))
+    t0 = dt.datetime(2024, 1, 1)
+    rows = []
+    for i, (task, state) in enumerate(states.items()):
+        labels = {"dag_id": "gold_aggregation", "task_id": task, "state": state}
+        rows += [("airflow_task_finish_total", labels, t0, 0.0),
+                 ("airflow_task_finish_total", labels, t0 + dt.timedelta(minutes=5), 1.0)]
+    fired = {r.alertname for r in A.alert_rules(spark.createDataFrame(rows, METRIC_SAMPLE)).collect()}
+    assert fired == {"DQGateFreshnessFailed", "DQGateValidityFailed", "DQGateNullCheckFailed"}
