@@ -86,12 +86,22 @@ def _pick(values: list[str], idx: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
 
 
+def _series_key(*pairs) -> Column:
+    """Canonical series text (k="v" sorted by key, comma-joined) for labels
+    this producer knows, so consumers need not derive it from the map."""
+    parts = []
+    for name, col in sorted(pairs, key=lambda p: p[0]):
+        parts += [F.lit(("," if parts else "") + f'{name}="'), col, F.lit('"')]
+    return F.concat(*parts)
+
+
 def _hour_chunk() -> Column:
     return F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(3_600_000_000))
 
 
 def metric_samples(events: DataFrame) -> DataFrame:
-    """Labelled samples ``(metric, labels, ts, value)`` derived from events.
+    """Labelled samples ``(metric, labels, ts, value, labels_key)`` derived
+    from events (``labels_key`` is the canonical series text).
 
     Every event finishes one task (a counter per dag/task/state that resets
     at midnight) and adds one family-specific sample chosen by event_type
@@ -127,22 +137,28 @@ def metric_samples(events: DataFrame) -> DataFrame:
     fam = F.col("fam")
     job_fm = F.create_map(F.lit("job"), F.lit("flink-jobmanager"))
     dur_labels = F.create_map(F.lit("dag_id"), "k1", F.lit("task_id"), "k2")
+    fin_key = _series_key(("dag_id", F.col("k1")), ("state", F.col("k3")), ("task_id", F.col("k2")))
+    dur_key = _series_key(("dag_id", F.col("k1")), ("task_id", F.col("k2")))
+    job_key = _series_key(("job", F.lit("flink-jobmanager")))
     counter_samples = counters.select("ts", F.explode(F.array(
         F.when(fam == "finish", F.struct(
             F.lit("airflow_task_finish_total").alias("metric"),
             F.create_map(F.lit("dag_id"), "k1", F.lit("state"), "k3", F.lit("task_id"), "k2").alias("labels"),
-            F.col("n").cast("double").alias("value"))),
+            fin_key.alias("labels_key"), F.col("n").cast("double").alias("value"))),
         F.when(fam == "duration", F.struct(
             F.lit("airflow_task_duration_seconds_sum").alias("metric"), dur_labels.alias("labels"),
-            (F.col("csum") / 100.0).alias("value"))),
+            dur_key.alias("labels_key"), (F.col("csum") / 100.0).alias("value"))),
         F.when(fam == "duration", F.struct(
             F.lit("airflow_task_duration_seconds_count").alias("metric"), dur_labels.alias("labels"),
-            F.col("n").cast("double").alias("value"))),
+            dur_key.alias("labels_key"), F.col("n").cast("double").alias("value"))),
         F.when(fam == "restarts", F.struct(
             F.lit("flink_jobmanager_job_numRestarts").alias("metric"), job_fm.alias("labels"),
-            F.col("n").cast("double").alias("value"))),
-    )).alias("s")).filter(F.col("s").isNotNull()).select("s.metric", "s.labels", "ts", "s.value")
+            job_key.alias("labels_key"), F.col("n").cast("double").alias("value"))),
+    )).alias("s")).filter(F.col("s").isNotNull()).select("s.metric", "s.labels", "ts", "s.value",
+                                                         "s.labels_key")
 
+    lag_key = _series_key(("consumergroup", F.lit(CONSUMER_GROUP)), ("partition", (eid % 3).cast("string")),
+                          ("topic", F.lit(TOPIC)))
     gauges = base.filter(etype.isin("click", "view", "purchase")).select(
         F.when(etype == "click", "kafka_consumergroup_lag")
          .when(etype == "view", "up")
@@ -155,7 +171,10 @@ def metric_samples(events: DataFrame) -> DataFrame:
         "ts",
         F.when(etype == "click", F.col("value") * 100)
          .when(etype == "view", F.when(F.col("value") < 1, 0.0).otherwise(1.0))
-         .otherwise(F.when(F.col("value") < 5, 0.0).otherwise(1.0)).alias("value"))
+         .otherwise(F.when(F.col("value") < 5, 0.0).otherwise(1.0)).alias("value"),
+        F.when(etype == "click", lag_key)
+         .when(etype == "view", _series_key(("job", _pick(SCRAPE_JOBS, eid % 6))))
+         .otherwise(job_key).alias("labels_key"))
 
     return counter_samples.unionByName(gauges)
 

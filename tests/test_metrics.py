@@ -132,3 +132,9 @@ def test_series_ratio_guards_zero(spark):
                                 "metric string, labels_key string, eval_ts timestamp_ntz, value double")
     got = {r.labels_key: r.value for r in M.series_ratio(vec, "x_sum", "x_count").collect()}
     assert got == {"k": None, "j": 2.5}
+
+
+def test_fixture_series_key_equals_canonical(spark, sf0001):
+    from lakeride.sources import fixtures as FX
+    s = FX.metric_samples(FX.load_table(spark, sf0001, "events"))
+    assert s.filter(F.col("labels_key") != M.labels_key(F.col("labels"))).count() == 0
