@@ -256,7 +256,7 @@ def notification_schedule(intervals: DataFrame, step: str = "1m", routes=ROUTES,
                .select(*GROUP_BY, "route", _at(F.col("start_k"), s).alias("group_firing_at"),
                        F.posexplode(F.sequence(first_us, end_us, F.col("repeat_interval_s") * F.lit(US)))
                        .alias("notice_no", "_us")))
-    return notices.select(*GROUP_BY, "route", "group_firing_at", (F.col("notice_no") + 1).alias("notice_no"),
+    return notices.select(*GROUP_BY, "route", "group_firing_at", (F.col("notice_no") + 1).cast("long").alias("notice_no"),
                           from_micros(F.col("_us")).alias("notify_at"))
 
 
