@@ -64,7 +64,7 @@ def running_count(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def islands(df: DataFrame, keys: Sequence[str], k: str, chunk_steps: int = 1440,
-            start: str = "start_k", end: str = "end_k") -> DataFrame:
+            start: str = "start_k", end: str = "end_k", distinct: bool = True) -> DataFrame:
     """Maximal runs of consecutive integers ``k`` per key -> (keys, start, end).
 
     Gaps-and-islands in two levels. Inside each ``(key, k div chunk_steps)``
@@ -72,10 +72,13 @@ def islands(df: DataFrame, keys: Sequence[str], k: str, chunk_steps: int = 1440,
     constant along a run, giving local runs. A local run that touches neither
     edge of its chunk is final; only runs touching an edge (at most two per
     chunk) are stitched across chunks with a small per-key window, so no
-    window partition grows with a key's history.
+    window partition grows with a key's history. ``distinct=False`` skips
+    the de-duplicating shuffle when the caller's (key, k) pairs are unique.
     """
     keys = list(keys)
-    pts = df.select(*keys, F.col(k).cast("long").alias("_k")).distinct()
+    pts = df.select(*keys, F.col(k).cast("long").alias("_k"))
+    if distinct:
+        pts = pts.distinct()
     pts = pts.withColumn(_CHUNK, F.coalesce(F.floor(F.col("_k") / F.lit(chunk_steps)), F.lit(0)).cast("long"))
     w = Window.partitionBy(*keys, _CHUNK).orderBy("_k")
     local = (pts.select(*keys, _CHUNK, "_k", (F.col("_k") - F.row_number().over(w)).alias("_g"))

@@ -202,7 +202,8 @@ def alert_rules(samples: DataFrame, rules=ALERT_RULES, step: str = "1m",
     if materialize:
         active = materialize_df(active, "alert-active-steps")
     keys = ["alertname", "severity", "component", "labels_key", "_for_steps"]
-    isl = islands(active.withColumn("_k", _step_index(F.col("eval_ts"), s)), keys, "_k")
+    # one vector row per (series, instant), tagged once per rule: unique steps
+    isl = islands(active.withColumn("_k", _step_index(F.col("eval_ts"), s)), keys, "_k", distinct=False)
     return (isl.filter(F.col("start_k") + F.col("_for_steps") <= F.col("end_k"))
             .select("alertname", "severity", "component", "labels_key",
                     _at(F.col("start_k"), s).alias("pending_at"),

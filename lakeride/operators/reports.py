@@ -47,7 +47,8 @@ def current_hour_performance(gold: DataFrame, as_of=None) -> DataFrame:
             .orderBy(F.col("revenue_this_hour").desc()))
 
 
-def revenue_drop_alert(gold: DataFrame, as_of=None, factor: float = DROP_FACTOR) -> DataFrame:
+def revenue_drop_alert(gold: DataFrame, as_of=None, factor: float = DROP_FACTOR,
+                       method: str = "single_scan") -> DataFrame:
     """Routes whose revenue since the current hour began is below ``factor``
     times the previous full hour.
 
@@ -58,6 +59,8 @@ def revenue_drop_alert(gold: DataFrame, as_of=None, factor: float = DROP_FACTOR)
     """
     h = hour_floor(ts_lit(as_of))
     h_prev = h - F.make_dt_interval(F.lit(0), F.lit(1))
+    if method == "join":
+        return _revenue_drop_join(gold, h, h_prev, factor)
     cur = F.col("report_hour") >= h
     agg = (_since_hour(gold, h_prev)
            .groupBy("route_name")
@@ -73,6 +76,22 @@ def revenue_drop_alert(gold: DataFrame, as_of=None, factor: float = DROP_FACTOR)
             .orderBy(F.col("pct_change").asc_nulls_last()))
 
 
+def _revenue_drop_join(gold: DataFrame, h, h_prev, factor: float) -> DataFrame:
+    """The two-aggregate inner-join form (both sides are one row per route;
+    AQE picks the join strategy from their actual sizes)."""
+    current = (_since_hour(gold, h).groupBy("route_name")
+               .agg(F.sum("total_revenue").alias("current_hour_revenue")))
+    last = (_since_hour(gold, h_prev).filter(F.col("report_hour") < h).groupBy("route_name")
+            .agg(F.sum("total_revenue").alias("last_hour_revenue")))
+    lr = F.col("last_hour_revenue")
+    return (current.join(last, "route_name", "inner")
+            .filter(F.col("current_hour_revenue") < lr * F.lit(factor))
+            .select("route_name", "last_hour_revenue", "current_hour_revenue",
+                    F.round((F.col("current_hour_revenue") - lr) / F.nullif(lr, F.lit(0)) * 100, 1)
+                    .alias("pct_change"))
+            .orderBy(F.col("pct_change").asc_nulls_last()))
+
+
 def latest_hourly_revenue(gold: DataFrame, n: int = 20) -> DataFrame:
     """Newest n (hour, route) rows; route breaks ties so the cut is stable.
     A top-n: Spark plans it as TakeOrderedAndProject (per-task top-n)."""

@@ -193,6 +193,12 @@ def _revenue_drop(spark, d):
     return R.revenue_drop_alert(gold(spark, d), P.HOURLY_AS_OF)
 
 
+@register("revenue_drop_alert_join")
+def _revenue_drop_join(spark, d):
+    """The same report in its two-aggregate inner-join form."""
+    return R.revenue_drop_alert(gold(spark, d), P.HOURLY_AS_OF, method="join")
+
+
 @register("latest_hourly_revenue")
 def _latest(spark, d):
     return R.latest_hourly_revenue(gold(spark, d), 20)

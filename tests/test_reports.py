@@ -49,3 +49,12 @@ def test_hour_reports_prune_date_partitions(spark):
                R.revenue_drop_alert(g, "2024-01-30 23:30:00")):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "PartitionFilters: [isnotnull(report_date" in plan
+
+
+def test_revenue_drop_join_form_agrees(spark, sf0001):
+    from lakeride.plans import catalog as C
+    g = C.gold(spark, sf0001)
+    for as_of in ("2024-01-30 23:30:00", "2024-01-20 12:10:00", "2024-01-16 05:00:00"):
+        a = R.revenue_drop_alert(g, as_of)
+        b = R.revenue_drop_alert(g, as_of, method="join")
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
