@@ -212,10 +212,25 @@ def increase_from_adjusted(adj: DataFrame, range_: str = "1h", step: str = "1m",
             .select(*keys, _eval_ts(s), "increase", "samples"))
 
 
+def with_birth_zeros(samples: DataFrame, keep=()) -> DataFrame:
+    """Adds a synthetic 0 sample 1 µs before each series' first sample, so a
+    counter's value at birth counts as increase (the first real sample is
+    otherwise only the baseline). One partial aggregate per series."""
+    samples, keep = _keep_cols(with_series(samples), keep)
+    born = (samples.groupBy(*SERIES, *keep).agg(F.min("ts").alias("_t0"))
+            .select(*SERIES, *keep, (F.col("_t0") - F.expr("INTERVAL 1 MICROSECOND")).alias("ts"),
+                    F.lit(0.0).alias("value")))
+    return samples.select(*SERIES, *keep, "ts", "value").unionByName(born)
+
+
 def counter_increase(samples: DataFrame, range_: str = "1h", step: str = "1m",
-                     min_samples: int = 2, chunk: str = "1h", keep=()) -> DataFrame:
+                     min_samples: int = 2, chunk: str = "1h", keep=(),
+                     count_birth: bool = False) -> DataFrame:
     """``increase(x[range])`` per series at every step -> (metric,
-    labels_key, *keep, eval_ts, increase, samples)."""
+    labels_key, *keep, eval_ts, increase, samples). With ``count_birth`` a
+    series' first value counts from 0 (see :func:`with_birth_zeros`)."""
+    if count_birth:
+        samples = with_birth_zeros(samples, keep)
     return increase_from_adjusted(reset_adjusted(samples, chunk, keep), range_, step, min_samples, keep)
 
 

@@ -138,3 +138,11 @@ def test_fixture_series_key_equals_canonical(spark, sf0001):
     from lakeride.sources import fixtures as FX
     s = FX.metric_samples(FX.load_table(spark, sf0001, "events"))
     assert s.filter(F.col("labels_key") != M.labels_key(F.col("labels"))).count() == 0
+
+
+def test_count_birth_option(spark):
+    df = samples(spark, [(30, 1), (90, 1)])
+    base = as_map(M.counter_increase(df, "5m", "1m"), "increase")
+    born = as_map(M.counter_increase(df, "5m", "1m", count_birth=True), "increase")
+    assert base[120] == 0.0          # born at 1: the first sample is only the baseline
+    assert born[60] == 1.0 and born[120] == 1.0
