@@ -170,9 +170,10 @@ def rule_vectors(samples: DataFrame, rules=ALERT_RULES, step: str = "1m") -> Dat
         by_range: dict[str | None, list[AlertRule]] = {}
         for r in group:
             by_range.setdefault(r.range_, []).append(r)
-        adj = M.reset_adjusted(sel, keep=keep) if any(k is not None for k in by_range) else None
+        adj = M.reset_adjusted(sel, "1h", keep=keep) if any(k is not None for k in by_range) else None
         for rng, rs in by_range.items():
-            vec = (M.increase_from_adjusted(adj, rng, step, keep=keep).withColumnRenamed("increase", "value")
+            vec = (M.increase_from_adjusted(adj, rng, step, keep=keep, chunk="1h")
+                   .withColumnRenamed("increase", "value")
                    if rng else M.instant_last(sel, step, keep=keep))
             tags = F.array(*[
                 F.when(_rule_filter(r) & _cmp(F.col("value"), r.op, r.threshold),

@@ -140,9 +140,11 @@ def reset_adjusted(samples: DataFrame, chunk: str | int = "1h", keep=()) -> Data
     cu = seconds(chunk) * US
     samples, keep = _keep_cols(with_series(samples), keep)
     keys = [*SERIES, *keep, "_c"]
-    # non-nullable chunk key: no isnotnull() gets inferred from the join and
-    # pushed into one branch only, so both branches plan the same exchange
-    chunk_id = F.coalesce(F.floor(micros(F.col("ts")) / F.lit(cu)), F.lit(0)).cast("long")
+    # right-closed chunks ((c-1)cu, c*cu] like the buckets, so a bucket whose
+    # width divides the chunk never straddles two chunks; non-nullable so no
+    # isnotnull() gets inferred from the join and pushed into one branch only
+    chunk_id = F.coalesce(F.expr(f"(unix_micros(cast(ts as timestamp)) + {cu - 1}) div {cu}"),
+                          F.lit(0)).cast("long")
     d = samples.select(*SERIES, *keep, "ts", "value", chunk_id.alias("_c"))
     w = Window.partitionBy(*keys).orderBy("ts", "value")
     prev = F.lag("value").over(w)
@@ -163,11 +165,12 @@ def reset_adjusted(samples: DataFrame, chunk: str | int = "1h", keep=()) -> Data
     offsets = summ.select(*keys, (F.coalesce(F.sum("_tot").over(
         wc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)) + F.col("_bd")).alias("_offset"))
     return (local.join(offsets, keys, "inner")
-            .select(*SERIES, *keep, "ts", "value", (F.col("_offset") + F.col("_local")).alias("adj")))
+            .select(*SERIES, *keep, "ts", "value", (F.col("_offset") + F.col("_local")).alias("adj"),
+                    F.col("_c").alias("_chunk_id")))
 
 
 def increase_from_adjusted(adj: DataFrame, range_: str = "1h", step: str = "1m",
-                           min_samples: int = 2, keep=()) -> DataFrame:
+                           min_samples: int = 2, keep=(), chunk: str | int | None = "1h") -> DataFrame:
     """Increase vector from samples that already carry ``adj`` (several
     ranges can share one :func:`reset_adjusted` pass).
 
@@ -182,8 +185,13 @@ def increase_from_adjusted(adj: DataFrame, range_: str = "1h", step: str = "1m",
     g, R, S = _grid(r, s)
     adj, keep = _keep_cols(adj, keep)
     keys = [*SERIES, *keep]
+    # rows still hash-partitioned by (series, chunk) from reset_adjusted
+    # (``chunk`` must be the width used there): when buckets nest in chunks,
+    # grouping by the chunk too needs no new shuffle
+    chunk_us = seconds(chunk) * US if chunk and "_chunk_id" in adj.columns else 0
+    nest = ["_chunk_id"] if chunk_us and chunk_us % (g * US) == 0 else []
     pre = (adj.withColumn("_b", _bucket(g))
-           .groupBy(*keys, "_b")
+           .groupBy(*keys, *nest, "_b")
            .agg(F.min("adj").alias("_lo_adj"), F.max("adj").alias("_hi_adj"),
                 F.count(F.lit(1)).alias("_n")))
     w = Window.partitionBy(*keys).orderBy("_b")
@@ -231,7 +239,8 @@ def counter_increase(samples: DataFrame, range_: str = "1h", step: str = "1m",
     series' first value counts from 0 (see :func:`with_birth_zeros`)."""
     if count_birth:
         samples = with_birth_zeros(samples, keep)
-    return increase_from_adjusted(reset_adjusted(samples, chunk, keep), range_, step, min_samples, keep)
+    return increase_from_adjusted(reset_adjusted(samples, chunk, keep), range_, step, min_samples, keep,
+                                  chunk)
 
 
 def counter_rate(samples: DataFrame, range_: str = "5m", step: str = "1m", **kw) -> DataFrame:
