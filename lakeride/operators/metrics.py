@@ -94,11 +94,9 @@ def _bucket(g: int) -> Column:
 
 def _owned_evals(pre: DataFrame, R: int, S: int, keys) -> DataFrame:
     """Adds ``_m`` (exploded): the eval indices bucket ``_b`` is the latest
-    bucket for, i.e. m*S in [b, min(next bucket - 1, b + R - 1)].
-    Also adds ``_cum`` (running sample count per series, inclusive)."""
+    bucket for, i.e. m*S in [b, min(next bucket - 1, b + R - 1)]."""
     w = Window.partitionBy(*keys).orderBy("_b")
-    d = pre.select("*", F.lead("_b").over(w).alias("_nb"),
-                   F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_cum"))
+    d = pre.select("*", F.lead("_b").over(w).alias("_nb"))
     last_pos = F.least(F.coalesce(F.col("_nb") - 1, F.col("_b") + (R - 1)), F.col("_b") + (R - 1))
     lo = F.expr(f"(_b + {S - 1}) div {S}")
     hi = F.floor(last_pos / F.lit(S)).cast("long")
@@ -260,7 +258,7 @@ def instant_last(samples: DataFrame, step: str = "1m", lookback: str = "5m", kee
     keys = [*SERIES, *keep]
     pre = (d.withColumn("_b", _bucket(g))
            .groupBy(*keys, "_b")
-           .agg(F.max_by("value", "ts").alias("value"), F.count(F.lit(1)).alias("_n")))
+           .agg(F.max_by("value", "ts").alias("value")))
     return _owned_evals(pre, R, S, keys).select(*keys, _eval_ts(s), "value")
 
 
