@@ -24,3 +24,13 @@ def test_query_runs_on_smallest_scale(spark, sf0001, name):
     df = E.queries()[name](spark, sf0001)
     df.limit(1).collect()
     assert len(df.columns) == len(set(df.columns))
+
+
+FORBIDDEN_PLAN_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct",
+                        "BroadcastNestedLoopJoin", "FlatMapGroupsInPandas", "MapInPandas")
+
+
+@pytest.mark.parametrize("name", [k for k in E.queries() if not k.startswith("stream_")])
+def test_plans_stay_jvm_side_without_cross_joins(spark, sf0001, name):
+    plan = E.queries()[name](spark, sf0001)._jdf.queryExecution().executedPlan().toString()
+    assert not [n for n in FORBIDDEN_PLAN_NODES if n in plan]
