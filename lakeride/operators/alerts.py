@@ -127,16 +127,6 @@ def rule_vector(samples: DataFrame, rule: AlertRule, step: str = "1m") -> DataFr
     return vec.select("metric", "labels_key", "eval_ts", "value")
 
 
-def _any_matcher(rules) -> Column:
-    cond = F.lit(False)
-    for r in rules:
-        c = F.lit(True)
-        for k, spec in r.matchers.items():
-            c = c & M.matcher(k, spec)
-        cond = cond | c
-    return cond
-
-
 def _rule_filter(rule: AlertRule) -> Column:
     """Matchers of one rule over label columns carried by a vector."""
     c = F.lit(True)
@@ -148,43 +138,64 @@ def _rule_filter(rule: AlertRule) -> Column:
     return c
 
 
+def _tag(vec: DataFrame, rules, step_s: int) -> DataFrame:
+    """Keep the vector rows that satisfy a rule (metric, matchers, threshold),
+    one output row per satisfied rule."""
+    tag_t = "struct<alertname:string,severity:string,component:string,_for_steps:int>"
+    tags = F.array(*[
+        F.when((F.col("metric") == F.lit(r.metric)) & _rule_filter(r) & _cmp(F.col("value"), r.op, r.threshold),
+               F.struct(F.lit(r.name).alias("alertname"), F.lit(r.severity).alias("severity"),
+                        F.lit(r.component).alias("component"),
+                        F.lit(math.ceil(seconds(r.for_) / step_s)).alias("_for_steps")))
+        .otherwise(F.lit(None).cast(tag_t)) for r in rules])
+    return (vec.select("labels_key", "eval_ts", F.explode(F.filter(tags, lambda x: x.isNotNull())).alias("_r"))
+            .select("_r.alertname", "_r.severity", "_r.component", "labels_key", "eval_ts", "_r._for_steps"))
+
+
+def _selection(samples: DataFrame, rules):
+    cond = F.lit(False)
+    for r in rules:
+        cond = cond | ((F.col("metric") == F.lit(r.metric)) & _rule_filter_on_labels(r))
+    keep = sorted({k for r in rules for k in r.matchers})
+    return M.with_series(samples.filter(cond)), keep
+
+
+def _rule_filter_on_labels(rule: AlertRule) -> Column:
+    c = F.lit(True)
+    for k, spec in rule.matchers.items():
+        c = c & M.matcher(k, spec)
+    return c
+
+
 def rule_vectors(samples: DataFrame, rules=ALERT_RULES, step: str = "1m") -> DataFrame:
     """Active steps of every rule -> (alertname, severity, component,
     labels_key, eval_ts, _for_steps).
 
-    Rules on the same metric share work: one selection (union of their
-    matchers), one reset-adjusted pass for all range rules and one vector
-    per distinct range. Each vector row is then tagged with the rules whose
-    matchers and threshold it satisfies (an explode over a short array), so
-    the vector is computed and referenced once however many rules use it.
+    Work is shared: all instant-vector rules are evaluated in one bucket pass
+    over their metrics; range rules on one metric share one selection, one
+    reset-adjusted pass and one vector per distinct range. Each vector row
+    is then tagged with the rules whose metric, matchers and threshold it
+    satisfies (an explode over a short array), so a vector is computed and
+    referenced once however many rules use it.
     """
     s = seconds(step)
+    parts = []
+    instant = [r for r in rules if not r.range_]
+    if instant:
+        sel, keep = _selection(samples, instant)
+        parts.append(_tag(M.instant_last(sel, step, keep=keep), instant, s))
     by_metric: dict[str, list[AlertRule]] = {}
     for r in rules:
-        by_metric.setdefault(r.metric, []).append(r)
-    tag_t = "struct<alertname:string,severity:string,component:string,_for_steps:int>"
-    parts = []
-    for metric, group in by_metric.items():
-        sel = M.with_series(M.select_series(samples, metric).filter(_any_matcher(group)))
-        keep = sorted({k for r in group for k in r.matchers})
-        by_range: dict[str | None, list[AlertRule]] = {}
-        for r in group:
-            by_range.setdefault(r.range_, []).append(r)
-        adj = M.reset_adjusted(sel, "1h", keep=keep) if any(k is not None for k in by_range) else None
-        for rng, rs in by_range.items():
+        if r.range_:
+            by_metric.setdefault(r.metric, []).append(r)
+    for group in by_metric.values():
+        sel, keep = _selection(samples, group)
+        adj = M.reset_adjusted(sel, "1h", keep=keep)
+        for rng in sorted({r.range_ for r in group}):
+            rs = [r for r in group if r.range_ == rng]
             vec = (M.increase_from_adjusted(adj, rng, step, keep=keep, chunk="1h")
-                   .withColumnRenamed("increase", "value")
-                   if rng else M.instant_last(sel, step, keep=keep))
-            tags = F.array(*[
-                F.when(_rule_filter(r) & _cmp(F.col("value"), r.op, r.threshold),
-                       F.struct(F.lit(r.name).alias("alertname"), F.lit(r.severity).alias("severity"),
-                                F.lit(r.component).alias("component"),
-                                F.lit(math.ceil(seconds(r.for_) / s)).alias("_for_steps")))
-                .otherwise(F.lit(None).cast(tag_t)) for r in rs])
-            parts.append(vec.select("labels_key", "eval_ts",
-                                    F.explode(F.filter(tags, lambda x: x.isNotNull())).alias("_r"))
-                         .select("_r.alertname", "_r.severity", "_r.component", "labels_key", "eval_ts",
-                                 "_r._for_steps"))
+                   .withColumnRenamed("increase", "value"))
+            parts.append(_tag(vec, rs, s))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
