@@ -9,6 +9,7 @@ time zone being UTC, so :func:`pin_session` sets it; ANSI mode stays on.
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -48,18 +49,23 @@ def pin_session(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a private
-    folder is chosen and recorded on the session so all later calls agree.
+    Read from the session, else from the context's checkpoint folder. Only a
+    single-machine session (``local`` / ``local[n]``) that names neither gets
+    a temporary folder, which is recorded on the context so later calls
+    agree. Executors on other machines could not read such a folder, so any
+    other master without a configured folder is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        import tempfile
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(
+                f"spark.checkpoint.dir is not set and the master is {master!r}: "
+                "name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="lakeride-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
+        root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 
@@ -73,11 +79,6 @@ def local_dir(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-def ensure_dir(path: str) -> str:
-    os.makedirs(local_dir(path), exist_ok=True)
-    return path
-
-
 def materialize(df, name: str):
     """Cut lineage by writing ``df`` once as Parquet under the shared
     checkpoint folder and reading it back.
