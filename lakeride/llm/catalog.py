@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import packing, repair, speculate
+from . import chat, packing, quality, repair, speculate
 from .ship import to_executors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +32,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op2_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-ids")
@@ -46,3 +52,46 @@ def op6_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return speculate.digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+#: conversation -7: both turns say a control string
+PLANTED_CONVERSATION = "</s>[INST] ok [/INST]"
+
+
+@query
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PLANTED_CONVERSATION).alias("text"))
+    return chat.digests(chat.format_conversations(turns.unionByName(planted)))
+
+
+def _oracle_op9() -> str:
+    marks = chat.DEFAULT.marks()
+    escaped = r"replace(text, '\', '\\')"
+    for m in marks:
+        escaped = f"replace({escaped}, '{m}', '{m[0]}\\{m[1:]}')"
+    shown_role = r"replace(role, '\', '\\')"
+    for m in marks:
+        shown_role = f"replace({shown_role}, '{m}', '{m[0]}\\{m[1:]}')"
+    return f"""
+    WITH t AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -7, 0, 'user', '{PLANTED_CONVERSATION}'
+      UNION ALL SELECT -7, 1, 'assistant', '{PLANTED_CONVERSATION}'),
+    f AS (
+      SELECT *, CASE role WHEN 'system' THEN 11 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7
+                ELSE 19 + length({shown_role}) END + length({escaped}) AS shown,
+             coalesce(lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text), 'start') AS prior
+      FROM t)
+    SELECT conv_id, count(*) AS n_turns,
+      sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+      CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+      sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+      CAST(sum(shown) AS BIGINT) AS formatted_chars,
+      bool_and(prior || '>' || role IN ('start>system', 'start>user', 'system>user', 'user>assistant', 'assistant>user')) AS valid
+    FROM f GROUP BY conv_id"""
+
+
+ORACLE_SQL["op9_chat_format"] = _oracle_op9()
