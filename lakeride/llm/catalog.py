@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import chat, packing, quality, repair, speculate
+from . import chat, langid, packing, quality, repair, speculate
 from .ship import to_executors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,17 @@ def op2_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+HELD_OUT = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+
+
+@query
+def op3_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    profiles = langid.train(docs.where(~HELD_OUT))
+    return langid.predict(docs, profiles, ["doc_id"]).select(
+        "doc_id", F.coalesce(HELD_OUT, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op5_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-ids")
