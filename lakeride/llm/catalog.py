@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import chat, langid, packing, quality, repair, speculate
+from . import chat, langid, packing, quality, repair, speculate, toxicity
 from .ship import to_executors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,6 +65,14 @@ def op7_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return speculate.digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+@query
+def op8_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, toxicity.severity_labels(table(spark, sf_dir, "labels")))
+    graded = toxicity.grade_documents(docs, model, ["doc_id"])
+    return graded.withColumn("kept", ~F.col("toxic"))
+
+
 #: conversation -7: both turns say a control string
 PLANTED_CONVERSATION = "</s>[INST] ok [/INST]"
 
