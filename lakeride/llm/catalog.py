@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import chat, langid, packing, quality, repair, speculate, toxicity
+from . import chat, langid, neardup, packing, quality, repair, speculate, toxicity
 from .ship import to_executors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,8 @@ def _oracle_op9() -> str:
 
 
 ORACLE_SQL["op9_chat_format"] = _oracle_op9()
+
+
+@query
+def op10_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Params(words=4))

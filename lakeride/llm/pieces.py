@@ -79,13 +79,13 @@ def split_dropping_spaces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 class PieceCoder:
     """Codes of texts, through ``code_pieces(list of str) -> (codes, count of each)``."""
 
-    def __init__(self, split: Callable, code_pieces: Callable, cap: int = CACHE_PIECES):
-        self.split, self.code_pieces, self.cap = split, code_pieces, cap
+    def __init__(self, split: Callable, code_pieces: Callable, cap: int = CACHE_PIECES, dtype=np.int32):
+        self.split, self.code_pieces, self.cap, self.dtype = split, code_pieces, cap, dtype
         self._forget()
 
     def _forget(self) -> None:
         self.slot: dict[str, int] = {}
-        self.flat = np.empty(1 << 16, np.int32)
+        self.flat = np.empty(1 << 16, self.dtype)
         self.start = np.zeros(1 << 14, np.int64)  # start[slot] .. start[slot + 1]
 
     def _learn(self, words: list[str]) -> None:

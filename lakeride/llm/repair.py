@@ -214,7 +214,8 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     before = (files.groupBy("part").agg(F.sum("n_ids").alias("n"))
               .select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(
                   Window.unboundedPreceding, -1)), F.lit(0)).alias("before")))
-    shards = files.join(before, "part").select((F.col("before") + F.col("offset")).alias("base"),
+    # one row per file part, so the broadcast is bounded by the number of parts
+    shards = files.join(F.broadcast(before), "part").select((F.col("before") + F.col("offset")).alias("base"),
                                                "doc_ids", "doc_tokens", "payload")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
