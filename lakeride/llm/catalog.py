@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import chat, langid, neardup, packing, quality, repair, speculate, toxicity
+from . import ann, chat, langid, neardup, packing, quality, repair, speculate, toxicity
 from .ship import to_executors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,12 @@ def op3_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(HELD_OUT, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op4_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 @query
 def op5_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-ids")
