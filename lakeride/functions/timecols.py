@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as _dt
+import re
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -53,13 +55,24 @@ def from_micros(us: Column) -> Column:
     return F.timestamp_micros(us).cast("timestamp_ntz")
 
 
+_UNIT_MICROS = {"ms": 1_000, "s": 1_000_000, "m": 60_000_000, "h": 3_600_000_000,
+                "d": 86_400_000_000, "w": 604_800_000_000}
+_PART = re.compile(r"(\d+(?:\.\d+)?)(ms|s|m|h|d|w)")
+
+
 def seconds(duration: str | int | float) -> int:
-    """'90s', '5m', '1h', '2d' or a number of seconds -> whole seconds."""
-    if isinstance(duration, (int, float)):
-        return int(duration)
-    s = duration.strip().lower()
-    units = {"ms": 0.001, "s": 1, "m": 60, "h": 3600, "d": 86400, "w": 604800}
-    for suffix in ("ms", "s", "m", "h", "d", "w"):
-        if s.endswith(suffix) and s[: -len(suffix)].replace(".", "", 1).isdigit():
-            return int(float(s[: -len(suffix)]) * units[suffix])
-    return int(float(s))
+    """'90s', '5m', '1m30s', '1.5h' or a number of seconds -> whole seconds.
+
+    What is not a whole number of seconds, or no duration, is an error: a
+    step or range cut to full seconds would silently change every result.
+    """
+    text = str(duration).strip().lower()
+    if re.fullmatch(r"\d+(\.\d+)?", text):
+        us = Decimal(text) * 1_000_000
+    elif text and _PART.sub("", text) == "":
+        us = sum(Decimal(n) * _UNIT_MICROS[unit] for n, unit in _PART.findall(text))
+    else:
+        raise ValueError(f"not a duration: {duration!r}")
+    if us % 1_000_000:
+        raise ValueError(f"not a whole number of seconds: {duration!r}")
+    return int(us // 1_000_000)

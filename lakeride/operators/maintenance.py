@@ -12,13 +12,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.schemas import GOLD_KEY
+from ..functions.schemas import GOLD, GOLD_KEY
 from ..functions.timecols import seconds, ts_lit
-from .gold import latest_per_key
+from .gold import newest_first
 
 TARGET_FILE_BYTES = 134_217_728  # fixed value: target data-file size
 
 
+def ledger(spark: SparkSession, path: str, schema=GOLD) -> DataFrame:
+    """An append-only table, the input of the version operations. A table that a replace has
+    overwritten lacks the rows of earlier commits and is refused."""
+    from ..sources.tables import REPLACED, path_exists
+    if path_exists(spark, f"{path}/{REPLACED}"):
+        raise ValueError(f"{path} was written in replace mode: earlier commits cannot be read back; append, "
+                         "and read the current rows with latest_per_key")
+    return spark.read.schema(schema).parquet(path)
+
+
 def snapshot_log(table: DataFrame, version_col: str = "updated_at") -> DataFrame:
     """One row per commit, newest first: snapshot_id (1 = oldest),
     committed_at, operation, rows. The table is reduced to one row per
@@ -32,7 +42,8 @@ def snapshot_log(table: DataFrame, version_col: str = "updated_at") -> DataFrame
 
 
 def as_of_read(table: DataFrame, commit_ts, version_col: str = "updated_at") -> DataFrame:
-    """The table as it was right after the commit at ``commit_ts``."""
+    """The table as it was right after the commit at ``commit_ts``: an append-only table
+    (:func:`ledger`, or silver with its ``updated_at``)."""
     return table.filter(F.col(version_col) <= ts_lit(commit_ts))
 
 
@@ -49,7 +60,7 @@ def expire_versions(table: DataFrame, as_of=None, retention: str = "7d", key=GOL
     """Drop versions older than the retention unless they are still the
     current row of their key; the current state is never lost."""
     bound = ts_lit(as_of) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(seconds(retention)))
-    w = Window.partitionBy(*key).orderBy(F.col(version_col).desc_nulls_last())
+    w = Window.partitionBy(*key).orderBy(*newest_first(table, key, version_col))
     return (table.withColumn("_rn", F.row_number().over(w))
             .filter((F.col(version_col) >= bound) | (F.col("_rn") == 1)).drop("_rn"))
 
@@ -80,16 +91,22 @@ def compact(spark: SparkSession, src: str, dst: str, partition_col: str,
 
 
 def evolve_schema(spark: SparkSession, path: str, rename: dict[str, str] | None = None,
-                  drop: tuple[str, ...] = ()) -> DataFrame:
+                  drop: tuple[str, ...] = (), schema=None) -> DataFrame:
     """Read a table whose files carry different column sets (added columns
     are NULL where absent), then apply renames ``{new: old}`` and drops as
-    a projection; no data file is rewritten."""
-    df = spark.read.option("mergeSchema", "true").parquet(path)
+    a projection; no data file is rewritten. Files from before and after a
+    rename may both be there: the new name is read first, else the old one.
+
+    ``schema`` is the declared union of all columns, old and new names; with
+    it no file footer is opened to find them (without, every footer is)."""
+    df = spark.read.schema(schema).parquet(path) if schema is not None else spark.read.option("mergeSchema", "true").parquet(path)
     rename = rename or {}
+    here = set(df.columns)
     old_to_new = {old: new for new, old in rename.items()}
-    cols = [F.col(c).alias(old_to_new.get(c, c)) for c in df.columns if c not in drop]
+    cols = []
+    for c in df.columns:
+        if c in drop or (c in old_to_new and old_to_new[c] in here):
+            continue
+        old = rename.get(c)
+        cols.append(F.coalesce(c, old).alias(c) if old in here else F.col(c).alias(old_to_new.get(c, c)))
     return df.select(*cols)
-
-
-def current_version(table: DataFrame, key=GOLD_KEY, version_col: str = "updated_at") -> DataFrame:
-    return latest_per_key(table, key, version_col)

@@ -111,14 +111,14 @@ def dq_gate(silver: DataFrame, as_of=None, **kw) -> tuple[bool, DataFrame]:
 def gated_gold(silver: DataFrame, gold_path: str, as_of=None, now=None, mode: str = "replace",
                results_path: str | None = None) -> GateOutcome:
     """Gate -> rollup -> write; no write at all unless every check passes."""
-    from .gold import hourly_gold, write_gold
+    from .gold import covered_dates, hourly_gold, write_gold
 
     passed, results = dq_gate(silver, as_of)
     if results_path:
         results.write.mode("append").parquet(results_path)
     if not passed:
         return GateOutcome(False, results, False)
-    write_gold(hourly_gold(silver, as_of, now), gold_path, mode)
+    write_gold(hourly_gold(silver, as_of, now), gold_path, mode, covered_dates(as_of))
     return GateOutcome(True, results, True)
 
 

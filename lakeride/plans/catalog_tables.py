@@ -6,9 +6,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.schemas import GOLD
+from ..functions.schemas import GOLD, SILVER
 from ..operators import gold as G
 from ..operators import maintenance as MT
+from ..operators import quality as Q
 from ..operators import reports as R
 from ..session import scratch_path
 from ..sources import fixtures as FX
@@ -31,7 +32,7 @@ def ledger(spark, d):
     path = scratch_path(spark, "gold-ledger")
     G.write_gold(gold_first(spark, d), path, mode="append")
     G.write_gold(gold_second(spark, d), path, mode="append")
-    return spark.read.schema(GOLD).parquet(path), path
+    return MT.ledger(spark, path), path
 
 
 def _gold_cols(df):
@@ -53,6 +54,81 @@ def _gold_replace_twice(spark, d):
     return _gold_cols(spark.read.schema(GOLD).parquet(path))
 
 
+@register("gold_replace_emptied_date")
+def _gold_replace_emptied_date(spark, d):
+    """The second run finds every trip of one of its dates invalid: that date must leave the table."""
+    path = scratch_path(spark, "gold-emptied")
+    G.write_gold(gold_first(spark, d), path, covered=G.covered_dates(P.GOLD_AS_OF))
+    rows = silver(spark, d)
+    rows = rows.withColumn("is_valid", F.col("is_valid") & F.coalesce(F.col("event_date") != P.EMPTIED_DATE, F.lit(True)))
+    G.write_gold(G.hourly_gold(rows, as_of=P.GOLD_AS_OF_2, now=P.GOLD_NOW_2), path, covered=G.covered_dates(P.GOLD_AS_OF_2))
+    return _gold_cols(spark.read.schema(GOLD).parquet(path))
+
+
+@register("rollback_read")
+def _rollback_read(spark, d):
+    """The ledger rolled back to its first commit, read from the new path."""
+    path = scratch_path(spark, "gold-rolled-back")
+    MT.rollback(ledger(spark, d)[0], P.GOLD_NOW, path)
+    return _gold_cols(spark.read.schema(GOLD).parquet(path))
+
+
+@register("silver_as_of")
+def _silver_as_of(spark, d):
+    """Silver written by two commits, read as it was after the first."""
+    path = scratch_path(spark, "silver-as-of")
+    s = silver(spark, d)
+    early = F.coalesce(F.col("event_date") < P.EVOLVE_SPLIT, F.lit(False))
+    write_layer(s.filter(early), path, "silver")
+    write_layer(s.filter(~early).withColumn("updated_at", F.lit(P.GOLD_NOW_2).cast("timestamp_ntz")), path, "silver")
+    return MT.as_of_read(MT.ledger(spark, path, SILVER), P.INGEST_NOW).select(*s.columns)
+
+
+# ---- gated gold ----------------------------------------------------------------
+
+def _complete(rows):
+    return rows.filter(F.col("base_fare").isNotNull() & F.col("customer_id").isNotNull())
+
+
+@register("gated_gold_pass")
+def _gated_gold_pass(spark, d):
+    """Checks pass, so the rollup is written; read back from its path."""
+    path = scratch_path(spark, "gated-pass")
+    Q.gated_gold(_complete(silver(spark, d)), path, P.GOLD_AS_OF, P.GOLD_NOW)
+    return _gold_cols(spark.read.schema(GOLD).parquet(path))
+
+
+@register("gated_gold_blocked")
+def _gated_gold_blocked(spark, d):
+    """A passing run, then one that the null check blocks: the table keeps the first run's rows."""
+    path = scratch_path(spark, "gated-blocked")
+    Q.gated_gold(_complete(silver(spark, d)), path, P.GOLD_AS_OF, P.GOLD_NOW)
+    Q.gated_gold(silver(spark, d), path, P.GOLD_AS_OF_2, P.GOLD_NOW_2)
+    return _gold_cols(spark.read.schema(GOLD).parquet(path))
+
+
+@register("gated_gold_rerun")
+def _gated_gold_rerun(spark, d):
+    """The same run twice: its dates are replaced, one row per key."""
+    path = scratch_path(spark, "gated-rerun")
+    for now in (P.GOLD_NOW, P.GOLD_NOW_2):
+        Q.gated_gold(_complete(silver(spark, d)), path, P.GOLD_AS_OF, now)
+    return _gold_cols(spark.read.schema(GOLD).parquet(path))
+
+
+@register("evolve_rename")
+def _evolve_rename(spark, d):
+    """Files from before a rename and from after it, read under the new name."""
+    path = scratch_path(spark, "silver-rename")
+    s = silver(spark, d)
+    early = F.coalesce(F.col("event_date") < P.EVOLVE_SPLIT, F.lit(False))
+    write_layer(s.filter(early), path, "silver")
+    write_layer(s.filter(~early).withColumnRenamed("route_name", "route"), path, "silver")
+    both = s.withColumn("route", F.col("route_name")).schema
+    return MT.evolve_schema(spark, path, rename={"route": "route_name"}, schema=both).select(
+        "trip_id", "route", "base_fare", "event_date")
+
+
 @register("latest_per_key")
 def _latest_per_key(spark, d):
     return _gold_cols(G.latest_per_key(ledger(spark, d)[0]))
@@ -73,14 +149,24 @@ def _expire_versions(spark, d):
     return _gold_cols(MT.expire_versions(ledger(spark, d)[0], P.RETENTION_AS_OF, P.RETENTION))
 
 
+def write_in_batches(silver_rows, path, batches):
+    """One append per (from, to) of event_date, None being open, and one for rows without a date."""
+    for lo, hi in batches:
+        inside = F.col("event_date").isNotNull()
+        if lo is not None:
+            inside &= F.col("event_date") >= lo
+        if hi is not None:
+            inside &= F.col("event_date") < hi
+        write_layer(silver_rows.filter(inside), path, "silver")
+    write_layer(silver_rows.filter(F.col("event_date").isNull()), path, "silver")
+
+
 @register("compact")
 def _compact(spark, d):
     """Silver written in many small appends, compacted to a new path."""
     src = scratch_path(spark, "silver-small")
     s = silver(spark, d)
-    for lo, hi in P.SILVER_BATCHES:
-        write_layer(s.filter((F.col("event_date") >= lo) & (F.col("event_date") < hi)), src, "silver")
-    write_layer(s.filter(F.col("event_date").isNull()), src, "silver")
+    write_in_batches(s, src, P.SILVER_BATCHES)
     return MT.compact(spark, src, scratch_path(spark, "silver-compact"), "event_date",
                       schema=None).select(*s.columns)
 
@@ -140,7 +226,7 @@ def _stream_restart(spark, d):
     """Stop after the first files, add the rest, restart on the same
     checkpoint, rerun once more with nothing new: the audit must show every
     trip exactly once."""
-    split = F.col("ts") < F.lit(P.STREAM_SPLIT).cast("timestamp_ntz")
+    split = F.coalesce(F.col("ts") < F.lit(P.STREAM_SPLIT).cast("timestamp_ntz"), F.lit(False))
     src = _stage_raw(spark, d, [split])
     paths = SM.MedallionPaths.under(scratch_path(spark, "stream-restart"))
 
@@ -159,12 +245,19 @@ def _stream_restart(spark, d):
 
 @register("hourly_gold_stream")
 def _hourly_gold_stream(spark, d):
-    """Streaming rollup (approximate distinct drivers, watermark-closed
-    windows only) -> rows-only check."""
-    src = _stage_raw(spark, d, [F.lit(True)])
-    out = scratch_path(spark, "gold-stream")
-    ckpt = scratch_path(spark, "gold-stream-ckpt")
-    q = SM.start_layer(SM.hourly_gold_stream(SM.silver_stream(SM.read_trip_stream(spark, "text", src))),
-                       out, ckpt, "availableNow", partition_col="report_date")
-    SM.await_all(q)
-    return spark.read.parquet(out).drop("updated_at")
+    """Gold kept up to date from a silver table that grows in two steps, over all dates."""
+    split = F.coalesce(F.col("ts") < F.lit(P.STREAM_SPLIT).cast("timestamp_ntz"), F.lit(False))
+    ev = FX.load_table(spark, d, "events")
+    src = _stage_raw(spark, d, [split])
+    paths = SM.MedallionPaths.under(scratch_path(spark, "gold-stream"))
+    out, ckpt = scratch_path(spark, "gold-stream-out"), scratch_path(spark, "gold-stream-ckpt")
+
+    def once():
+        SM.await_all(SM.start_layer(SM.silver_stream(SM.read_trip_stream(spark, "text", src)),
+                                    paths.silver, paths.silver_checkpoint, "availableNow"))
+        SM.await_all(SM.hourly_gold_stream(spark, paths.silver, out, ckpt, "availableNow"))
+
+    once()
+    FX.raw_trip_json(ev.filter(~split)).write.mode("append").text(src)
+    once()
+    return _gold_cols(spark.read.schema(GOLD).parquet(out)).drop("updated_at")

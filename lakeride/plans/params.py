@@ -29,7 +29,9 @@ RETENTION_AS_OF = "2024-02-01 02:30:00"  # expire ledger versions older than 1 h
 RETENTION = "1h"
 
 # table maintenance / streaming fixtures (splits together cover every row)
-SILVER_BATCHES = [("2024-01-01", "2024-01-08"), ("2024-01-08", "2024-01-15"),
-                  ("2024-01-15", "2024-01-22"), ("2024-01-22", "2100-01-01")]
+# the first and the last batch are open-ended
+SILVER_BATCHES = [(None, "2024-01-08"), ("2024-01-08", "2024-01-15"),
+                  ("2024-01-15", "2024-01-22"), ("2024-01-22", None)]
+EMPTIED_DATE = "2024-01-20"
 EVOLVE_SPLIT = "2024-01-16"
 STREAM_SPLIT = "2024-01-16 00:00:00"

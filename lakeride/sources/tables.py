@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..functions.schemas import BRONZE, GOLD, PARTITION_COLUMN, SILVER
 
@@ -59,12 +58,29 @@ def scan_table(spark: SparkSession, path: str, layer: str | None = None) -> Data
     return reader.parquet(path)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - resolves the path
-        return True
-    except AnalysisException:
-        return False
+REPLACED = "_REPLACED"  # readers skip names that start with an underscore
+
+
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Removes a folder in any file system that Spark can write to."""
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
+def mark_replaced(spark: SparkSession, path: str) -> None:
+    """Notes in the table's folder that rows were overwritten, so it holds no full history."""
+    fs, p = _hadoop(spark, f"{path}/{REPLACED}")
+    fs.create(p, True).close()
 
 
 def write_layer(df: DataFrame, path: str, layer: str, mode: str = "append",
@@ -97,3 +113,4 @@ def create_tables(spark: SparkSession, paths: dict[str, str], drop_existing: boo
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in LAYER_SCHEMA[layer].fields)
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
                   f"PARTITIONED BY ({PARTITION_COLUMN[layer]}) LOCATION '{path}'")
+        spark.sql(f"MSCK REPAIR TABLE {name}")  # dates that are there already

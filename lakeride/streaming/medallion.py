@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.schemas import SILVER
+from ..operators.gold import hourly_rollup, write_gold
 from ..operators.ingest import decode_trip_json, flatten_bronze, flatten_silver
 from ..session import scratch_path
 
@@ -31,19 +33,21 @@ CHECKPOINT_INTERVAL = "60 seconds"
 def read_trip_stream(spark: SparkSession, source: str = "kafka", path: str | None = None,
                      bootstrap_servers: str | None = None, topic: str = TOPIC,
                      starting_offsets: str = STARTING_OFFSETS,
-                     max_per_trigger: int | None = None) -> DataFrame:
+                     max_per_trigger: int | None = None, fail_on_data_loss: bool = True) -> DataFrame:
     """Streaming ``DataFrame[value STRING]`` of raw messages.
 
     ``source='kafka'`` subscribes to the topic (offsets live in the query
-    checkpoint, so a restart resumes where it stopped); ``source='text'``
-    reads new files of ``path`` (one message per line).
+    checkpoint, so a restart resumes where it stopped). Offsets that the topic
+    no longer holds stop the query; ``fail_on_data_loss=False`` skips them
+    and loses those messages. ``source='text'`` reads new files of ``path``
+    (one message per line).
     """
     if source == "kafka":
         reader = (spark.readStream.format("kafka")
                   .option("kafka.bootstrap.servers", bootstrap_servers or "")
                   .option("subscribe", topic)
                   .option("startingOffsets", starting_offsets)
-                  .option("failOnDataLoss", "false"))
+                  .option("failOnDataLoss", str(fail_on_data_loss).lower()))
         if max_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
         return reader.load().select(F.col("value").cast("string").alias("value"))
@@ -121,19 +125,22 @@ def await_all(*queries: StreamingQuery, timeout_s: float | None = None) -> None:
             raise q.exception()
 
 
-def hourly_gold_stream(silver: DataFrame, watermark: str = "2 hours") -> DataFrame:
-    """Streaming hourly rollup (append mode): windows are emitted once the
-    watermark passes their end; rows later than the watermark are dropped,
-    unlike the batch rollup. Exact distinct counts are not supported on
-    streams, so unique_drivers is approximate here; watermarks need a
-    TIMESTAMP column, so created_at is cast for the event-time window."""
-    valid = silver.filter(F.col("is_valid") == F.lit(True)).withColumn("_et", F.col("created_at").cast("timestamp"))
-    agg = (valid.withWatermark("_et", watermark)
-           .groupBy(F.window("_et", "1 hour"), F.col("route_name"))
-           .agg(F.count(F.lit(1)).alias("trip_count"), F.sum("base_fare").alias("total_revenue"),
-                F.approx_count_distinct("driver_id").alias("unique_drivers")))
-    return agg.select(F.col("window.start").cast("timestamp_ntz").alias("report_hour"), "route_name",
-                      "trip_count", "total_revenue",
-                      (F.col("total_revenue") / F.col("trip_count")).alias("avg_fare"), "unique_drivers",
-                      F.current_timestamp().cast("timestamp_ntz").alias("updated_at"),
-                      F.to_date(F.col("window.start").cast("timestamp_ntz")).alias("report_date"))
+def hourly_gold_stream(spark: SparkSession, silver_path: str, gold_path: str, checkpoint: str,
+                       trigger: str | None = CHECKPOINT_INTERVAL, now=None) -> StreamingQuery:
+    """Keeps gold up to date with a growing silver table.
+
+    Each micro-batch only tells which dates got new rows; these dates are
+    rolled up again from the silver table and replaced in gold. So late rows
+    count however late they are, distinct drivers are exact, every hour is
+    there, and a batch that is run twice leaves the same rows. What reaches
+    the driver is the dates of one batch.
+    """
+    new_rows = spark.readStream.schema(SILVER).parquet(silver_path)
+
+    def refresh(batch: DataFrame, _batch_id: int) -> None:
+        dates = [r[0] for r in batch.select("event_date").where("event_date is not null").distinct().collect()]
+        if dates:
+            rows = batch.sparkSession.read.schema(SILVER).parquet(silver_path).filter(F.col("event_date").isin(dates))
+            write_gold(hourly_rollup(rows, now), gold_path, covered=F.col("report_date").isin(dates))
+
+    return _trigger(new_rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(refresh), trigger).start()

@@ -3,6 +3,7 @@
 import glob
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakeride.operators import gold as G
@@ -80,3 +81,42 @@ def test_balanced_write_without_aqe_spreads_a_date(spark, sf0001):
         assert tasks_per_date > 1
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_batches_keep_dates_outside_any_bound(spark, sf0001):
+    from lakeride.plans import params as P
+    from lakeride.plans.catalog_tables import write_in_batches
+    rows = C.silver(spark, sf0001)
+    dates = F.when(F.col("trip_id").endswith("1"), F.lit("2023-06-01")).when(F.col("trip_id").endswith("2"), F.lit("2101-01-01"))
+    rows = rows.withColumn("event_date", F.coalesce(dates.cast("date"), "event_date"))
+    path = scratch_path(spark, "t-batches")
+    write_in_batches(rows, path, P.SILVER_BATCHES)
+    out = MT.compact(spark, path, scratch_path(spark, "t-batches-compact"), "event_date").select(*rows.columns)
+    assert out.count() == rows.count() and rows.exceptAll(out).count() == 0
+
+
+def test_replace_clears_a_date_that_lost_all_rows(spark, sf0001):
+    silver = C.silver(spark, sf0001)
+    path = scratch_path(spark, "t-emptied")
+    G.write_gold(G.hourly_gold(silver, "2024-01-15"), path, covered=G.covered_dates("2024-01-15"))
+    without = silver.filter(F.col("event_date") != "2024-01-14")
+    G.write_gold(G.hourly_gold(without, "2024-01-15"), path, covered=G.covered_dates("2024-01-15"))
+    got = spark.read.parquet(path)
+    assert got.filter("report_date = '2024-01-14'").count() == 0 and got.count() > 0
+    with pytest.raises(ValueError, match="replace mode"):
+        MT.ledger(spark, path)
+
+
+def test_rename_reads_files_from_before_and_after(spark):
+    path = scratch_path(spark, "t-rename")
+    spark.createDataFrame([(1, "a")], "id long, route_name string").write.parquet(path)
+    spark.createDataFrame([(2, "b")], "id long, route string").write.mode("append").parquet(path)
+    for schema in (None, "id long, route_name string, route string"):
+        out = MT.evolve_schema(spark, path, rename={"route": "route_name"}, schema=schema)
+        assert out.columns == ["id", "route"] and sorted(map(tuple, out.collect())) == [(1, "a"), (2, "b")]
+
+
+def test_ties_in_the_ledger_are_decided(spark):
+    rows = [("2024-01-01 00:00:00", "r", i, "2024-02-01 00:00:00") for i in (3, 9, 5)]
+    df = spark.createDataFrame(rows, "report_hour string, route_name string, trip_count long, updated_at string")
+    assert {G.latest_per_key(df.repartition(n)).head().trip_count for n in (1, 2, 3)} == {9}
