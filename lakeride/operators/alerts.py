@@ -173,7 +173,7 @@ def rule_vectors(samples: DataFrame, rules=ALERT_RULES, step: str = "1m") -> Dat
 
     Work is shared: all instant-vector rules are evaluated in one bucket pass
     over their metrics; range rules on one metric share one selection, one
-    reset-adjusted pass and one vector per distinct range. Each vector row
+    bucket pass and one vector per distinct range. Each vector row
     is then tagged with the rules whose metric, matchers and threshold it
     satisfies (an explode over a short array), so a vector is computed and
     referenced once however many rules use it.
@@ -190,10 +190,11 @@ def rule_vectors(samples: DataFrame, rules=ALERT_RULES, step: str = "1m") -> Dat
             by_metric.setdefault(r.metric, []).append(r)
     for group in by_metric.values():
         sel, keep = _selection(samples, group)
-        adj = M.reset_adjusted(sel, "1h", keep=keep)
+        width = math.gcd(s, *(seconds(r.range_) for r in group))
+        buckets = M.bucket_deltas(sel, width, keep=keep)
         for rng in sorted({r.range_ for r in group}):
             rs = [r for r in group if r.range_ == rng]
-            vec = (M.increase_from_adjusted(adj, rng, step, keep=keep, chunk="1h")
+            vec = (M.increase_from_buckets(buckets, width, rng, step, keep=keep)
                    .withColumnRenamed("increase", "value"))
             parts.append(_tag(vec, rs, s))
     out = parts[0]

@@ -38,9 +38,14 @@ US = 1_000_000
 # ---- series identity & selection ------------------------------------------
 
 def labels_key(labels: Column) -> Column:
-    """Canonical text of a label set: k="v" pairs sorted by key, comma-joined."""
+    """Canonical text of a label set: k="v" pairs sorted by key, comma-joined. Backslash, quote and
+    line break in a value are escaped, so different label sets have different texts."""
+    def escaped(v: Column) -> Column:
+        v = F.replace(v, F.lit("\\"), F.lit("\\\\"))
+        v = F.replace(v, F.lit('"'), F.lit('\\"'))
+        return F.replace(v, F.lit("\n"), F.lit("\\n"))
     return F.array_join(F.transform(F.array_sort(F.map_entries(labels)),
-                                    lambda e: F.concat(e["key"], F.lit('="'), e["value"], F.lit('"'))),
+                                    lambda e: F.concat(e["key"], F.lit('="'), escaped(e["value"]), F.lit('"'))),
                         ",")
 
 
@@ -125,97 +130,104 @@ def _keep_cols(df: DataFrame, keep) -> tuple[DataFrame, list[str]]:
     return df, keep
 
 
-def reset_adjusted(samples: DataFrame, chunk: str | int = "1h", keep=()) -> DataFrame:
-    """(metric, labels_key, *keep, ts, value, adj): ``adj`` is the running
-    sum of reset-corrected deltas per series.
+def bucket_deltas(samples: DataFrame, width_s: int, keep=()) -> DataFrame:
+    """One row per (metric, labels_key, *keep, _b): the counter inside one bucket of time.
 
-    Ordered work runs per (series, time chunk); one summary row per chunk
-    carries first/last value and the within-chunk total, and a window over
-    those summaries supplies each chunk's offset and its boundary delta.
-    Both branches read the same narrow projection, so the shuffle of the
-    samples is planned once and reused.
+    _first / _last value, _t0 / _t1 their times, _inner the reset-corrected
+    increase from the first to the last, _n the samples. Samples are ordered
+    within (series, bucket) only.
     """
-    cu = seconds(chunk) * US
-    samples, keep = _keep_cols(with_series(samples), keep)
-    keys = [*SERIES, *keep, "_c"]
-    # right-closed chunks ((c-1)cu, c*cu] like the buckets, so a bucket whose
-    # width divides the chunk never straddles two chunks; non-nullable so no
-    # isnotnull() gets inferred from the join and pushed into one branch only
-    chunk_id = F.coalesce(F.expr(f"(unix_micros(cast(ts as timestamp)) + {cu - 1}) div {cu}"),
-                          F.lit(0)).cast("long")
-    d = samples.select(*SERIES, *keep, "ts", "value", chunk_id.alias("_c"))
+    d, keep = _keep_cols(with_series(samples), keep)
+    keys = [*SERIES, *keep, "_b"]
+    d = d.select(*SERIES, *keep, "ts", "value", F.coalesce(_bucket(width_s), F.lit(0)).cast("long").alias("_b"))
     w = Window.partitionBy(*keys).orderBy("ts", "value")
     prev = F.lag("value").over(w)
-    nxt = F.lead("value").over(w)
-    delta = (F.when(prev.isNull(), F.lit(0.0)).when(F.col("value") < prev, F.col("value"))
-             .otherwise(F.col("value") - prev))
-    rows = d.select("*", delta.alias("_delta"), prev.isNull().alias("_is_first"), nxt.isNull().alias("_is_last"))
-    local = rows.select(*SERIES, *keep, "ts", "value", "_c", F.sum("_delta").over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_local"))
-    summ = rows.groupBy(*keys).agg(F.max(F.when(F.col("_is_first"), F.col("value"))).alias("_first"),
-                                   F.max(F.when(F.col("_is_last"), F.col("value"))).alias("_last"),
-                                   F.sum("_delta").alias("_within"))
-    wc = Window.partitionBy(*SERIES, *keep).orderBy("_c")
-    prev_last = F.lag("_last").over(wc)
-    bd = (F.when(prev_last.isNull(), F.lit(0.0)).when(F.col("_first") < prev_last, F.col("_first"))
-          .otherwise(F.col("_first") - prev_last))
-    summ = summ.select(*keys, bd.alias("_bd"), (bd + F.col("_within")).alias("_tot"))
-    offsets = summ.select(*keys, (F.coalesce(F.sum("_tot").over(
-        wc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)) + F.col("_bd")).alias("_offset"))
-    return (local.join(offsets, keys, "inner")
-            .select(*SERIES, *keep, "ts", "value", (F.col("_offset") + F.col("_local")).alias("adj"),
-                    F.col("_c").alias("_chunk_id")))
-
-
-def increase_from_adjusted(adj: DataFrame, range_: str = "1h", step: str = "1m",
-                           min_samples: int = 2, keep=(), chunk: str | int | None = "1h") -> DataFrame:
-    """Increase vector from samples that already carry ``adj`` (several
-    ranges can share one :func:`reset_adjusted` pass).
-
-    adj is non-decreasing in time, so the increase over a range is
-    last adj - first adj: the last comes from the bucket that owns the eval
-    instant, the first from the earliest bucket at or after the range start.
+    rows = d.select("*", prev.isNull().alias("_is_first"), F.lead("value").over(w).isNull().alias("_is_last"),
+                    F.when(prev.isNull(), F.lit(0.0)).otherwise(_step(prev, F.col("value"))).alias("_delta"))
+    return rows.groupBy(*keys).agg(
+        F.max(F.when(F.col("_is_first"), F.col("value"))).alias("_first"),
+        F.max(F.when(F.col("_is_last"), F.col("value"))).alias("_last"),
+        F.min(micros(F.col("ts"))).alias("_t0"), F.max(micros(F.col("ts"))).alias("_t1"),
+        F.sum("_delta").alias("_inner"), F.count(F.lit(1)).alias("_n"))
+
+
+def _step(prev: Column, value: Column) -> Column:
+    """Increase between neighbouring samples; a fall is a reset to zero."""
+    return F.when(value < prev, value).otherwise(value - prev)
+
+
+def increase_from_buckets(buckets: DataFrame, width_s: int, range_: str = "1h", step: str = "1m", min_samples: int = 2,
+                          keep=(), extrapolate: bool = False, chunk: str | int | None = None) -> DataFrame:
+    """Increase vector from :func:`bucket_deltas` (several ranges can share it).
+
+    Time is cut into chunks of ``chunk`` (at least one range); a chunk also
+    gets the buckets of one range before it, so every evaluation instant finds
+    its whole range in its own chunk and no window spans a series' history.
+    The increase is the sum of the deltas between the first and the last
+    sample inside the range, taken within the chunk: a flat range gives
+    exactly 0.0, and no range a negative value.
+
     Each bucket row emits itself and its owned query rows in one generator;
     one descending running ``last`` over them finds, for every query, the
     earliest bucket inside its range.
     """
     r, s = seconds(range_), seconds(step)
-    g, R, S = _grid(r, s)
-    adj, keep = _keep_cols(adj, keep)
-    keys = [*SERIES, *keep]
-    # rows still hash-partitioned by (series, chunk) from reset_adjusted
-    # (``chunk`` must be the width used there): when buckets nest in chunks,
-    # grouping by the chunk too needs no new shuffle
-    chunk_us = seconds(chunk) * US if chunk and "_chunk_id" in adj.columns else 0
-    nest = ["_chunk_id"] if chunk_us and chunk_us % (g * US) == 0 else []
-    pre = (adj.withColumn("_b", _bucket(g))
-           .groupBy(*keys, *nest, "_b")
-           .agg(F.min("adj").alias("_lo_adj"), F.max("adj").alias("_hi_adj"),
-                F.count(F.lit(1)).alias("_n")))
+    if r % width_s or s % width_s:
+        raise ValueError("the bucket width must divide range and step")
+    R, S = r // width_s, s // width_s
+    C = max(R, seconds(chunk) // width_s if chunk else max(4 * R, 720))
+    keep = [k for k in (keep or ()) if k]
+    keys = [*SERIES, *keep, "_c"]
+    d = buckets.select("*", F.explode(F.sequence(F.expr(f"_b div {C}"), F.expr(f"(_b + {R - 1}) div {C}"))).alias("_c"))
     w = Window.partitionBy(*keys).orderBy("_b")
-    d = pre.select("*", F.lead("_b").over(w).alias("_nb"),
-                   F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_cum"))
-    last_pos = F.least(F.coalesce(F.col("_nb") - 1, F.col("_b") + (R - 1)), F.col("_b") + (R - 1))
-    lo = F.expr(f"(_b + {S - 1}) div {S}")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = F.lag("_last").over(w)
+    d = d.select("*", F.lead("_b").over(w).alias("_nb"), F.sum("_n").over(upto).alias("_cum_n"),
+                 (F.col("_inner") + F.when(before.isNull(), F.lit(0.0)).otherwise(_step(before, F.col("_first")))).alias("_grown"))
+    d = d.withColumn("_cum", F.sum("_grown").over(upto))
+    lo = F.greatest(F.expr(f"(_b + {S - 1}) div {S}"), F.expr(f"(_c * {C} + {S - 1}) div {S}"))
+    last_pos = F.least(F.coalesce(F.col("_nb") - 1, F.col("_b") + (R - 1)), F.col("_b") + (R - 1), (F.col("_c") + 1) * C - 1)
     hi = F.floor(last_pos / F.lit(S)).cast("long")
-    row_t = "struct<pos:bigint,q:int,m:bigint,lo:double,cb:bigint>"
-    me = F.struct(F.col("_b").alias("pos"), F.lit(0).alias("q"), F.lit(None).cast("long").alias("m"),
-                  F.col("_lo_adj").alias("lo"), (F.col("_cum") - F.col("_n")).alias("cb")).cast(row_t)
+    row_t = "struct<pos:bigint,q:int,m:bigint,cum:double,inner:double,cb:bigint,t0:bigint,v0:double>"
+
+    def entry(pos, q, m, cum, inner, cb, t0, v0):
+        return F.struct(pos.alias("pos"), F.lit(q).alias("q"), m.alias("m"), cum.alias("cum"), inner.alias("inner"),
+                        cb.alias("cb"), t0.alias("t0"), v0.alias("v0")).cast(row_t)
+
+    none = F.lit(None)
+    me = entry(F.col("_b"), 0, none, F.col("_cum"), F.col("_inner"), F.col("_cum_n") - F.col("_n"), F.col("_t0"), F.col("_first"))
     owned = F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
-    queries = F.transform(owned, lambda m: F.struct(
-        (m * S - (R - 1)).alias("pos"), F.lit(1).alias("q"), m.alias("m"),
-        F.lit(None).cast("double").alias("lo"), F.lit(None).cast("long").alias("cb")).cast(row_t))
-    rows = d.select(*keys, F.col("_hi_adj").alias("_hi"), F.col("_cum").alias("_cum_last"),
-                    F.explode(F.concat(F.array(me), queries)).alias("_r"))
-    w_desc = (Window.partitionBy(*keys).orderBy(F.col("_r.pos").desc(), F.col("_r.q").asc())
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = (rows.select("*", F.last("_r.lo", ignorenulls=True).over(w_desc).alias("_first_lo"),
-                       F.last("_r.cb", ignorenulls=True).over(w_desc).alias("_first_cb"))
-           .filter(F.col("_r.q") == 1)
-           .select(*keys, F.col("_r.m").alias("_m"), (F.col("_hi") - F.col("_first_lo")).alias("increase"),
-                   (F.col("_cum_last") - F.col("_first_cb")).alias("samples")))
-    return (out.filter(F.col("samples") >= min_samples)
-            .select(*keys, _eval_ts(s), "increase", "samples"))
+    queries = F.transform(owned, lambda m: entry(m * S - (R - 1), 1, m, none, none, none, none, none))
+    rows = d.select(*keys, F.col("_cum").alias("_end"), "_cum_n", "_t1", F.explode(F.concat(F.array(me), queries)).alias("_r"))
+    down = (Window.partitionBy(*keys).orderBy(F.col("_r.pos").desc(), F.col("_r.q").asc())
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    first = {c: F.last(f"_r.{c}", ignorenulls=True).over(down).alias(f"_f_{c}") for c in ("cum", "inner", "cb", "t0", "v0")}
+    out = (rows.select("*", *first.values()).filter(F.col("_r.q") == 1)
+           .select(*SERIES, *keep, F.col("_r.m").alias("_m"), "_t1", "_f_t0", "_f_v0",
+                   ((F.col("_end") - F.col("_f_cum")) + F.col("_f_inner")).alias("increase"),
+                   (F.col("_cum_n") - F.col("_f_cb")).alias("samples"))
+           .filter(F.col("samples") >= min_samples))
+    if extrapolate:
+        out = out.withColumn("increase", _extrapolated(out, s, r))
+    return out.select(*SERIES, *keep, _eval_ts(s), "increase", "samples")
+
+
+def _extrapolated(d: DataFrame, step_s: int, range_s: int) -> Column:
+    """The increase scaled to the whole range, as rule engines for scraped counters define it.
+
+    The sampled interval is stretched to each edge of the range if that edge
+    is nearer than 1.1 mean sample distances, else by half a distance; at the
+    start never further than where the counter would have been zero.
+    """
+    end = F.col("_m") * F.lit(step_s * US)
+    sampled = (F.col("_t1") - F.col("_f_t0")).cast("double")
+    mean = sampled / (F.col("samples") - 1)
+    to_start = (F.col("_f_t0") - (end - F.lit(range_s * US))).cast("double")
+    to_end = (end - F.col("_t1")).cast("double")
+    near = lambda gap: F.when(gap < mean * 1.1, gap).otherwise(mean / 2)
+    to_zero = F.when((F.col("increase") > 0) & (F.col("_f_v0") >= 0), sampled * F.col("_f_v0") / F.col("increase"))
+    stretched = sampled + F.least(near(to_start), F.coalesce(to_zero, near(to_start))) + near(to_end)
+    return F.when(sampled > 0, F.col("increase") * stretched / sampled).otherwise(F.col("increase"))
 
 
 def with_birth_zeros(samples: DataFrame, keep=()) -> DataFrame:
@@ -230,15 +242,17 @@ def with_birth_zeros(samples: DataFrame, keep=()) -> DataFrame:
 
 
 def counter_increase(samples: DataFrame, range_: str = "1h", step: str = "1m",
-                     min_samples: int = 2, chunk: str = "1h", keep=(),
-                     count_birth: bool = False) -> DataFrame:
+                     min_samples: int = 2, chunk: str | int | None = None, keep=(),
+                     count_birth: bool = False, extrapolate: bool = False) -> DataFrame:
     """``increase(x[range])`` per series at every step -> (metric,
     labels_key, *keep, eval_ts, increase, samples). With ``count_birth`` a
-    series' first value counts from 0 (see :func:`with_birth_zeros`)."""
+    series' first value counts from 0 (see :func:`with_birth_zeros`). The
+    default is the observed increase of the samples in the range;
+    ``extrapolate`` scales it to the range's edges."""
     if count_birth:
         samples = with_birth_zeros(samples, keep)
-    return increase_from_adjusted(reset_adjusted(samples, chunk, keep), range_, step, min_samples, keep,
-                                  chunk)
+    g = math.gcd(seconds(range_), seconds(step))
+    return increase_from_buckets(bucket_deltas(samples, g, keep), g, range_, step, min_samples, keep, extrapolate, chunk)
 
 
 def counter_rate(samples: DataFrame, range_: str = "5m", step: str = "1m", **kw) -> DataFrame:
@@ -258,7 +272,8 @@ def instant_last(samples: DataFrame, step: str = "1m", lookback: str = "5m", kee
     keys = [*SERIES, *keep]
     pre = (d.withColumn("_b", _bucket(g))
            .groupBy(*keys, "_b")
-           .agg(F.max_by("value", "ts").alias("value")))
+           # equal times: the larger value, so the choice is the same in every run
+           .agg(F.max(F.struct("ts", "value")).alias("_v")).withColumn("value", F.col("_v.value")).drop("_v"))
     return _owned_evals(pre, R, S, keys).select(*keys, _eval_ts(s), "value")
 
 

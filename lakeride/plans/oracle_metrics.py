@@ -197,6 +197,48 @@ q("restart_increase", f"""WITH {SAMPLES},
 {increase_cte('inc', 'samples', _where('flink_jobmanager_job_numRestarts'), '10m', STEP)}
 SELECT metric, labels_key, eval_ts, {_r6('value')} AS increase FROM inc""")
 
+
+
+def extrapolated_cte(name: str, src: str, range_: str, step: str) -> str:
+    """The scaled increase from its definition, over each sample expanded to its ranges."""
+    r, s = seconds(range_) * US, seconds(step) * US
+    return f"""{name}_x AS (
+  SELECT metric, labels_key, epoch_us(ts) AS t, value,
+         unnest(generate_series((epoch_us(ts) + {s - 1}) // {s}, (epoch_us(ts) + {r} + {s - 1}) // {s} - 1)) AS m
+  FROM {src}),
+{name}_y AS (
+  SELECT *, lag(value) OVER (PARTITION BY metric, labels_key, m ORDER BY t, value) AS prev FROM {name}_x),
+{name}_z AS (
+  SELECT metric, labels_key, m, COUNT(*) AS n, MIN(t) AS t0, MAX(t) AS t1, arg_min(value, t) AS v0,
+         SUM(CASE WHEN prev IS NULL THEN 0 WHEN value < prev THEN value ELSE value - prev END) AS inc
+  FROM {name}_y GROUP BY 1, 2, 3 HAVING COUNT(*) >= 2),
+{name}_w AS (
+  SELECT *, CAST(t1 - t0 AS DOUBLE) AS span, CAST(t1 - t0 AS DOUBLE) / (n - 1) AS mean,
+         CAST(t0 - (m * {s} - {r}) AS DOUBLE) AS s_gap, CAST(m * {s} - t1 AS DOUBLE) AS e_gap FROM {name}_z),
+{name} AS (
+  SELECT metric, labels_key, make_timestamp(m * {s}) AS eval_ts,
+    CASE WHEN span = 0 THEN inc ELSE inc * (span
+      + least(CASE WHEN s_gap < 1.1 * mean THEN s_gap ELSE mean / 2 END,
+              CASE WHEN inc > 0 AND v0 >= 0 THEN span * v0 / inc ELSE 'infinity'::DOUBLE END)
+      + CASE WHEN e_gap < 1.1 * mean THEN e_gap ELSE mean / 2 END) / span END AS value
+  FROM {name}_w)"""
+
+
+q("restart_increase_extrapolated", f"""WITH {SAMPLES},
+part AS (SELECT * FROM samples WHERE metric = 'flink_jobmanager_job_numRestarts'),
+{extrapolated_cte('inc', 'part', '10m', STEP)}
+SELECT metric, labels_key, eval_ts, {_r6('value')} AS increase FROM inc""")
+
+q("rate_5m", f"""WITH {SAMPLES},
+part AS (SELECT * FROM samples WHERE metric = 'flink_jobmanager_job_numRestarts'),
+{extrapolated_cte('inc', 'part', '5m', STEP)}
+SELECT metric, labels_key, eval_ts, {_r6('value / 300.0')} AS rate, {_r6('value / 300.0 * 60')} AS per_minute FROM inc""")
+
+q("fractional_increase", f"""WITH {SAMPLES},
+part AS (SELECT metric, labels_key, ts, value % 100 AS value FROM samples WHERE metric = 'airflow_task_duration_seconds_sum'),
+{increase_cte('inc', 'part', 'TRUE', '2h', P.INCREASE_STEP)}
+SELECT metric, labels_key, eval_ts, {_r6('value')} AS increase FROM inc""")
+
 q("sum_by_labels", f"""WITH {SAMPLES},
 {increase_cte('inc', 'samples', _where('airflow_task_finish_total'), P.RATE_RANGE, STEP)}
 SELECT i.eval_ts, s.state, {_r6(f'SUM(i.value / {float(seconds(P.RATE_RANGE))})')} AS rate

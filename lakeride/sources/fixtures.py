@@ -99,38 +99,60 @@ def _hour_chunk() -> Column:
     return F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(3_600_000_000))
 
 
-def metric_samples(events: DataFrame) -> DataFrame:
+# Metrics of the counter families and of the gauges, by the event type that feeds a gauge.
+COUNTER_METRICS = {"finish": ("airflow_task_finish_total",),
+                   "duration": ("airflow_task_duration_seconds_sum", "airflow_task_duration_seconds_count"),
+                   "restarts": ("flink_jobmanager_job_numRestarts",)}
+GAUGE_METRICS = {"click": "kafka_consumergroup_lag", "view": "up", "purchase": "flink_jobmanager_numRunningJobs"}
+
+
+def metric_samples(events: DataFrame, metrics=None) -> DataFrame:
     """Labelled samples ``(metric, labels, ts, value, labels_key)`` derived
     from events (``labels_key`` is the canonical series text).
 
     Every event finishes one task (a counter per dag/task/state that resets
     at midnight) and adds one family-specific sample chosen by event_type
-    (see FIXTURES.md §5). All cumulative families go through one chunked
-    running-sum pass (hour chunks), so a hot series is never ordered in a
-    single task and the ordered work is planned once.
+    (see FIXTURES.md §5). ``metrics`` names the metrics wanted (None: all):
+    only their families are derived, gauges by one scan without a shuffle,
+    counters by one scan that emits the rows of all wanted families.
     """
+    wanted = set(metrics) if metrics is not None else {m for ms in COUNTER_METRICS.values() for m in ms} | set(GAUGE_METRICS.values())
+    base = events.select("event_id", "ts", "event_type", "value")
+    parts = []
+    families = [f for f, ms in COUNTER_METRICS.items() if wanted & set(ms)]
+    if families:
+        parts.append(_counter_samples(base, families))
+    types = [t for t, m in GAUGE_METRICS.items() if m in wanted]
+    if types:
+        parts.append(_gauge_samples(base, types))
+    out = parts[0].unionByName(parts[1]) if len(parts) > 1 else parts[0]
+    return out if metrics is None else out.filter(F.col("metric").isin(*sorted(wanted)))
+
+
+def _counter_samples(base: DataFrame, families: list[str]) -> DataFrame:
+    """All cumulative families go through one chunked running-sum pass (hour chunks), so a hot
+    series is never ordered in a single task and the ordered work is planned once."""
     from ..functions.runs import running_sums
 
     eid = F.col("event_id")
     etype = F.col("event_type")
     no_reset = F.lit("1970-01-01").cast("date")
-    base = events.select("event_id", "ts", "event_type", "value")
 
-    finish = base.select(
-        "event_id", "ts", F.lit("finish").alias("fam"),
-        _pick(DAG_IDS, eid % 3).alias("k1"), _pick(TASK_IDS, eid % 4).alias("k2"),
-        F.when(etype == "error", "failed").otherwise("success").alias("k3"),
-        F.to_date("ts").alias("day"), F.lit(0).cast("long").alias("cents"))
-    dur = base.filter(etype == "signup").select(
-        "event_id", "ts", F.lit("duration").alias("fam"),
-        F.when(eid % 2 == 0, "gold_aggregation").otherwise("test_dq_and_batch").alias("k1"),
-        F.lit("insert_gold_trips_hourly").alias("k2"), F.lit("").alias("k3"), no_reset.alias("day"),
+    def row(fam, k1, k2, k3, day, cents):
+        return F.struct(F.lit(fam).alias("fam"), k1.alias("k1"), k2.alias("k2"), k3.alias("k3"), day.alias("day"), cents.alias("cents"))
+
+    empty, zero = F.lit(""), F.lit(0).cast("long")
+    of = {
+        "finish": row("finish", _pick(DAG_IDS, eid % 3), _pick(TASK_IDS, eid % 4),
+                      F.when(etype == "error", "failed").otherwise("success"), F.to_date("ts"), zero),
         # summed in whole cents so every engine gets the same exact total
-        F.round(F.col("value") * 100).cast("long").alias("cents"))
-    restarts = base.filter(etype == "error").select(
-        "event_id", "ts", F.lit("restarts").alias("fam"), F.lit("").alias("k1"), F.lit("").alias("k2"),
-        F.lit("").alias("k3"), F.to_date("ts").alias("day"), F.lit(0).cast("long").alias("cents"))
-    counters = running_sums(finish.unionByName(dur).unionByName(restarts),
+        "duration": F.when(etype == "signup", row(
+            "duration", F.when(eid % 2 == 0, "gold_aggregation").otherwise("test_dq_and_batch"),
+            F.lit("insert_gold_trips_hourly"), empty, no_reset, F.round(F.col("value") * 100).cast("long"))),
+        "restarts": F.when(etype == "error", row("restarts", empty, empty, empty, F.to_date("ts"), zero)),
+    }
+    each = base.select("event_id", "ts", F.explode(F.array(*(of[f] for f in families))).alias("r")).filter("r is not null")
+    counters = running_sums(each.select("event_id", "ts", "r.*"),
                             ["fam", "k1", "k2", "k3", "day"], ["ts", "event_id"],
                             {"n": F.lit(1).cast("long"), "csum": F.col("cents")}, _hour_chunk())
 
@@ -140,7 +162,7 @@ def metric_samples(events: DataFrame) -> DataFrame:
     fin_key = _series_key(("dag_id", F.col("k1")), ("state", F.col("k3")), ("task_id", F.col("k2")))
     dur_key = _series_key(("dag_id", F.col("k1")), ("task_id", F.col("k2")))
     job_key = _series_key(("job", F.lit("flink-jobmanager")))
-    counter_samples = counters.select("ts", F.explode(F.array(
+    return counters.select("ts", F.explode(F.array(
         F.when(fam == "finish", F.struct(
             F.lit("airflow_task_finish_total").alias("metric"),
             F.create_map(F.lit("dag_id"), "k1", F.lit("state"), "k3", F.lit("task_id"), "k2").alias("labels"),
@@ -157,9 +179,15 @@ def metric_samples(events: DataFrame) -> DataFrame:
     )).alias("s")).filter(F.col("s").isNotNull()).select("s.metric", "s.labels", "ts", "s.value",
                                                          "s.labels_key")
 
+
+def _gauge_samples(base: DataFrame, types: list[str]) -> DataFrame:
+    eid = F.col("event_id")
+    etype = F.col("event_type")
+    job_fm = F.create_map(F.lit("job"), F.lit("flink-jobmanager"))
+    job_key = _series_key(("job", F.lit("flink-jobmanager")))
     lag_key = _series_key(("consumergroup", F.lit(CONSUMER_GROUP)), ("partition", (eid % 3).cast("string")),
                           ("topic", F.lit(TOPIC)))
-    gauges = base.filter(etype.isin("click", "view", "purchase")).select(
+    return base.filter(etype.isin(*types)).select(
         F.when(etype == "click", "kafka_consumergroup_lag")
          .when(etype == "view", "up")
          .otherwise("flink_jobmanager_numRunningJobs").alias("metric"),
@@ -176,8 +204,6 @@ def metric_samples(events: DataFrame) -> DataFrame:
          .when(etype == "view", _series_key(("job", _pick(SCRAPE_JOBS, eid % 6))))
          .otherwise(job_key).alias("labels_key"))
 
-    return counter_samples.unionByName(gauges)
-
 
 def statsd_lines(events: DataFrame) -> DataFrame:
     """Raw StatsD metric names ``(name, ts, value)``, one per event, covering

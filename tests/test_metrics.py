@@ -78,6 +78,62 @@ def test_increase_matches_brute_force(spark, pts, rs):
         assert got[k] >= 0
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(0, 3600), st.floats(0, 50, allow_subnormal=False)), min_size=2, max_size=30, unique_by=lambda p: p[0]),
+       st.integers(1, 20))
+def test_fractional_increase_is_never_negative_and_flat_is_zero(spark, pts, chunk_min):
+    flat = [(4000 + 17 * i, 0.1 + 0.2) for i in range(200)]
+    got = as_map(M.counter_increase(samples(spark, pts + flat), "10m", "1m", chunk=f"{chunk_min}m"), "increase")
+    assert all(v >= 0.0 for v in got.values())
+    assert all(got[t] == 0.0 for t in got if 4000 + 600 <= t <= 4000 + 17 * 199)
+
+
+def brute_extrapolated(pts, r, s, end):
+    out = {}
+    for t in range(0, end + r + s, s):
+        w = sorted((a, v) for a, v in pts if t - r < a <= t)
+        if len(w) < 2:
+            continue
+        inc = sum(b if b < a else b - a for (_, a), (_, b) in zip(w, w[1:]))
+        span = w[-1][0] - w[0][0]
+        mean = span / (len(w) - 1)
+        left, right = w[0][0] - (t - r), t - w[-1][0]
+        left = left if left < 1.1 * mean else mean / 2
+        right = right if right < 1.1 * mean else mean / 2
+        if inc > 0:
+            left = min(left, span * w[0][1] / inc)
+        out[t] = inc * (span + left + right) / span
+    return out
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(0, 2400), st.integers(0, 50)), min_size=1, max_size=40, unique_by=lambda p: p[0]))
+def test_extrapolated_increase_matches_its_definition(spark, pts):
+    got = as_map(M.counter_increase(samples(spark, pts), "5m", "1m", extrapolate=True), "increase")
+    want = brute_extrapolated(pts, 300, 60, 2400)
+    assert set(got) == set(want) and all(abs(got[t] - want[t]) < 1e-6 for t in want)
+
+
+def test_label_sets_with_quotes_have_different_keys(spark):
+    rows = [({"a": "x", "b": "y"},), ({"a": 'x",b="y'},), ({"a": "x\\", "b": "y"},)]
+    df = spark.createDataFrame(rows, "l map<string,string>")
+    assert df.select(M.labels_key(F.col("l")).alias("k")).distinct().count() == 3
+
+
+def test_gauge_samples_scan_once_without_ordered_windows(spark, sf0001):
+    from lakeride.plans.catalog_metrics import samples as derived
+    plan = M.instant_last(derived(spark, sf0001, "up"), "1m")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and plan.count("Window [") == 1  # the one over buckets
+
+
+def test_no_counter_window_spans_a_series(spark, sf0001):
+    from lakeride.plans.catalog_metrics import samples as derived
+    plan = M.counter_increase(derived(spark, sf0001, "airflow_task_finish_total"), "1h", "15m")._jdf.queryExecution().optimizedPlan().toString()
+    for line in plan.splitlines():
+        if "Window [" in line and "labels_key" in line:
+            assert "_b#" in line or "_c#" in line
+
+
 def test_increase_invariant_to_offset(spark):
     pts = [(0, 1), (50, 4), (130, 9), (200, 15)]
     a = as_map(M.counter_increase(samples(spark, pts), "3m", "1m"), "increase")
