@@ -10,7 +10,6 @@ from __future__ import annotations
 import math
 
 from ..functions.timecols import seconds
-from ..operators.alerts import ALERT_RULES, DEFAULT_ROUTE, ROUTES
 from ..operators.metrics import STATSD_RULES, rule_regex
 from ..sources.fixtures import DAG_IDS, SCRAPE_JOBS, TASK_IDS
 from . import params as P
@@ -318,20 +317,30 @@ WHERE start_k + {_f30} <= end_k""")
 # ---- alert rules -----------------------------------------------------------------
 
 
+# Fixed values, stated again on purpose so that a wrong rule shows: name, severity, component,
+# metric, range in minutes (None: instant), task, threshold, minutes it must hold.
+_DQ = "dag_id IN ('gold_aggregation', 'test_alert_scenarios') AND state = 'failed' AND task_id = "
+RULES_AS_SQL = (
+    ("DQGateFreshnessFailed", "critical", "dq_gate", "airflow_task_finish_total", "1h", _DQ + "'dq_check_freshness'", "> 0", 0),
+    ("DQGateValidityFailed", "critical", "dq_gate", "airflow_task_finish_total", "1h", _DQ + "'dq_check_invalid_ratio'", "> 0", 0),
+    ("DQGateNullCheckFailed", "critical", "dq_gate", "airflow_task_finish_total", "1h", _DQ + "'dq_check_null_critical_fields'", "> 0", 0),
+    ("FlinkJobNotRunning", "critical", "flink", "flink_jobmanager_numRunningJobs", None, "TRUE", "< 1", 2),
+    ("FlinkJobRestarting", "warning", "flink", "flink_jobmanager_job_numRestarts", "10m", "TRUE", "> 3", 0),
+    ("KafkaConsumerLagHigh", "warning", "kafka", "kafka_consumergroup_lag", None, "TRUE", "> 10000", 5),
+    ("GoldAggregationFailed", "critical", "airflow", "airflow_task_finish_total", "2h", _DQ + "'insert_gold_trips_hourly'", "> 0", 0),
+)
+
+
 def _alert_ctes() -> str:
     s = seconds(STEP)
     ctes, parts = [], []
-    for i, r in enumerate(ALERT_RULES):
+    for i, (alert, severity, component, metric, range_, cond, hit, minutes) in enumerate(RULES_AS_SQL):
         name = f"r{i}"
-        where = _where(r.metric, r.matchers)
-        if r.range_:
-            ctes.append(increase_cte(name, "samples", where, r.range_, STEP))
-        else:
-            ctes.append(instant_cte(name, "samples", where, STEP))
-        f = math.ceil(seconds(r.for_) / s)
-        parts.append(f"SELECT '{r.name}' AS alertname, '{r.severity}' AS severity, "
-                     f"'{r.component}' AS component, labels_key, m AS k, {f} AS for_steps "
-                     f"FROM {name} WHERE value {r.op} {r.threshold}")
+        where = f"metric = '{metric}' AND {cond}"
+        ctes.append(increase_cte(name, "samples", where, range_, STEP) if range_ else instant_cte(name, "samples", where, STEP))
+        f = math.ceil(minutes * 60 / s)
+        parts.append(f"SELECT '{alert}' AS alertname, '{severity}' AS severity, '{component}' AS component, "
+                     f"labels_key, m AS k, {f} AS for_steps FROM {name} WHERE value {hit}")
     su = s * US
     ctes.append("act AS (" + "\nUNION ALL\n".join(parts) + ")")
     ctes.append(f"""alerts AS (
@@ -347,19 +356,12 @@ ALERTS = f"{SAMPLES},\n{_alert_ctes()}"
 
 
 def _route_case() -> tuple[str, str, str]:
-    rid, wait, rep = [], [], []
-    for i, r in enumerate(ROUTES, start=1):
-        conds = []
-        for k, spec in r.matchers.items():
-            op, val = ("=", spec) if isinstance(spec, str) else spec
-            conds.append(f"{k} = '{val}'" if op == "=" else f"regexp_full_match({k}, '{val}')")
-        c = " AND ".join(conds) or "TRUE"
-        rid.append(f"WHEN {c} THEN {i}")
-        wait.append(f"WHEN {c} THEN {seconds(r.group_wait)}")
-        rep.append(f"WHEN {c} THEN {seconds(r.repeat_interval)}")
-    return (f"CASE {' '.join(rid)} ELSE 0 END",
-            f"CAST(CASE {' '.join(wait)} ELSE {seconds(DEFAULT_ROUTE.group_wait)} END AS BIGINT)",
-            f"CAST(CASE {' '.join(rep)} ELSE {seconds(DEFAULT_ROUTE.repeat_interval)} END AS BIGINT)")
+    """Route number, group wait and repeat interval in seconds, stated again from the policy."""
+    gate = "severity = 'critical' AND component = 'dq_gate'"
+    jobs = "severity = 'critical' AND component IN ('flink', 'airflow')"
+    low = "severity = 'warning'"
+    pick = lambda a, b, c, d: f"CASE WHEN {gate} THEN {a} WHEN {jobs} THEN {b} WHEN {low} THEN {c} ELSE {d} END"
+    return (pick(1, 2, 3, 0), f"CAST({pick(10, 10, 60, 30)} AS BIGINT)", f"CAST({pick(1800, 1800, 7200, 3600)} AS BIGINT)")
 
 
 _RID, _WAIT, _REP = _route_case()
@@ -390,7 +392,7 @@ SELECT alertname, severity, route, make_timestamp(start_k * {_su}) AS group_firi
        make_timestamp(us) AS notify_at
 FROM notes""")
 
-_RULES_VALUES = ", ".join(f"('{r.name}', '{r.severity}', '{r.component}')" for r in ALERT_RULES)
+_RULES_VALUES = ", ".join(f"('{name}', '{severity}', '{component}')" for name, severity, component, *_ in RULES_AS_SQL)
 q("firing_summary", f"""WITH {ALERTS},
 rules(alertname, severity, component) AS (VALUES {_RULES_VALUES}),
 per AS (SELECT alertname, COUNT(*) AS intervals, COUNT(DISTINCT labels_key) AS series,
