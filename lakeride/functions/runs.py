@@ -83,6 +83,35 @@ def islands(df: DataFrame, keys: Sequence[str], k: str, chunk_steps: int = 1440,
     w = Window.partitionBy(*keys, _CHUNK).orderBy("_k")
     local = (pts.select(*keys, _CHUNK, "_k", (F.col("_k") - F.row_number().over(w)).alias("_g"))
              .groupBy(*keys, _CHUNK, "_g").agg(F.min("_k").alias("_s"), F.max("_k").alias("_e")))
+    return _stitched(local, keys, chunk_steps, start, end)
+
+
+def merged_intervals(df: DataFrame, keys: Sequence[str], first: Column, last: Column, chunk_steps: int = 1440,
+                     start: str = "start_k", end: str = "end_k") -> DataFrame:
+    """Union of the integer intervals [first, last] per key -> (keys, start, end), neighbours joined.
+
+    The same result as :func:`islands` over every step of every interval, but
+    an interval makes one row per chunk it touches, not one per step. Inside a
+    chunk intervals with one start are combined first, so at most
+    ``chunk_steps`` rows per (key, chunk) are ordered.
+    """
+    keys = list(keys)
+    ends = df.select(*keys, first.cast("long").alias("_s"), last.cast("long").alias("_e")).filter("_s <= _e")
+    cut = ends.withColumn(_CHUNK, F.explode(F.sequence(F.floor(F.col("_s") / F.lit(chunk_steps)).cast("long"),
+                                                       F.floor(F.col("_e") / F.lit(chunk_steps)).cast("long"))))
+    lo = F.col(_CHUNK) * F.lit(chunk_steps)
+    cut = (cut.select(*keys, _CHUNK, F.greatest("_s", lo).alias("_s"), F.least(F.col("_e"), lo + F.lit(chunk_steps - 1)).alias("_e"))
+           .groupBy(*keys, _CHUNK, "_s").agg(F.max("_e").alias("_e")))
+    w = Window.partitionBy(*keys, _CHUNK).orderBy("_s")
+    reached = F.max("_e").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    local = (cut.withColumn("_new", F.when(F.col("_s") <= reached + 1, 0).otherwise(1))
+             .withColumn("_g", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+             .groupBy(*keys, _CHUNK, "_g").agg(F.min("_s").alias("_s"), F.max("_e").alias("_e")))
+    return _stitched(local, keys, chunk_steps, start, end)
+
+
+def _stitched(local: DataFrame, keys: Sequence[str], chunk_steps: int, start: str, end: str) -> DataFrame:
+    """Joins runs of neighbouring chunks: only those that touch an edge of their chunk."""
     lo_edge = F.col(_CHUNK) * F.lit(chunk_steps)
     touches = (F.col("_s") == lo_edge) | (F.col("_e") == lo_edge + F.lit(chunk_steps - 1))
     interior = local.filter(~touches).select(*keys, F.col("_s").alias(start), F.col("_e").alias(end))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.runs import islands
+from ..functions.runs import islands, merged_intervals
 from ..functions.timecols import from_micros, micros, seconds
 from ..session import materialize as materialize_df
 from . import metrics as M
@@ -78,7 +78,6 @@ ROUTES = [
 ]
 DEFAULT_ROUTE = Route({}, "30s", "1h")
 GROUP_BY = ("alertname", "severity")
-GROUP_INTERVAL = "5m"
 
 
 def _cmp(value: Column, op: str, thr: float) -> Column:
@@ -258,11 +257,8 @@ def notification_schedule(intervals: DataFrame, step: str = "1m", routes=ROUTES,
     fires. Groups that stop before ``group_wait`` get no notice."""
     s = seconds(step)
     routed = route_alerts(intervals, routes, default)
-    steps = routed.select(*GROUP_BY, "route", "group_wait_s", "repeat_interval_s",
-                          F.explode(F.sequence(_step_index(F.col("firing_at"), s),
-                                               _step_index(F.col("last_active_at"), s))).alias("_k"))
     gkeys = [*GROUP_BY, "route", "group_wait_s", "repeat_interval_s"]
-    episodes = islands(steps, gkeys, "_k")
+    episodes = merged_intervals(routed, gkeys, _step_index(F.col("firing_at"), s), _step_index(F.col("last_active_at"), s))
     start_us = F.col("start_k") * F.lit(s * US)
     end_us = F.col("end_k") * F.lit(s * US)
     first_us = start_us + F.col("group_wait_s") * F.lit(US)

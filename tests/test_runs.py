@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lakeride.functions.runs import islands, running_count, running_sum
+from lakeride.functions.runs import islands, merged_intervals, running_count, running_sum
 
 
 def test_running_sum_equals_plain_window(spark):
@@ -35,3 +35,12 @@ def test_islands_brute_force(spark, ks):
     if cur:
         want.append(cur)
     assert got == want
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 200), st.integers(0, 40)), max_size=40))
+def test_merged_intervals_equal_islands_of_their_steps(spark, items):
+    df = spark.createDataFrame([(k, s, s + n) for k, s, n in items], "key string, s long, e long")
+    steps = df.select("key", F.explode(F.sequence("s", "e")).alias("k"))
+    want = sorted(map(tuple, islands(steps, ["key"], "k", chunk_steps=7).collect()))
+    assert sorted(map(tuple, merged_intervals(df, ["key"], F.col("s"), F.col("e"), chunk_steps=7).collect())) == want
