@@ -10,8 +10,9 @@ are joined and the frequent pairs are skipped.
 A posting list is not expanded into all pairs. First each of its sets is
 compared with the list's hub only, the set whose pairs are the most frequent
 (in a group of near copies: their origin). Links that the full shingle sets
-confirm make components; then only sets of one list that lie in different
-components are compared. Sets in one component need no further comparison,
+confirm make components. Only sets of lists that hold several components can
+still have links between components; an exact join over the rarest shingles
+of these sets finds them. Sets in one component need no further comparison,
 so no link between components is lost.
 """
 
@@ -153,6 +154,57 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(run, "a long, b long"))
 
 
+#: sets whose sizes differ by at most this factor are in one size class
+CLASS = 1.05
+
+
+def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components in ``rest(node, component)`` that can be similar enough.
+
+    Two sets of sizes x and y need an overlap of o = t / (1 + t) * (x + y), so
+    with one order of all shingles, rarest first, they share one among the
+    first x - o + 1 of the one and y - o + 1 of the other. A shingle is posted
+    under its own and each possible partner's size class only where its
+    position allows that. Edited copies of one origin that are too far from
+    it have more shingles of their own than that and are not posted at all,
+    so a large family of them makes no pairs.
+    """
+    t = percent / 100
+    few = rest.join(sets, "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, component, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                token = np.frombuffer(data.as_buffer(), np.int64)
+                k = len(token)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(k, node)), pa.array(np.full(k, component)),
+                                                  pa.array(np.full(k, k)), pa.array(token)], ["node", "component", "n", "token"])
+
+    tokens = few.select("node", "component", "shingles").mapInArrow(run, "node long, component long, n long, token long")
+    often = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    # at most the shingles of one set meet in a group here
+    order = tokens.join(often, "token").groupBy("node", "component", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("known"))
+    alone = F.col("n") - F.size("known")
+    posted = (order.where(alone <= F.col("n") * (1 - t) + 1).select("node", "component", "n", alone.alias("alone"), F.posexplode("known"))
+              .select("node", "component", "n", F.col("col.token").alias("token"), (F.col("alone") + F.col("pos") + 1).alias("at")))
+    own = F.floor(F.log(F.col("n")) / F.log(F.lit(CLASS)) + 1e-9).cast("int")
+    reach = int(np.ceil(np.log(1 / t) / np.log(CLASS))) + 1
+    smallest = F.pow(F.lit(CLASS), F.col("partner")) * (1 - 1e-6)
+    posted = (posted.where(F.col("at") <= F.col("n") * (1 - t) + 1 + 1e-6).withColumn("own", own)
+              .withColumn("partner", F.explode(F.sequence(F.col("own") - reach, F.col("own") + reach)))
+              .where(F.col("at") <= F.col("n") - t / (1 + t) * (F.col("n") + smallest) + 1 + 1e-6))
+    left = posted.select("token", F.col("own").alias("i"), F.col("partner").alias("j"), F.col("node").alias("x"),
+                         F.col("component").alias("p"), F.col("n").alias("n_x"), F.col("at").alias("at_x"))
+    right = posted.select("token", F.col("partner").alias("i"), F.col("own").alias("j"), F.col("node").alias("y"),
+                          F.col("component").alias("q"), F.col("n").alias("n_y"), F.col("at").alias("at_y"))
+    # the classes allow a little more than the two sizes themselves do
+    overlap = t / (1 + t) * (F.col("n_x") + F.col("n_y")) - 1e-6
+    both = left.join(right, ["token", "i", "j"]).where((F.col("x") < F.col("y")) & (F.col("p") != F.col("q")) & (
+        F.col("at_x") <= F.col("n_x") - overlap + 1) & (F.col("at_y") <= F.col("n_y") - overlap + 1))
+    both = both.select(F.col("x").alias("a"), F.col("y").alias("b"))
+    return both.distinct()
+
+
 def _matching(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
     """The pairs (a, b) whose signatures agree on ``least`` coordinates."""
     agree = F.size(F.filter(F.zip_with("p", "q", lambda x, y: x == y), lambda same: same))
@@ -200,14 +252,12 @@ def near_duplicates(docs: DataFrame, params: Params = Params(), id_col: str = "d
         F.min("shingles").alias("shingles")), "minhash-sets")
     links = materialize(_confirmed(stars, sets, p.percent), "minhash-links")
     parts = materialize(components(links), "minhash-parts")
-    # of each list, the sets of different components
+    # lists whose sets lie in different components: their sets are compared by an exact join
     placed = postings.join(parts, "node", "left").select("pair", "node", F.coalesce("component", "node").alias("component"))
     split = placed.groupBy("pair").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("pair")
-    placed = materialize(placed.join(split, "pair", "left_semi"), "minhash-placed")
-    other = placed.select("pair", F.col("node").alias("b"), F.col("component").alias("component_b"))
-    cross = placed.withColumnRenamed("node", "a").join(other, "pair").where("component < component_b").select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    more = _confirmed(materialize(_matching(cross, held, p.least_match), "minhash-cross"), sets, p.percent)
+    rest = materialize(placed.join(split, "pair", "left_semi").select("node", "component").distinct(), "minhash-rest")
+    cross = _prefix_pairs(rest, sets, p.percent).join(stars, ["a", "b"], "left_anti")
+    more = _confirmed(materialize(cross, "minhash-cross"), sets, p.percent)
     final = components(links.unionByName(materialize(more, "minhash-more")))
     named = classes.join(final, "node", "left").select("set_id", F.coalesce("component", "node").alias("first"))
     out = signed.select("doc_id", "n_shingles", "set_id").join(named, "set_id", "left").select(
