@@ -31,6 +31,8 @@ from ..session import materialize
 from . import pieces
 from .components import components
 
+#: bounds of a task's memory: bytes of text handled at once, words whose hash it remembers
+SLICE_BYTES, CACHE_WORDS = 3 << 20, 200_000
 WORD_RULE = rb"[^\x20\x09-\x0D]+"
 
 
@@ -74,9 +76,9 @@ def _mix(x: np.ndarray) -> np.ndarray:
 def shingle_sets(text: pa.Array, words: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end, distinct shingle hashes ascending per text, their number per text)."""
     if not _CODER:
-        _CODER.append(pieces.PieceCoder(pieces.split_dropping_spaces, _code, dtype=np.uint64))
+        _CODER.append(pieces.PieceCoder(pieces.split_dropping_spaces, _code, CACHE_WORDS, np.uint64))
     odd = (np.arange(1, words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-    for b, e in pieces.slices(text):
+    for b, e in pieces.slices(text, SLICE_BYTES):
         word, many = _CODER[0](text.slice(b, e - b))
         length = np.where(many >= words, many - words + 1, np.minimum(many, 1))
         first = np.cumsum(many) - many
