@@ -87,7 +87,8 @@ def _silver_as_of(spark, d):
 # ---- gated gold ----------------------------------------------------------------
 
 def _complete(rows):
-    return rows.filter(F.col("base_fare").isNotNull() & F.col("customer_id").isNotNull())
+    """Rows that every check passes, whatever the scale."""
+    return rows.filter(F.col("base_fare").isNotNull() & F.col("customer_id").isNotNull() & F.col("is_valid"))
 
 
 @register("gated_gold_pass")
@@ -103,7 +104,8 @@ def _gated_gold_blocked(spark, d):
     """A passing run, then one that the null check blocks: the table keeps the first run's rows."""
     path = scratch_path(spark, "gated-blocked")
     Q.gated_gold(_complete(silver(spark, d)), path, P.GOLD_AS_OF, P.GOLD_NOW)
-    Q.gated_gold(silver(spark, d), path, P.GOLD_AS_OF_2, P.GOLD_NOW_2)
+    without_fares = silver(spark, d).withColumn("base_fare", F.when(~F.col("trip_id").endswith("7"), F.col("base_fare")))
+    Q.gated_gold(without_fares, path, P.GOLD_AS_OF_2, P.GOLD_NOW_2)
     return _gold_cols(spark.read.schema(GOLD).parquet(path))
 
 
