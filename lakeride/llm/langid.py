@@ -91,7 +91,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", ranks
 
         for batch in batches:
             text = pieces.as_text(batch.column(1))
-            for b, e in pieces.slices(text, 2 << 20):
+            for b, e in pieces.slices(text, 1 << 20):
                 own: dict[str, list[np.ndarray]] = {}
                 for lang, t in zip(batch.column(0).slice(b, e - b).to_pylist(), text.slice(b, e - b).to_pylist(), strict=True):
                     own.setdefault(lang, []).append(ngram_codes(t))

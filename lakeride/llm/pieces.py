@@ -76,6 +76,9 @@ def split_dropping_spaces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+_IN_USE: list = []
+
+
 class PieceCoder:
     """Codes of texts, through ``code_pieces(list of str) -> (codes, count of each)``."""
 
@@ -83,6 +86,14 @@ class PieceCoder:
         self.split, self.code_pieces, self.cap, self.dtype = split, code_pieces, cap, dtype
         self._forget()
 
+    def _alone(self) -> None:
+        """Workers outlive stages: only the coder in use keeps its cache, so a chain of operators
+        needs no more memory than its largest one."""
+        if _IN_USE and _IN_USE[0] is not self:
+            _IN_USE.pop()._forget()
+        if not _IN_USE:
+            _IN_USE.append(self)
+
     def _forget(self) -> None:
         self.slot: dict[str, int] = {}
         self.flat = np.empty(1 << 16, self.dtype)
@@ -101,6 +112,7 @@ class PieceCoder:
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(codes of all texts end to end, number of codes of each text)."""
+        self._alone()
         words, per_text = self.split(texts)
         coded = words.dictionary_encode()
         unique = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
