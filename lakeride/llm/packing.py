@@ -25,6 +25,8 @@ from . import pieces
 MAX_TOKENS, MAX_SEGMENTS = 4096, 256
 #: examples that wait for a place, in a task
 WINDOW = 256
+#: bounds of a task's memory: bytes of text handled at once, words whose ids it remembers
+SLICE_BYTES, CACHE_WORDS = 3 << 20, 250_000
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, loss_tokens long, sequence_tokens long")
@@ -140,7 +142,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str
         cols.append(docs[prompt_col].cast("string").alias("prompt"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = pieces.library_coder(tokenizer, keep_spaces)
+        coder = pieces.library_coder(tokenizer, keep_spaces, CACHE_WORDS)
         base = TaskContext.get().partitionId() << 33
         out: dict[str, list] = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens",
                                                 "sequence_id", "offset", "loss_tokens")}
@@ -170,7 +172,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str
         for batch in batches:
             text = pieces.as_text(batch.column(1))
             prompt = pieces.as_text(batch.column(2)) if prompt_col else None
-            for b, e in pieces.slices(text):
+            for b, e in pieces.slices(text, SLICE_BYTES):
                 ids, count = coder(text.slice(b, e - b))
                 edge = np.concatenate([[0], np.cumsum(count)])
                 first = [ids[:0]] * (e - b)

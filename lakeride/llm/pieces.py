@@ -91,6 +91,7 @@ class PieceCoder:
         needs no more memory than its largest one."""
         if _IN_USE and _IN_USE[0] is not self:
             _IN_USE.pop()._forget()
+            pa.default_memory_pool().release_unused()
         if not _IN_USE:
             _IN_USE.append(self)
 
@@ -143,7 +144,7 @@ def crc32_of(ids: np.ndarray) -> int:
 _CODERS: dict[tuple[str, bool], PieceCoder] = {}
 
 
-def library_coder(path: str, keep_spaces: bool) -> PieceCoder:
+def library_coder(path: str, keep_spaces: bool, cap: int = CACHE_PIECES) -> PieceCoder:
     """This worker's coder for a tokenizers-library file (no special tokens added)."""
     if (path, keep_spaces) not in _CODERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
@@ -153,7 +154,7 @@ def library_coder(path: str, keep_spaces: bool) -> PieceCoder:
         tok.no_truncation()
         tok.no_padding()
         _CODERS[path, keep_spaces] = PieceCoder(
-            split_keeping_spaces if keep_spaces else split_dropping_spaces, _by_pretoken(tok, keep_spaces))
+            split_keeping_spaces if keep_spaces else split_dropping_spaces, _by_pretoken(tok, keep_spaces), cap)
     return _CODERS[path, keep_spaces]
 
 

@@ -9,10 +9,14 @@ import zipfile
 from pyspark.sql import SparkSession
 
 _SENT: set[str] = set()
+#: bytes of an Arrow batch between executor and Python worker, unless the session sets its own
+BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 
 
 def to_executors(spark: SparkSession) -> None:
     """Once per application: the package's sources as one zip, as ``--py-files`` would do."""
+    if spark.conf.get(BATCH_KEY, None) is None:
+        spark.conf.set(BATCH_KEY, str(BATCH_BYTES))  # texts: a batch is bounded by bytes, small enough for both sides
     context = spark.sparkContext
     if context.applicationId in _SENT:
         return

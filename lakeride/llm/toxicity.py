@@ -30,6 +30,8 @@ SEVERE_AT = (5, 12)
 #: a document is toxic if P(grade >= 1) reaches this
 LIMIT = 0.5
 
+#: bounds of a task's memory: bytes of text handled at once, words whose features it remembers
+SLICE_BYTES, CACHE_WORDS = 2 << 20, 200_000
 _WORD = re.compile(r"[^\W\d_]+")
 _CODER: list[pieces.PieceCoder] = []
 
@@ -57,8 +59,8 @@ def _code(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def features(text: pa.Array) -> Iterator[tuple[int, int, list[np.ndarray]]]:
     """(first row, end, distinct buckets of each of these texts)."""
     if not _CODER:
-        _CODER.append(pieces.PieceCoder(pieces.split_dropping_spaces, _code))
-    for b, e in pieces.slices(text):
+        _CODER.append(pieces.PieceCoder(pieces.split_dropping_spaces, _code, CACHE_WORDS))
+    for b, e in pieces.slices(text, SLICE_BYTES):
         codes, count = _CODER[0](text.slice(b, e - b))
         owner = np.repeat(np.arange(e - b, dtype=np.int64), count)
         both = np.unique(owner * BUCKETS + codes)
