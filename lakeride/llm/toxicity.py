@@ -85,16 +85,18 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def fit_cumulative(row: np.ndarray, col: np.ndarray, grade: np.ndarray, n_features: int, steps: int = 600,
-                   prior: float = 0.1, rate: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
+                   prior: float = 0.1, rate: float = 0.05, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ordered cuts by Adam on the mean cumulative-link likelihood.
 
     ``row``/``col``: the ones of the sparse 0/1 matrix. Cuts are the first one
     and positive gaps (exponentials), so they stay in order. ``prior``: the
-    precision of a weight's normal prior around zero.
+    precision of a weight's normal prior around zero. ``weight``: how many
+    documents each one stands for (all the same if not given).
     """
     n, grades = len(grade), int(grade.max(initial=0)) + 1
     l2 = prior / max(1, n)
-    share = np.array([np.clip((grade >= k).mean(), 1e-4, 1 - 1e-4) for k in range(1, grades)])
+    part = np.full(n, 1 / max(1, n)) if weight is None else weight / weight.sum()
+    share = np.array([np.clip(part[grade >= k].sum(), 1e-4, 1 - 1e-4) for k in range(1, grades)])
     start = np.log(1 / share - 1)
     theta = np.concatenate([np.zeros(n_features), start[:1], np.log(np.maximum(np.diff(start), 1e-2))])
     m, v = np.zeros_like(theta), np.zeros_like(theta)
@@ -107,9 +109,9 @@ def fit_cumulative(row: np.ndarray, col: np.ndarray, grade: np.ndarray, n_featur
         i = np.arange(n)
         chance = np.maximum(full[i, grade] - full[i, grade + 1], 1e-12)
         # the grade's interval has a lower and an upper cut; each pulls with its own slope
-        low, high = slope[i, grade] / chance, slope[i, grade + 1] / chance
-        gz = -(low - high) / n
-        g_cut = np.array([(low * (grade == k)).sum() - (high * (grade == k - 1)).sum() for k in range(1, grades)]) / n
+        low, high = part * slope[i, grade] / chance, part * slope[i, grade + 1] / chance
+        gz = high - low
+        g_cut = np.array([(low * (grade == k)).sum() - (high * (grade == k - 1)).sum() for k in range(1, grades)])
         tail = np.cumsum(g_cut[::-1])[::-1]  # a gap moves all cuts above it
         grad = np.concatenate([np.bincount(col, gz[row], n_features) + l2 * w, tail[:1], tail[1:] * np.exp(theta[n_features + 1:])])
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
@@ -122,6 +124,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           sample: int = SAMPLE_A_GRADE, n_features: int = FEATURES, severe_at: tuple[int, ...] = SEVERE_AT) -> Model:
     """Fits on at most ``sample`` labelled documents of each grade (0, 1, 2, ...), those of the smallest id hash.
 
+    A row of the sample weighs as many labels of its grade as it stands for, so the
+    share of each grade in the fit, and with it the verdict, does not depend on ``sample``.
     Rows without an id or grade are left out. Their features are written once;
     executors count them by grade and the driver gets the ``n_features`` that
     differ most between clean and graded documents and, for the sample, which
@@ -129,7 +133,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """
     spark = docs.sparkSession
     lab = labels.select(labels[id_col].alias("id"), labels[grade_col].cast("int").alias("grade")).where("id is not null and grade >= 0")
-    grades = [r[0] for r in lab.select("grade").distinct().orderBy("grade").collect()]
+    labelled = dict(lab.groupBy("grade").count().collect())
+    grades = sorted(labelled)
     if not grades:
         return Model(np.empty(0, np.int64), np.empty(0), np.array([20.0]))
     picked = None
@@ -137,6 +142,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         part = lab.where(F.col("grade") == g).orderBy(F.xxhash64("id"), "id").limit(sample)
         picked = part if picked is None else picked.unionByName(part)
     picked = materialize(picked, "toxicity-sample")
+    stands_for = {g: n / min(n, sample) for g, n in labelled.items()}
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).join(
         F.broadcast(picked), "id").select("grade", "text")  # at most sample x grades rows are broadcast
 
@@ -147,11 +153,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                                                  ["grade", "buckets"])
 
     seen = materialize(rows.mapInArrow(run, "grade int, buckets array<int>"), "toxicity-features")
-    size = dict(seen.groupBy((F.col("grade") > 0).alias("bad")).count().collect())
-    bad, clean = size.get(True, 0), size.get(False, 0)
-    count = (seen.select((F.col("grade") > 0).alias("bad"), F.explode("buckets").alias("bucket")).groupBy("bucket")
-             .agg(F.sum(F.col("bad").cast("long")).alias("b"), F.count("*").alias("n")).where(F.col("n") >= LEAST_DOCS))
-    gap = F.col("b") / max(1, bad) - (F.col("n") - F.col("b")) / max(1, clean)
+    size = dict(seen.groupBy("grade").count().collect())
+    bad, clean = sum(n for g, n in size.items() if g > 0), size.get(0, 0)
+    all_bad = sum(n * stands_for[g] for g, n in size.items() if g > 0)
+    share_bad = sum((F.col(f"g{g}") * (stands_for[g] / all_bad) for g in size if g > 0), F.lit(0.0))
+    count = (seen.select("grade", F.explode("buckets").alias("bucket")).groupBy("bucket")
+             .agg(*(F.sum((F.col("grade") == g).cast("long")).alias(f"g{g}") for g in size), F.count("*").alias("n"))
+             .where(F.col("n") >= LEAST_DOCS).withColumn("share_bad", share_bad)
+             .withColumn("share_clean", (F.col("g0") if clean else F.lit(0)) / max(1, clean)))
+    gap = F.col("share_bad") - F.col("share_clean")
     pooled = F.col("n") / max(1, bad + clean)
     chosen = (count.withColumn("score", F.abs(gap) / F.sqrt(pooled * (1 - pooled) * (1 / max(1, bad) + 1 / max(1, clean)) + 1e-12))
               .where(F.col("score") >= LEAST_Z).orderBy(F.desc("score"), "bucket").limit(n_features).collect())
@@ -163,22 +173,21 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                    .select("grade", "buckets").orderBy("grade", "buckets").toPandas())
     grade = sample_rows["grade"].to_numpy(np.int64)
     # documents without any chosen feature count too: they carry the base rate
-    none = {g: n for g, n in seen.groupBy("grade").count().collect()}
-    for g, n in sorted(none.items()):
-        none[g] = n - int((grade == g).sum())
+    none = {g: n - int((grade == g).sum()) for g, n in size.items()}
     many = np.array([len(b) for b in sample_rows["buckets"]], np.int64)
     row = np.repeat(np.arange(len(grade)), many)
     col = np.searchsorted(buckets, np.concatenate([np.empty(0, np.int64), *sample_rows["buckets"]]).astype(np.int64))
     grade = np.concatenate([grade, np.repeat(np.array(sorted(none), np.int64), [max(0, none[g]) for g in sorted(none)])])
+    weight = np.array([stands_for[g] for g in grade.tolist()])
     if grades[-1] == 1:
-        speaks = {r["bucket"] for r in chosen if r["b"] * max(1, clean) > (r["n"] - r["b"]) * max(1, bad)}
+        speaks = {r["bucket"] for r in chosen if r["share_bad"] > r["share_clean"]}
         toxic = np.isin(buckets, np.array(sorted(speaks), np.int64))
         hits = np.bincount(row, toxic[col], len(grade)) if len(row) else np.zeros(len(grade))
         for least in severe_at:
             grade = grade + ((grade > 0) & (hits >= least))
     if grade.max(initial=0) == 0:
         return Model(np.empty(0, np.int64), np.empty(0), np.array([20.0]))
-    weights, cuts = fit_cumulative(row, col, grade, len(buckets))
+    weights, cuts = fit_cumulative(row, col, grade, len(buckets), weight=weight)
     return Model(buckets, weights, cuts)
 
 

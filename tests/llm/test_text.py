@@ -124,6 +124,17 @@ def test_toxicity_edge_cases(spark, make, empty):
         toxicity.grade_documents(docs.withColumn("grade", F.lit(1)), model, ["grade"])
 
 
+def test_toxicity_verdict_does_not_depend_on_the_sample_size(spark, make):
+    """'grey' is in 20 % of 2,400 clean and 60 % of 300 toxic documents: 27 % of its documents are toxic."""
+    text = lambda i: "grey stone" if i % 5 < (3 if i < 300 else 1) else "plain stone"
+    docs = make([(i, text(i)) for i in range(2700)])
+    labels = spark.createDataFrame([(i, int(i < 300)) for i in range(2700)], "doc_id long, grade int")
+    new = make([(1, "grey"), (2, "plain")])
+    for sample in (10_000, 300):
+        got = {r.doc_id: r for r in toxicity.grade_documents(new, toxicity.train(docs, labels, sample=sample), ["doc_id"]).collect()}
+        assert got[1].p_toxic == pytest.approx(0.27, abs=0.06) and not got[1].toxic and got[2].p_toxic < 0.12
+
+
 # --- secrets ------------------------------------------------------------------
 
 def test_forest_learns_a_rule_and_scores_new_rows():
