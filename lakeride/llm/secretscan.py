@@ -32,6 +32,7 @@ _RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 _ASSIGNED = re.compile(r"(?i)(?:passw(?:or)?d|pwd|secret|token|api[_-]?key|access[_-]?key|credential)[\"']?\s*[:=]\s*[\"']?([^\s\"',;]{8,})")
 _NAMES = ("passw", "pwd", "secret", "token", "key", "credential")
 _CREDENTIAL = re.compile(r"(?i)passw|pwd|secret|token|api[_-]?key|access[_-]?key|credential|bearer|auth")
+_EXPRESSION = re.compile(r"[()\[\]{}<>]")
 _HARMLESS = re.compile(r"(?i)commit|sha\d*|md5|checksum|digest|hash|uuid|revision|etag|example|sample|test|dummy")
 
 # Words that make a long string look like a name and not like a secret.
@@ -62,18 +63,37 @@ class Candidate:
 
 
 def candidates(text: str) -> list[Candidate]:
-    """Candidate strings of a text in order, without overlaps; a longer one wins over one inside it."""
-    spans = {(m.start(), m.end()) for m in _RUN.finditer(text)
-             if m.end() - m.start() >= 20 or any(c.isdigit() for c in m.group())}
+    """Candidate strings of a text in order, without overlaps.
+
+    A run that goes on into an assigned value ends before the credential name,
+    and what is left of it is a candidate if long enough; the value is one as a
+    whole. A run inside a value, or one that begins there, adds to that value.
+    """
     low = text.lower()
-    if any(n in low for n in _NAMES):
-        spans |= {m.span(1) for m in _ASSIGNED.finditer(text)}
-    out: list[Candidate] = []
-    for s, e in sorted(spans, key=lambda x: (x[0], -x[1])):
-        if out and s < out[-1].end:
-            continue
-        out.append(Candidate(s, e, text[s:e], text[max(0, s - 60):s], text[e:e + 30]))
-    return out
+    values = [(m.start(), *m.span(1)) for m in _ASSIGNED.finditer(text)] if any(n in low for n in _NAMES) else []
+    spans, i = [], 0
+    for m in _RUN.finditer(text):
+        s, e = m.span()
+        while i < len(values) and values[i][2] <= s:
+            spans.append(values[i][1:])
+            i += 1
+        while i < len(values) and values[i][1] < e:
+            name, start, end = values[i]
+            if _long_enough(text, s, min(name, start)):
+                spans.append((s, min(name, start)))
+            spans.append((start, end))
+            s, i = end, i + 1
+        if spans and s < spans[-1][1]:  # begins inside the value before
+            if e > spans[-1][1]:
+                spans[-1] = spans[-1][0], e
+        elif _long_enough(text, s, e):
+            spans.append((s, e))
+    spans += [v[1:] for v in values[i:]]
+    return [Candidate(s, e, text[s:e], text[max(0, s - 60):s], text[e:e + 30]) for s, e in spans]
+
+
+def _long_enough(text: str, start: int, end: int) -> bool:
+    return end - start >= 20 or end - start >= 16 and any(c.isdigit() for c in text[start:end])
 
 
 def _kind(c: str) -> int:
@@ -123,13 +143,15 @@ def describe(c: Candidate, path: str) -> list[float]:
 def weak_label(c: Candidate) -> int | None:
     """A label where the surroundings leave little doubt, for corpora without reviewed findings.
 
-    1: a quoted value with letters and digits, assigned to a credential name.
+    1: a value with letters and digits, assigned to a credential name, that is quoted or follows
+    its = at once and looks like no expression and no words.
     0: no credential name nearby, and only letters, only digits, or mostly dictionary words. Else none.
     """
     named = bool(_CREDENTIAL.search(c.before[-24:]))
     assigned = c.before.rstrip("\"' ").endswith(("=", ":"))
     mixed = any(x.isdigit() for x in c.value) and any(x.isalpha() for x in c.value)
-    if named and assigned and mixed and c.after[:1] in ('"', "'") and not _HARMLESS.search(c.before[-24:]):
+    bare = c.before.endswith("=") and c.value[0] not in "$=" and not _EXPRESSION.search(c.value) and dictionary_coverage(c.value) < 0.5
+    if named and assigned and mixed and (c.after[:1] in ('"', "'") or bare) and not _HARMLESS.search(c.before[-24:]):
         return 1
     if not named and (not mixed or dictionary_coverage(c.value) >= 0.5 or _HARMLESS.search(c.before[-24:])):
         return 0

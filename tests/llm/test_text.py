@@ -171,6 +171,28 @@ def test_secret_edge_cases(make, empty):
     assert secretscan.redact(docs, None).columns == docs.columns
 
 
+def test_unquoted_assignments_are_whole_candidates_with_their_name_before():
+    found = lambda t: [(c.value, c.before) for c in secretscan.candidates(t)]
+    assert found("export DB_PASSWORD=hunter2hunter2!s3cr3t$tail x") == [("hunter2hunter2!s3cr3t$tail", "export DB_PASSWORD=")]
+    assert found("api_key=Zx81kQ0p22mN\n") == [("Zx81kQ0p22mN", "api_key=")]
+    assert found("pwd=!a1B2c3D4e5F6g7H8i9J0k") == [("!a1B2c3D4e5F6g7H8i9J0k", "pwd=")]
+    run, both = "a1B2c3D4e5F6g7H8i9J0k", [c.value for c in secretscan.candidates("a1B2c3D4e5F6g7H8i9J0k/token=ab12cd34 0123456789abcdef")]
+    assert both == [run + "/", "ab12cd34", "0123456789abcdef"]
+    label = lambda t: [secretscan.weak_label(c) for c in secretscan.candidates(t)]
+    assert label("access_token=ab12cd34 ") == label("api_key=Zx81kQ0p22mN\n") == [1]
+    assert label("token=load_token2(path) ") == label("password=$PASSWORD1 ") == label("the token: abcdefgh9") == [None]
+
+
+def test_unquoted_secrets_are_masked_whole(make):
+    rnd = np.random.default_rng(3)
+    values = ["".join(rnd.choice(list("abcdefghjkmnpqrtuvwxyzABCDEF0123456789"), 18)) + "1!$x" for _ in range(80)]
+    docs = make([(i, f"export DB_PASSWORD={v} done", "en", "conf/env") for i, v in enumerate(values)]
+                + [(100 + i, f"in commit {v[:18]}0f we changed verylongcompoundwordwithoutend", "en", "docs/log") for i, v in enumerate(values)])
+    model = secretscan.train(secretscan.labelled_findings(docs.where("doc_id % 2 = 0")))
+    out = {r.doc_id: r.text for r in secretscan.redact(docs.where("doc_id % 2 = 1"), model).collect()}
+    assert all(t == f"export DB_PASSWORD={secretscan.MASK} done" if i < 100 else secretscan.MASK not in t for i, t in out.items())
+
+
 # --- quality rules --------------------------------------------------------------
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
