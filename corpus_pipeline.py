@@ -46,9 +46,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Confirmed secrets are masked in the texts; n_chars follows. No document goes."""
+    """Confirmed secrets are masked in the texts; n_chars follows. No document goes.
+
+    Where the corpus has too few findings to learn from, only plain assignments to credential names are masked."""
     to_executors(spark)
-    clean = secretscan.redact(docs, secretscan.train(secretscan.labelled_findings(docs)))
+    clean = secretscan.redact(docs, secretscan.train(secretscan.labelled_findings(docs)) or secretscan.Plain())
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 

@@ -24,6 +24,8 @@ from . import pieces
 
 #: labelled findings of each kind that the forest is fitted on, at most
 SAMPLE = 4000
+#: with fewer findings of either label there is no forest
+LEAST_FINDINGS = 10
 TREES, DEPTH, LEAST_LEAF, BINS = 40, 8, 3, 32
 LIMIT = 0.5
 MASK = "[SECRET]"
@@ -242,30 +244,42 @@ def labelled_findings(docs: DataFrame, text_col: str = "text", path_col: str = "
     return _select(docs, [], text_col, path_col).mapInArrow(run, "label int, features array<double>")
 
 
-def train(findings: DataFrame, sample: int = SAMPLE) -> Forest | None:
+class Plain:
+    """Judge for corpora with too few findings for a forest: a secret is what :func:`weak_label` labels 1, nothing else."""
+
+
+Judge = Forest | Plain | None
+
+
+def train(findings: DataFrame, sample: int = SAMPLE) -> Judge:
     """Fits on at most ``sample`` rows (label 0 or 1, features) of each label, those of the smallest
-    feature hash. Without findings of both labels there is no model, and nothing is removed."""
+    feature hash. With fewer than ``LEAST_FINDINGS`` of either label the judge is :class:`Plain`;
+    without any finding there is none."""
     rows = [findings.where(F.col("label") == y).orderBy(F.xxhash64("features"), "features").limit(sample) for y in (0, 1)]
     data = rows[0].unionByName(rows[1]).toPandas()
-    if data["label"].nunique() < 2:
+    if data.empty:
         return None
+    if min((data["label"] == y).sum() for y in (0, 1)) < LEAST_FINDINGS:
+        return Plain()
     data = data.iloc[np.lexsort((data["features"].map(tuple).map(hash), data["label"]))]
     return Forest(np.array(data["features"].tolist()), data["label"].to_numpy())
 
 
-def _judged(model: Forest | None, found: list[Candidate], path: list[str]) -> np.ndarray:
+def _judged(model: Judge, found: list[Candidate], path: list[str]) -> np.ndarray:
     if model is None or not found:
         return np.ones(len(found))
+    if isinstance(model, Plain):
+        return np.array([float(weak_label(c) == 1) for c in found])
     return model.score(np.array([describe(c, p) for c, p in zip(found, path, strict=True)]))
 
 
-def scan(docs: DataFrame, model: Forest | None, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
+def scan(docs: DataFrame, model: Judge, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
     """One row per candidate: doc_id, start, end (characters), n_chars, value_sha256, score, is_secret.
 
     Null and empty texts have no candidates; a null path is empty, a null id
     stays null; repeated rows are scanned each; an empty table gives no rows.
     Other columns are ignored, whatever their names. The value itself is not
-    returned, only its hash.
+    returned, only its hash. Without a model every candidate counts as a secret.
     """
     from hashlib import sha256
 
@@ -288,10 +302,12 @@ def scan(docs: DataFrame, model: Forest | None, id_col: str = "doc_id", text_col
     return rows.mapInArrow(run, "doc_id long, start long, end long, n_chars long, value_sha256 string, score double, is_secret boolean")
 
 
-def redact(docs: DataFrame, model: Forest | None, text_col: str = "text", path_col: str = "source") -> DataFrame:
+def redact(docs: DataFrame, model: Judge, text_col: str = "text", path_col: str = "source") -> DataFrame:
     """All rows and columns of ``docs``, with every confirmed secret in the text replaced by a mask.
 
-    Texts without a secret, null ones too, stay as they are.
+    Texts without a secret, null ones too, stay as they are. Without a model
+    every candidate is masked; a caller that must not touch clean texts gives
+    :class:`Plain` instead.
     """
     names = docs.columns
     at = names.index(text_col)

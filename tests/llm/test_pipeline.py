@@ -51,6 +51,18 @@ def test_repeated_rows_keep_one(spark):
     assert sorted((r.doc_id or 0) for r in out.collect()) == [0, 1] and out.columns == docs.columns
 
 
+@pytest.mark.parametrize("n_secrets", [0, 1])
+@pytest.mark.parametrize("n_clean", [0, 30])
+def test_texts_without_credentials_stay_when_there_is_little_to_learn_from(spark, n_clean, n_secrets):
+    clean = [f"{'-' * 20} in commit {i:02d}9f3c5b7a1d2e4f60718293a4b5c6d7e8f9a0b1 card 4111111111111111 abcdefghijklmnopqrstuvwxyz" for i in range(n_clean)]
+    odd = "see 0a1B2c3D4e5F6g7H8i9J0k there"  # a candidate without a label
+    texts = [*clean, odd, *['api_key = "Zx81kQ0p22mN"'] * n_secrets]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = [r.text for r in corpus_pipeline.secrets(spark, docs, SMALL).orderBy("doc_id").collect()]
+    assert got == [*clean, odd, *[f'api_key = "{secretscan.MASK}"'] * n_secrets]
+
+
 def test_pipeline_runs_on_an_empty_table(spark):
     docs = catalog.table(spark, SMALL, "documents").limit(0)
     for name, stage in corpus_pipeline.STAGES[:-1]:
