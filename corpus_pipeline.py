@@ -17,11 +17,18 @@ from lakeride.session import materialize
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a recognisable language go; a null lang becomes the predicted one."""
+    """Documents without a recognisable language go; a null lang becomes the predicted one, a given one stays.
+
+    Recognisable: the score of the nearest profile is above 0 and reaches that language's floor, so
+    texts in a script without a profile and random letters go."""
     to_executors(spark)
     columns = docs.columns
-    named = langid.predict(docs, langid.train(docs), columns)
-    return named.where(F.col("lang_pred") != langid.UNKNOWN).withColumn("lang", F.coalesce("lang", "lang_pred")).select(columns)
+    profiles = langid.train(docs)
+    floors = langid.floors(docs, profiles)
+    named = langid.predict(docs, profiles, columns)
+    least = F.create_map(*(F.lit(x) for item in sorted(floors.items()) for x in item)) if floors else F.lit(None).cast("map<string,double>")
+    far = (F.col("score") <= 0) | (F.col("score") < F.coalesce(F.try_element_at(least, F.col("lang_pred")), F.lit(0.0)))
+    return named.where((F.col("lang_pred") != langid.UNKNOWN) & ~far).withColumn("lang", F.coalesce("lang", "lang_pred")).select(columns)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

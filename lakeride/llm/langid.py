@@ -20,6 +20,10 @@ from . import pieces
 #: n-grams of one to three characters; so many ranks in a profile and of a document
 LONGEST, RANKS = 3, 400
 UNKNOWN = "und"
+#: a text is in a language if its score reaches this share of the median score of the language's labelled
+#: documents. Prose of the given tables scores 0.43 to 0.71 (medians 0.64 to 0.71), random letters up to 0.25
+#: from 60 characters on.
+FLOOR_SHARE = 0.5
 #: distinct n-grams a training task holds for all languages before it hands them on
 HELD = 2_000_000
 _BITS = 21  # of a code point; three fit into an n-gram's code
@@ -169,3 +173,21 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], keep: list[str], te
 
     kept = rows.drop("__text").schema
     return rows.mapInArrow(run, kept.add("lang_pred", "string").add("score", "double"))
+
+
+def floors(docs: DataFrame, profiles: dict[str, list[int]], text_col: str = "text", lang_col: str = "lang",
+           share: float = FLOOR_SHARE) -> dict[str, float]:
+    """Least score of a text in each language, from the documents labelled so and predicted so.
+
+    Counts by language and thousandths of the score reach the driver, not rows.
+    A language without such documents has no floor.
+    """
+    labelled = docs.select(docs[lang_col].cast("string").alias("lang"), docs[text_col].alias("text")).where("lang is not null")
+    counts = (predict(labelled, profiles, ["lang"]).where(F.col("lang") == F.col("lang_pred"))
+              .groupBy("lang", F.floor(F.col("score") * 1000).cast("int").alias("at")).count().collect())
+    out: dict[str, float] = {}
+    for lang in {r["lang"] for r in counts}:
+        own = sorted((r["at"], r["count"]) for r in counts if r["lang"] == lang)
+        upto = np.cumsum([n for _, n in own])
+        out[lang] = share * own[int(np.searchsorted(upto, upto[-1] / 2))][0] / 1000
+    return out

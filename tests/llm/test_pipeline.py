@@ -2,6 +2,7 @@
 
 import sys
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,6 +52,19 @@ def test_repeated_rows_keep_one(spark):
     assert sorted((r.doc_id or 0) for r in out.collect()) == [0, 1] and out.columns == docs.columns
 
 
+def test_language_rejects_unknown_scripts_and_random_letters(spark):
+    docs = catalog.table(spark, SMALL, "documents")
+    rng = np.random.default_rng(4)
+    noise = " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), n)) for n in rng.integers(2, 11, 60))
+    known = docs.where("lang = 'fr' and n_chars > 500").orderBy("doc_id").head()
+    odd = ["这是一个没有拉丁字母的中文文件" * 20, "Это чистый русский текст " * 20, noise]
+    rows = [(900000 + 2 * i + k, t, lang, "s", len(t)) for i, t in enumerate(odd) for k, lang in enumerate((None, "en"))]
+    more = spark.createDataFrame([*rows, (900100, known.text, None, "s", 1)], docs.schema)
+    got = corpus_pipeline.language(spark, docs.unionByName(more), SMALL).select("doc_id", "lang").toPandas()
+    assert dict(got[got.doc_id >= 900000].itertuples(index=False, name=None)) == {900100: "fr"}
+    assert len(got) == docs.count() + 1
+
+
 @pytest.mark.parametrize("n_secrets", [0, 1])
 @pytest.mark.parametrize("n_clean", [0, 30])
 def test_texts_without_credentials_stay_when_there_is_little_to_learn_from(spark, n_clean, n_secrets):
