@@ -17,10 +17,12 @@ WHITE = " \t\n\x0b\f\r"
 MIN_WORDS, MAX_REPEAT_PCT, SPAN = 10, 20, 5
 #: a histogram is compared only if it has so many entries
 LEAST_CHARS, LEAST_WORDS = 300, 100
+#: the characters of a language are a reference if so many documents pass the base rules
+LEAST_DOCS = 20
 #: largest Jensen-Shannon distances (base 2, so from 0 to 1) of a kept document
 MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.34, 0.285
 
-# Frequent function words of the languages that have a reference.
+# Frequent function words of the languages whose documents are checked by words.
 COMMON_WORDS = {
     "en": ("the", "of", "and", "to", "in", "a", "is", "that", "for", "on", "with", "was"),
     "de": ("der", "die", "und", "in", "den", "von", "zu", "das", "mit", "ist", "auf", "für"),
@@ -30,7 +32,6 @@ COMMON_WORDS = {
 #: histogram bins of characters inside words; whatever else is there is the last bin
 #: (small letters of ASCII for the most part)
 CHAR_CLASSES = ("[A-Z]", "[0-9]", "[^\\x00-\\x7F]", "[.,;:!?'\"()-]", "[#*$%&|<>]")
-ANY = "*"
 
 
 def _long(c: Column) -> Column:
@@ -88,7 +89,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     """Counts of each document: the base metrics and the two histograms (chars, common)."""
     white_line = lambda line: F.btrim(line, F.lit(WHITE)) != ""
     base = docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"),
-                       F.when(docs[lang_col].isin(*COMMON_WORDS), docs[lang_col]).alias("lang"))
+                       docs[lang_col].cast("string").alias("lang"))
     split = base.select("doc_id", "lang", words_of(F.col("text")).alias("words"),
                         F.filter(F.split("text", "\n"), white_line).alias("lines"))
     frequent = sorted({f for ws in COMMON_WORDS.values() for w in ws for f in (w, w.capitalize(), w.upper())})
@@ -119,18 +120,22 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
 
 def references(counts: DataFrame) -> DataFrame:
-    """Histograms of each language (and ``*``: all) over the documents that pass the base rules."""
+    """Histograms of each language (and of all, lang null) over the documents that pass the base rules.
+
+    ref_chars is null where fewer than ``LEAST_DOCS`` passed; languages with no reference at all are left out.
+    """
     good = counts.where(~F.col("base_failed"))
     bins = len(CHAR_CLASSES) + 1
     sums = [F.coalesce(F.sum(F.get("chars", F.lit(i))), F.lit(0)).alias(f"c{i}") for i in range(bins)]
     own = len(next(iter(COMMON_WORDS.values()))) + 1
     word_sums = [F.coalesce(F.sum(F.get("common", F.lit(i))), F.lit(0)).alias(f"w{i}") for i in range(own)]
-    total = good.groupBy(F.coalesce("lang", F.lit("")).alias("lang")).agg(*sums, *word_sums)
-    both = total.where("lang <> ''").unionByName(
-        total.agg(*(F.sum(f"c{i}").alias(f"c{i}") for i in range(bins))).select(
-            F.lit(ANY).alias("lang"), "*", *(F.lit(None).cast("long").alias(f"w{i}") for i in range(own))))
-    return both.select("lang", F.array(*(f"c{i}" for i in range(bins))).alias("ref_chars"),
-                       F.array(*(f"w{i}" for i in range(own))).alias("ref_common"))
+    total = good.groupBy("lang").agg(*sums, *word_sums, F.count("*").alias("n"))
+    both = total.where("lang is not null").unionByName(
+        total.agg(*(F.sum(f"c{i}").alias(f"c{i}") for i in range(bins)), F.sum("n").alias("n")).select(
+            F.lit(None).cast("string").alias("lang"), "*", *(F.lit(None).cast("long").alias(f"w{i}") for i in range(own))))
+    return both.where((F.col("n") >= LEAST_DOCS) | F.col("lang").isin(*COMMON_WORDS)).select(
+        "lang", F.when(F.col("n") >= LEAST_DOCS, F.array(*(f"c{i}" for i in range(bins)))).alias("ref_chars"),
+        F.array(*(f"w{i}" for i in range(own))).alias("ref_common"))
 
 
 def js_distance(a: Column, b: Column) -> Column:
@@ -145,19 +150,20 @@ def js_distance(a: Column, b: Column) -> Column:
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per input row: doc_id, the base metrics, base_failed, both distances and kept.
 
-    Null and empty texts have zero counts and fail the base rules; a document
-    in a language without a reference (null too) is compared with the
-    characters of all languages and not by words; histograms below the
-    guards are not compared (distance null). Repeated rows give repeated
-    rows, an empty table none. Other columns are ignored, whatever their
-    names. The references are a handful of rows, one for each listed language.
+    Null and empty texts have zero counts and fail the base rules. Each lang has
+    its own character reference; where that is too small there is no character
+    comparison, and only the languages of ``COMMON_WORDS`` are compared by
+    words. A null lang is compared with the characters of all languages.
+    Histograms below the guards are not compared (distance null). Repeated rows
+    give repeated rows, an empty table none. Other columns are ignored, whatever
+    their names. The references are a row for each language.
     """
     counts = materialize(measure(docs, id_col, text_col, lang_col), "quality-counts")
     refs = references(counts)
-    joined = counts.join(F.broadcast(refs), F.coalesce(counts["lang"], F.lit(ANY)) == refs["lang"], "left")
+    joined = counts.join(F.broadcast(refs), counts["lang"].eqNullSafe(refs["lang"]), "left")
     chars = F.when(F.col("word_chars") >= LEAST_CHARS, js_distance(F.col("chars"), F.col("ref_chars")))
     words = F.when(F.col("n_words") >= LEAST_WORDS, js_distance(F.col("common"), F.col("ref_common")))
-    out = joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+    out = joined.select(counts["doc_id"], "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                         chars.alias("char_distance"), words.alias("word_distance"))
     return out.withColumn("kept", ~F.col("base_failed") & ~(
         F.coalesce(F.col("char_distance") > MAX_CHAR_DISTANCE, F.lit(False))

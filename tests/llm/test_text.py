@@ -258,6 +258,19 @@ def test_quality_edge_cases(make, empty):
     assert quality.judge(empty).count() == 0
 
 
+def test_quality_has_a_reference_for_every_language(make):
+    rnd = np.random.default_rng(6)
+    prose = lambda letters: " ".join("".join(rnd.choice(list(letters), rnd.integers(2, 9))) for _ in range(120))
+    latin, cyrillic, greek = "abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхцчшыья", "αβγδεζηθικλμνξοπρστυφχψω"
+    rows = [(i, prose(latin), "it") for i in range(400)] + [(1000 + i, prose(cyrillic), "ru") for i in range(40)]
+    rows += [(2000 + i, prose(greek), "el") for i in range(5)] + [(3000, prose(cyrillic), "it"), (3001, prose("#*$%&|<>"), "ru"), (3002, prose(latin), "*"), (3003, prose(latin), "")]
+    got = {r.doc_id: r for r in quality.judge(make(rows)).collect()}
+    assert len(got) == len(rows) and all(got[i].kept for i in [*range(400), *range(1000, 1040), *range(2000, 2005), 3002, 3003])
+    assert not got[3000].kept and not got[3001].kept
+    assert all(got[i].char_distance is None for i in (*range(2000, 2005), 3002, 3003))
+    assert all(r.word_distance is None for r in got.values())
+
+
 def test_quality_keeps_good_documents(spark):
     got = catalog.QUERIES["op2_divergence_rules"](spark, SMALL).join(spark.read.parquet(f"{SMALL}/labels.parquet"), "doc_id").where("not base_failed")
     lost, n = got.where("quality = 1").agg(F.sum((~F.col("kept")).cast("int")), F.count("*")).head()
