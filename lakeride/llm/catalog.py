@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import ann, chat, langid, neardup, packing, quality, repair, secretscan, speculate, toxicity
+from . import ann, chat, langid, neardup, oracle, packing, quality, repair, resample, secretscan, speculate, substrings, toxicity, turns
 from .ship import to_executors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,11 +92,11 @@ PLANTED_CONVERSATION = "</s>[INST] ok [/INST]"
 
 @query
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     planted = spark.range(2).select(
         F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PLANTED_CONVERSATION).alias("text"))
-    return chat.digests(chat.format_conversations(turns.unionByName(planted)))
+    return chat.digests(chat.format_conversations(said.unionByName(planted)))
 
 
 def _oracle_op9() -> str:
@@ -134,6 +134,25 @@ def op10_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Params(words=4))
 
 
+@query
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.digests(turns.repair(turns.damage(table(spark, sf_dir, "conversations")), "lost"))
+
+
+@query
+def op12_batch_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLE_SQL |= {"op11_turn_repair": oracle.OP11, "op12_batch_resample": oracle.OP12, "op13_window_dedup": oracle.OP13}
+
+
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
