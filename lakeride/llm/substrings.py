@@ -7,9 +7,10 @@ its words also start in a document with a smaller id. Three steps:
    word hashes), settles repeats that both lie in what it holds, and posts of
    every hash only the windows of the smallest id it saw. So a passage that
    is everywhere posts once per task, not once per document.
-2. Posts meet by range of the hash, as blocks of columns. A range holds about
-   as many windows as a task, whatever the size of the corpus. The windows
-   that do not lie in the smallest document of their hash are sent back.
+2. Posts meet by range of the hash, as blocks of columns. A range holds at most
+   about as many windows as a task, whatever the size of the corpus. The windows
+   that do not lie in the smallest document of their hash are sent back to the
+   part of the input that posted them, where each document gets all of its own.
 3. The starts of a document's repeated windows meet its text, become the
    windows they cover and maximal intervals, and the text is cut.
 
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -157,116 +159,152 @@ def _unplanes(data: np.ndarray, n: int, keep: int, dtype) -> np.ndarray:
     return out.reshape(-1).view(dtype)
 
 
-def _pack(hashes: np.ndarray, ids: np.ndarray, keys: np.ndarray, starts: np.ndarray) -> bytes:
-    """One block: runs of windows of one document as (id, key, length), then starts and hashes without their highest byte."""
-    new = np.concatenate([[True], (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])])
-    first = np.flatnonzero(new)
-    many = np.diff(np.append(first, len(ids)))
-    step = np.diff(starts, prepend=np.int32(0)).astype(np.int32)
+def _steps(x: np.ndarray) -> np.ndarray:
+    return np.diff(x, prepend=x.dtype.type(0))
+
+
+def _pack(ordinals: np.ndarray, starts: np.ndarray, ids: np.ndarray | None = None, hashes: np.ndarray | None = None) -> bytes:
+    """One block of windows in runs of one document: ordinals, lengths and ids of the runs, starts, hashes without their highest byte."""
+    first = np.flatnonzero(np.concatenate([[True], ordinals[1:] != ordinals[:-1]])) if len(ordinals) else np.empty(0, np.int64)
+    many = np.diff(np.append(first, len(ordinals)))
+    step = _steps(starts.astype(np.int32))
     step[first] = starts[first]
-    return b"".join([np.array([len(first), len(ids)], "<i8").tobytes(), ids[first].astype("<i8").tobytes(), keys[first].astype("<i4").tobytes(),
-                     _planes(many.astype("<i4"), 4), _planes(step.astype("<i4"), 4), _planes(hashes.astype("<u8"), 7)])
-
-
-def _unpack(block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    runs, n = np.frombuffer(block, "<i8", 2)
-    at = 16
-    parts = []
-    for size in (8 * runs, 4 * runs, 4 * runs, 4 * n, 7 * n):
-        parts.append(np.frombuffer(block, np.uint8, int(size), at))
-        at += int(size)
-    many = _unplanes(parts[2], runs, 4, "<i4").astype(np.int64)
-    step = _unplanes(parts[3], n, 4, "<i4").astype(np.int64)
-    total = np.cumsum(step)
-    first = np.cumsum(many) - many
-    starts = (total - np.repeat(total[first] - step[first], many)).astype(np.int32)
-    return (_unplanes(parts[4], n, 7, "<u8"), np.repeat(parts[0].view("<i8"), many), np.repeat(parts[1].view("<i4"), many), starts)
-
-
-def _returned(ids: np.ndarray, keys: np.ndarray, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows (doc_id, key, starts) of windows that repeat."""
-    order = np.lexsort((starts, keys, ids))
-    ids, keys, starts = ids[order], keys[order], starts[order]
-    if not len(ids):
-        return
-    first = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])]))
-    for k in range(0, len(first), 20_000):
-        part = first[k:k + 20_000]
-        stop = first[k + 20_000] if k + 20_000 < len(first) else len(ids)
-        offsets = pa.array(np.append(part, stop) - part[0], pa.int32())
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(part), pa.int32()), pa.array(ids[part]), pa.array(keys[part]),
-             pa.ListArray.from_arrays(offsets, pa.array(starts[part[0]:stop])), pa.nulls(len(part), pa.binary())], _COLUMNS)
-
-
-_COLUMNS = ["range", "doc_id", "key", "starts", "block"]
-_SCHEMA = "range int, doc_id long, key int, starts array<int>, block binary"
+    parts = [np.array([len(first), len(ordinals)], "<i8").tobytes(), _planes(_steps(ordinals[first].astype("<i4")), 4),
+             _planes(many.astype("<i4"), 4), _planes(step.astype("<i4"), 4)]
+    if ids is not None:
+        parts += [_planes(_steps(ids[first].astype("<i8")), 8), _planes(hashes.astype("<u8"), 7)]
+    return b"".join(parts)
+
+
+def _unpack(block: bytes, posted: bool) -> list[np.ndarray]:
+    """Ordinals and starts; of posted windows also ids and hashes."""
+    runs, n = np.frombuffer(block, "<i8", 2).tolist()
+    at, parts = 16, []
+    for k, size, kind in ((runs, 4, "<i4"), (runs, 4, "<i4"), (n, 4, "<i4"), (runs, 8, "<i8"), (n, 7, "<u8"))[:5 if posted else 3]:
+        parts.append(_unplanes(np.frombuffer(block, np.uint8, k * size, at), k, size, kind))
+        at += k * size
+    many = parts[1].astype(np.int64)
+    total, first = np.cumsum(parts[2].astype(np.int64)), np.cumsum(many) - many
+    starts = total - np.repeat(total[first] - parts[2][first], many)
+    out = [np.repeat(np.cumsum(parts[0], dtype=np.int32), many), starts.astype(np.int32)]
+    return out + [np.repeat(np.cumsum(parts[3]), many), parts[4]] if posted else out
+
+
+def _row(batch_range: int | None, part: int, kind: str, block: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([batch_range], pa.int32()), pa.array([part], pa.int64()), pa.array([kind], pa.string()),
+                                       pa.array([block], pa.binary())], ["range", "part", "kind", "block"])
+
+
+#: a part is what a task held at once; kind: 'docs' (ids and keys of a part's documents, in order), 'post', 'back'
+_SCHEMA = "range int, part long, kind string, block binary"
 
 
 def repeated_windows(docs: DataFrame, words: int = WORDS, held: int = HELD) -> DataFrame:
     """Rows (doc_id, key, starts): first words of windows of ``docs(doc_id, key, text)`` whose words also
-    start in a document with a smaller id. A document has several rows; of the windows that a
-    document itself repeats, one at least is named."""
-    # about `held` windows to a range, so that a range fits a task; a word takes two bytes at least
+    start in a document with a smaller id. Of the windows that a document itself repeats, one at
+    least is named. Rows that repeat give repeated rows."""
+    # about half of `held` windows to a range, so that a range fits a task; a word takes six bytes or so
     size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    bits = max(1, int(np.ceil(np.log2(max(2.0, size / 6 / held)))))
+    bits = max(1, int(np.ceil(np.log2(max(2.0, size / 3 / held)))))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[tuple[np.ndarray, ...]] = []
-        count = 0
+        table: list[tuple[np.ndarray, np.ndarray]] = []
+        number = TaskContext.get().partitionId() << 24
+        n_docs = count = 0
 
-        def hand_on():
-            hashes, ids, keys, starts = (np.concatenate(x) for x in zip(*kept, strict=True))
+        def hand_on(part: int):
+            hashes, ordinals, starts = (np.concatenate(x) for x in zip(*kept, strict=True))
+            ids, keys = (np.concatenate(x) for x in zip(*table, strict=True))
             kept.clear()
-            again = _not_first(hashes, ids)
-            yield from _returned(ids[again], keys[again], starts[again])
+            table.clear()
+            yield _row(None, part, "docs", ids.astype("<i8").tobytes() + keys.astype("<i4").tobytes())
+            again = _not_first(hashes, ids[ordinals])
+            if again.any():
+                yield _row(None, part, "back", _pack(ordinals[again], starts[again]))
             rest = np.flatnonzero(~again)
             where = (hashes[rest] >> np.uint64(64 - bits)).astype(np.int64)
             order = rest[np.argsort(where, kind="stable")]
-            del again, rest
+            del again, rest, where
             there, first = np.unique(hashes[order] >> np.uint64(64 - bits), return_index=True)
             for r, x, y in zip(there.tolist(), first.tolist(), [*first[1:].tolist(), len(order)], strict=True):
-                part = order[x:y]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.list_(pa.int32())),
-                     pa.array([_pack(hashes[part], ids[part], keys[part], starts[part])], pa.binary())], _COLUMNS)
+                at = order[x:y]
+                yield _row(r, part, "post", _pack(ordinals[at], starts[at], ids[ordinals[at]], hashes[at]))
 
         for batch in batches:
             ids, keys = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             for b, e, hashes, row, start in windows(pieces.as_text(batch.column(2)), words):
-                kept.append((hashes, ids[b:e][row], keys[b:e][row], start))
-                count += len(hashes)
+                kept.append((hashes, row + np.int32(n_docs), start))
+                table.append((ids[b:e], keys[b:e]))
+                n_docs, count = n_docs + e - b, count + len(hashes)
                 if count >= held:
-                    yield from hand_on()
-                    count = 0
-        if kept:
-            yield from hand_on()
+                    yield from hand_on(number)
+                    n_docs, count, number = 0, 0, number + 1
+        if count:
+            yield from hand_on(number)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, blocks = None, []
 
         def settle():
-            hashes, ids, keys, starts = (np.concatenate(x) for x in zip(*map(_unpack, blocks), strict=True))
+            parts = [_unpack(block, True) for _, block in blocks]
+            again = _not_first(np.concatenate([p[3] for p in parts]), np.concatenate([p[2] for p in parts]))
+            at = 0
+            for (part, _), (ordinals, starts, _, _) in zip(blocks, parts, strict=True):
+                own = again[at:at + len(starts)]
+                at += len(starts)
+                if own.any():
+                    yield _row(None, part, "back", _pack(ordinals[own], starts[own]))
             blocks.clear()
-            again = _not_first(hashes, ids)
-            return _returned(ids[again], keys[again], starts[again])
 
         for batch in batches:
-            mine = batch.column(4).is_valid()
+            mine = pc.equal(batch.column(2), "post")
             yield batch.filter(pc.invert(mine))
             own = batch.filter(mine)
-            for r, block in zip(own.column(0).to_pylist(), own.column(4), strict=True):
+            for r, part, block in zip(own.column(0).to_pylist(), own.column(1).to_pylist(), own.column(3), strict=True):
                 if r != now and blocks:
                     yield from settle()
                 now = r
-                blocks.append(block.as_buffer().to_pybytes())
+                blocks.append((part, block.as_buffer().to_pybytes()))
         if blocks:
             yield from settle()
 
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, docs_of, back = None, b"", []
+
+        def close():
+            if not back:
+                return
+            n = len(docs_of) // 12
+            ids, keys = np.frombuffer(docs_of, "<i8", n), np.frombuffer(docs_of, "<i4", n, 8 * n)
+            ordinals, starts = (np.concatenate(x) for x in zip(*(_unpack(b, False) for b in back), strict=True))
+            back.clear()
+            order = np.argsort(ordinals, kind="stable")
+            ordinals, starts = ordinals[order], starts[order]
+            first = np.flatnonzero(np.concatenate([[True], ordinals[1:] != ordinals[:-1]]))
+            for k in range(0, len(first), 5000):
+                own = first[k:k + 5000]
+                stop = first[k + 5000] if k + 5000 < len(first) else len(ordinals)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[ordinals[own]]), pa.array(keys[ordinals[own]]),
+                     pa.ListArray.from_arrays(pa.array(np.append(own, stop) - own[0], pa.int32()), pa.array(starts[own[0]:stop]))],
+                    ["doc_id", "key", "starts"])
+
+        for batch in batches:
+            for part, kind, block in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
+                if part != now:
+                    yield from close()
+                    now = part
+                if kind == "docs":
+                    docs_of = block.as_buffer().to_pybytes()
+                else:
+                    back.append(block.as_buffer().to_pybytes())
+        yield from close()
+
     posts = docs.where("doc_id is not null").select("doc_id", "key", "text").mapInArrow(post, _SCHEMA)
-    # returned rows are dealt out by their document, blocks by their range
-    dealt = posts.repartition(F.coalesce("range", F.xxhash64("doc_id", "key"))).sortWithinPartitions("range")
-    return dealt.mapInArrow(meet, _SCHEMA).select("doc_id", "key", "starts")
+    # what is already settled is dealt out by its part, posts by their range
+    met = posts.repartition(F.coalesce("range", F.xxhash64("part"))).sortWithinPartitions("range").mapInArrow(meet, _SCHEMA)
+    return met.repartition("part").sortWithinPartitions("part").mapInArrow(gather, "doc_id long, key int, starts array<int>")
 
 
 def covered(starts: np.ndarray, words: int) -> list[tuple[int, int]]:
