@@ -166,18 +166,18 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = (count.withColumn("score", F.abs(gap) / F.sqrt(pooled * (1 - pooled) * (1 / max(1, bad) + 1 / max(1, clean)) + 1e-12))
               .where(F.col("score") >= LEAST_Z).orderBy(F.desc("score"), "bucket").limit(n_features).collect())
     buckets = np.array(sorted(r["bucket"] for r in chosen), np.int64)
-    wanted = spark.createDataFrame([(int(b),) for b in buckets], "bucket int")
-    sample_rows = (seen.withColumn("row", F.monotonically_increasing_id())
-                   .select("row", "grade", F.explode("buckets").alias("bucket")).join(F.broadcast(wanted), "bucket")
-                   .groupBy("row", "grade").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))
-                   .select("grade", "buckets").orderBy("grade", "buckets").toPandas())
-    grade = sample_rows["grade"].to_numpy(np.int64)
-    # documents without any chosen feature count too: they carry the base rate
-    none = {g: n - int((grade == g).sum()) for g, n in size.items()}
-    many = np.array([len(b) for b in sample_rows["buckets"]], np.int64)
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:  # one row stays one row, with the chosen buckets it has
+            kept = [x[np.isin(x, buckets)] for x in (v.values.to_numpy(zero_copy_only=False) for v in batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.list_(pa.int32()))], ["grade", "buckets"])
+
+    # at most sample x grades rows with the chosen buckets reach the driver; documents without any carry the base rate
+    coded = sorted((r["grade"], r["buckets"]) for r in seen.mapInArrow(code, "grade int, buckets array<int>").collect())
+    grade = np.array([g for g, _ in coded], np.int64)
+    many = np.array([len(b) for _, b in coded], np.int64)
     row = np.repeat(np.arange(len(grade)), many)
-    col = np.searchsorted(buckets, np.concatenate([np.empty(0, np.int64), *sample_rows["buckets"]]).astype(np.int64))
-    grade = np.concatenate([grade, np.repeat(np.array(sorted(none), np.int64), [max(0, none[g]) for g in sorted(none)])])
+    col = np.searchsorted(buckets, np.array([x for _, b in coded for x in b], np.int64))
     weight = np.array([stands_for[g] for g in grade.tolist()])
     if grades[-1] == 1:
         speaks = {r["bucket"] for r in chosen if r["share_bad"] > r["share_clean"]}
