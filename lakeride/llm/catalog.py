@@ -70,7 +70,7 @@ def op5_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), cache_words=500_000)
 
 
 @query

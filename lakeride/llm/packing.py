@@ -7,7 +7,8 @@ sequence; among the waiting examples that fit whole, the one whose demand
 vector has the largest dot product with the sequence's free capacity goes in.
 If none fits, one is cut to fill the sequence. What a split has left below
 one full sequence is laid into sequences whose length is a power of two, which
-need no padding.
+need no padding. So is a sequence that its last segments cannot fill: it closes
+at the largest power of two within reach, where the last piece is cut.
 """
 
 from __future__ import annotations
@@ -90,6 +91,14 @@ class Packer:
         free = np.array([self.capacity - self.used, self.limit[1] - self.segments, self.limit[2] - self.loss])
         rest = np.where(self.waiting, self.total - self.next, 0)
         loss = np.maximum(0, self.total - np.maximum(self.next, self.loss_from)) * self.waiting
+        last = int(free[1])
+        if last <= self.size and self.used + int(rest.max()) < self.capacity:
+            # with many short examples the segments run out first
+            reach = self.used + int(np.partition(rest, self.size - last)[self.size - last:].sum())
+            goal = 1 << (max(1, reach).bit_length() - 1)
+            if self.used < goal < self.capacity:
+                self.capacity = goal
+                free[0] = goal - self.used
         fits = self.waiting & (rest <= free[0]) & (loss <= free[2])
         if fits.any():
             worth = rest / self.limit[0] * free[0] + free[1] / self.limit[1] + loss / self.limit[2] * free[2]
@@ -125,7 +134,7 @@ class Packer:
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str = "doc_id",
                    text_col: str = "text", prompt_col: str | None = None, keep_spaces: bool = False,
                    max_tokens: int = MAX_TOKENS, max_segments: int = MAX_SEGMENTS,
-                   max_loss: int | None = None) -> DataFrame:
+                   max_loss: int | None = None, cache_words: int = CACHE_WORDS) -> DataFrame:
     """One row per piece of a document: which tokens, in which sequence, at which offset.
 
     ``tokenizer`` is the path of a tokenizers-library file that every executor
@@ -135,14 +144,14 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str
     id alone is packed), a null id stays null, rows that repeat are packed
     each, an empty table gives no rows. Very long texts are cut over many
     sequences. Other columns are ignored, whatever their names. Memory of a
-    task: one slice of texts and the window.
+    task: one slice of texts, the window and the ids of ``cache_words`` words.
     """
     cols = [docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text")]
     if prompt_col:
         cols.append(docs[prompt_col].cast("string").alias("prompt"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = pieces.library_coder(tokenizer, keep_spaces, CACHE_WORDS)
+        coder = pieces.library_coder(tokenizer, keep_spaces, cache_words)
         base = TaskContext.get().partitionId() << 33
         out: dict[str, list] = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens",
                                                 "sequence_id", "offset", "loss_tokens")}
