@@ -31,15 +31,17 @@ from . import pieces
 MAGIC = b"RPR1"
 #: ids of a shard (a longer document has a shard of its own)
 SHARD_IDS = 1 << 20
-ROUNDS, RULES_A_ROUND, LEAST_USES = 4, 2048, 8
+RULES_A_ROUND, LEAST_USES = 4096, 8
+#: words whose ids a task remembers
+CACHE_WORDS = 800_000
 
 SHARD_SCHEMA = ("part int, shard int, n_ids long, offset long, doc_ids array<long>, "
                 "doc_tokens array<long>, payload binary")
 
 
-def compress(ids: np.ndarray, rounds: int = ROUNDS, rules_a_round: int = RULES_A_ROUND,
-             least_uses: int = LEAST_USES) -> bytes:
-    """The payload of one shard. An empty shard has no terminals, rules or symbols."""
+def compress(ids: np.ndarray, rules_a_round: int = RULES_A_ROUND, least_uses: int = LEAST_USES) -> bytes:
+    """The payload of one shard: rounds of replacements until no pair has ``least_uses``. An empty shard has
+    no terminals, rules or symbols."""
     ids = np.asarray(ids, np.uint32)
     if len(ids) and int(ids.max()) < 1 << 24:
         seen = np.flatnonzero(np.bincount(ids)).astype(np.uint32)
@@ -53,9 +55,7 @@ def compress(ids: np.ndarray, rounds: int = ROUNDS, rules_a_round: int = RULES_A
     left: list[np.ndarray] = []
     right: list[np.ndarray] = []
     symbols = terminals
-    for _ in range(rounds):
-        if len(seq) < 2 * least_uses:
-            break
+    while len(seq) >= 2 * least_uses:
         wide = symbols + rules_a_round > 0xFFFF
         code = (seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]) if wide else (seq[:-1] << np.uint32(16) | seq[1:])
         a, b, at, rule = _choose(code, rules_a_round, least_uses)
@@ -168,7 +168,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, parts
         spot = F.coalesce(F.size(F.filter(F.lit(bounds), lambda b: b < F.col("doc_id"))), F.lit(0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = pieces.library_coder(tokenizer, keep_spaces)
+        coder = pieces.library_coder(tokenizer, keep_spaces, CACHE_WORDS)
         part = TaskContext.get().partitionId()
         docs_here: list = []
         chunks: list[np.ndarray] = []

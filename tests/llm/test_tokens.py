@@ -171,3 +171,62 @@ def test_packer_rejects_bad_limits():
         packing.Packer(print, print, max_tokens=100)
     with pytest.raises(ValueError):
         packing.Packer(print, print, max_loss=0)
+
+
+def packed(examples, **limits):
+    out, ends = [], {}
+    packer = packing.Packer(lambda *x: out.append(x), ends.__setitem__, **limits)
+    for key, (tokens, loss_from) in enumerate(examples):
+        packer.add(key, tokens, loss_from)
+    packer.finish()
+    return out, ends
+
+
+@pytest.mark.parametrize("tokens", [3, 5, 9, 12])
+def test_short_examples_leave_little_padding(tokens):
+    out, ends = packed([(tokens, 0)] * 20_000)
+    assert sum(x[2] for x in out) == tokens * 20_000
+    space = sum(n if n & (n - 1) == 0 else 4096 for n in ends.values())
+    assert space < 1.01 * tokens * 20_000
+    assert max(sum(1 for x in out if x[3] == s) for s in list(ends)[:50]) <= 256
+
+
+def test_the_choice_is_the_largest_dot_product():
+    rng = np.random.default_rng(4)
+    examples = [(int(t), int(rng.integers(0, t + 1))) for t in rng.integers(1, 40, 120)]
+    limits = dict(max_tokens=64, max_segments=64, max_loss=40, window=6)
+    out, _ = packed(examples, **limits)
+    # every whole example went in because no other one waiting then had a larger product with what was free
+    waiting, coming, placed = [], list(range(len(examples))), {k: 0 for k in range(len(examples))}
+    now, used, segments, loss = 0, 0, 0, 0
+    for key, start, length, sequence, offset, own_loss in out:
+        if sequence != now:
+            now, used, segments, loss = sequence, 0, 0, 0
+        while len(waiting) < 6 and coming:
+            waiting.append(coming.pop(0))
+        free = (64 - used, 64 - segments, 40 - loss)
+        worth = {}
+        for k in waiting:
+            tokens, first = examples[k]
+            rest, bears = tokens - placed[k], max(0, tokens - max(placed[k], first))
+            if rest <= free[0] and bears <= free[2]:
+                worth[k] = rest / 64 * free[0] + free[1] / 64 + bears / 40 * free[2]
+        tokens, first = examples[key]
+        if coming:  # the tail goes into smaller sequences
+            assert not worth or worth[key] == pytest.approx(max(worth.values()))
+        assert offset == used and key in waiting
+        used, segments, loss = used + length, segments + 1, loss + own_loss
+        placed[key] += length
+        if placed[key] == tokens:
+            waiting.remove(key)
+
+
+def test_rounds_go_on_until_no_pair_is_frequent():
+    ids = np.tile(np.random.default_rng(2).permutation(50_000).astype(np.uint32), 20)
+    payload = repair.compress(ids)
+    assert (repair.Shard(payload).decode() == ids).all()
+    symbols = repair.Shard(payload).symbols
+    pairs = np.unique(symbols[:-1] << 32 | symbols[1:], return_counts=True)[1]
+    assert pairs.max(initial=0) < repair.LEAST_USES
+    text = np.tile(np.minimum(np.random.default_rng(3).zipf(1.3, 50_000), 5000).astype(np.uint32), 20)
+    assert len(repair.compress(text)) < 0.45 * len(text)
