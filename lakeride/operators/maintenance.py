@@ -67,26 +67,19 @@ def expire_versions(table: DataFrame, as_of=None, retention: str = "7d", key=GOL
 
 def compact(spark: SparkSession, src: str, dst: str, partition_col: str,
             target_file_bytes: int = TARGET_FILE_BYTES, schema=None) -> DataFrame:
-    """Rewrite ``src`` into ``dst`` with files close to the target size.
+    """Rewrite ``src`` into the new path ``dst`` with files close to the target size.
 
-    REBALANCE by the partition column lets AQE split a large date into
-    several target-sized tasks and merge small dates, so no date is
-    funnelled through one task and the small-file count collapses.
+    The number of files of each date is planned from the bytes a row takes in
+    the files of ``src`` (read from file metadata), so a large date is split
+    into several target-sized files and a date of small files becomes one. No
+    session setting changes. For a batch-written table,
+    :func:`..sources.sizing.compact_dates` rewrites only the dates that need it.
     Returns the compacted table."""
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    df = reader.parquet(src)
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, str(target_file_bytes))
-    try:
-        from ..sources.tables import balanced_by
-        (balanced_by(df, partition_col).write.mode("errorifexists")
-         .partitionBy(partition_col).option("compression", "snappy").parquet(dst))
-    finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
+    from ..sources import sizing
+    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(src)
+    files = sizing.files_by(spark, src, partition_col, schema)
+    sizing.write_sized(df, dst, partition_col, sizing.bytes_per_row(files), {v: f.rows for v, f in files.items()},
+                       target_file_bytes, mode="errorifexists")
     return spark.read.parquet(dst)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..operators import gold as G
 from ..operators import ingest as I
+from ..operators import lenient as L
 from ..operators import quality as Q
 from ..operators import reports as R
 from ..session import pin_session
@@ -72,6 +73,17 @@ def _bronze_trips(spark, d):
     return bronze(spark, d)
 
 
+@register("bronze_trips_variant")
+def _bronze_trips_variant(spark, d):
+    """The same rows through one VARIANT parse and the layer's own paths."""
+    return L.bronze_of(L.flat_trips(L.parse_trips(FX.raw_trip_json_from(spark, d))), now=P.INGEST_NOW)
+
+
+@register("silver_trips_variant")
+def _silver_trips_variant(spark, d):
+    return L.silver_of(L.flat_trips(L.parse_trips(FX.raw_trip_json_from(spark, d))), now=P.INGEST_NOW)
+
+
 @register("silver_trips")
 def _silver_trips(spark, d):
     """Typed layer with is_valid, only trip_id required."""

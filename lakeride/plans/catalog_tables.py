@@ -7,12 +7,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.schemas import GOLD, SILVER
+from ..operators import columns as CM
 from ..operators import gold as G
+from ..operators import history as H
 from ..operators import maintenance as MT
 from ..operators import quality as Q
 from ..operators import reports as R
 from ..session import scratch_path
 from ..sources import fixtures as FX
+from ..sources import sizing
 from ..sources.tables import write_layer
 from ..streaming import medallion as SM
 from . import params as P
@@ -73,6 +76,55 @@ def _rollback_read(spark, d):
     return _gold_cols(spark.read.schema(GOLD).parquet(path))
 
 
+def _three_runs(spark, d):
+    """Two gold runs that replace what they cover, the second one without one date's rows, then a return to the first."""
+    path = scratch_path(spark, "gold-history")
+    H.write_run(gold_first(spark, d), path, P.GOLD_NOW, covered=G.covered_dates(P.GOLD_AS_OF))
+    second = gold_second(spark, d).filter(F.col("report_date") != P.EMPTIED_DATE)
+    H.write_run(second, path, P.GOLD_NOW_2, covered=G.covered_dates(P.GOLD_AS_OF_2))
+    H.roll_back(spark, path, P.GOLD_NOW, P.GOLD_NOW_3)
+    return path
+
+
+@register("as_of_after_replace")
+def _as_of_after_replace(spark, d):
+    """The gold table as of the first run, read after a second run has replaced most of its dates."""
+    return _gold_cols(H.as_of(spark, _three_runs(spark, d), P.GOLD_NOW))
+
+
+@register("as_of_second_run")
+def _as_of_second_run(spark, d):
+    """Between the second run and the return: its dates, the older ones of the first run, and not the emptied date."""
+    return _gold_cols(H.as_of(spark, _three_runs(spark, d), P.GOLD_NOW_2))
+
+
+@register("as_of_rolled_back")
+def _as_of_rolled_back(spark, d):
+    return _gold_cols(H.as_of(spark, _three_runs(spark, d)))
+
+
+@register("run_intervals")
+def _run_intervals(spark, d):
+    return H.intervals(spark, _three_runs(spark, d))
+
+
+@register("evolve_reused_name")
+def _evolve_reused_name(spark, d):
+    """A column renamed, its old name dropped and used again for something else: old files keep their values under
+    the new name and have none under the reused one."""
+    path = scratch_path(spark, "silver-columns")
+    s = silver(spark, d).select("trip_id", "route_name", "base_fare", "event_date")
+    early = F.coalesce(F.col("event_date") < P.EVOLVE_SPLIT, F.lit(False))
+    first = CM.Columns.of(s.schema)
+    first.write(s.filter(early), path, "event_date")
+    then = first.rename("route_name", "route").drop("base_fare").add("base_fare", "bigint").add("route_name", "string")
+    later = s.filter(~early).select("trip_id", F.col("route_name").alias("route"), F.floor("base_fare").cast("long").alias("base_fare"),
+                                    F.upper("route_name").alias("route_name"), "event_date")
+    then.write(later, path, "event_date")
+    CM.save(spark, path, [first, then])
+    return CM.load(spark, path)[-1].read(spark, path)
+
+
 @register("silver_as_of")
 def _silver_as_of(spark, d):
     """Silver written by two commits, read as it was after the first."""
@@ -163,6 +215,19 @@ def write_in_batches(silver_rows, path, batches):
     write_layer(silver_rows.filter(F.col("event_date").isNull()), path, "silver")
 
 
+@register("compact_dates")
+def _compact_dates(spark, d):
+    """Early dates written at once, late ones by two runs: only the late ones are rewritten, in place."""
+    path = scratch_path(spark, "silver-dates")
+    s = silver(spark, d)
+    late = F.coalesce(F.col("event_date") >= P.EVOLVE_SPLIT, F.lit(False))
+    even = F.substring("trip_id", -1, 1).isin("0", "2", "4", "6", "8")
+    for part in (~late, late & even, late & ~even):
+        write_layer(s.filter(part), path, "silver")
+    sizing.compact_dates(spark, path, "event_date", schema=SILVER)
+    return spark.read.schema(SILVER).parquet(path)
+
+
 @register("compact")
 def _compact(spark, d):
     """Silver written in many small appends, compacted to a new path."""
@@ -196,31 +261,24 @@ def _stage_raw(spark, d, batches):
     return src
 
 
-def _run(spark, src, layer):
-    paths = SM.MedallionPaths.under(scratch_path(spark, f"stream-{layer}"))
-    raw = SM.read_trip_stream(spark, "text", src)
-    if layer == "bronze":
-        q = SM.start_layer(SM.bronze_stream(raw), paths.bronze, paths.bronze_checkpoint, "availableNow")
-        out = paths.bronze
-    else:
-        q = SM.start_layer(SM.silver_stream(raw), paths.silver, paths.silver_checkpoint, "availableNow")
-        out = paths.silver
-    SM.await_all(q)
-    return paths, out
+def _run(spark, src, name, target=None):
+    """Both layers from one read of the messages."""
+    paths = SM.MedallionPaths.under(scratch_path(spark, name))
+    more = {} if target is None else {"target": target}
+    SM.await_all(SM.run_medallion(lambda: SM.read_trip_stream(spark, "text", src), paths, "availableNow", **more)[0])
+    return paths
 
 
 @register("stream_bronze")
 def _stream_bronze(spark, d):
-    src = _stage_raw(spark, d, [F.lit(True)])
-    _, out = _run(spark, src, "bronze")
-    return spark.read.parquet(out).drop("ingested_at")
+    paths = _run(spark, _stage_raw(spark, d, [F.lit(True)]), "stream-bronze")
+    return SM.read_layer(spark, paths, "bronze").drop("ingested_at")
 
 
 @register("stream_silver")
 def _stream_silver(spark, d):
-    src = _stage_raw(spark, d, [F.lit(True)])
-    _, out = _run(spark, src, "silver")
-    return spark.read.parquet(out).drop("updated_at")
+    paths = _run(spark, _stage_raw(spark, d, [F.lit(True)]), "stream-silver")
+    return SM.read_layer(spark, paths, "silver").drop("updated_at")
 
 
 @register("stream_restart")
@@ -233,16 +291,14 @@ def _stream_restart(spark, d):
     paths = SM.MedallionPaths.under(scratch_path(spark, "stream-restart"))
 
     def once():
-        q = SM.start_layer(SM.silver_stream(SM.read_trip_stream(spark, "text", src)),
-                           paths.silver, paths.silver_checkpoint, "availableNow")
-        SM.await_all(q)
+        SM.await_all(SM.run_medallion(lambda: SM.read_trip_stream(spark, "text", src), paths, "availableNow")[0])
 
     once()
     ev = FX.load_table(spark, d, "events")
     FX.raw_trip_json(ev.filter(~split)).write.mode("append").text(src)
     once()
     once()
-    return R.table_counts(spark.read.parquet(paths.silver))
+    return R.table_counts(SM.read_layer(spark, paths, "silver"))
 
 
 @register("hourly_gold_stream")

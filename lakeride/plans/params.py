@@ -8,6 +8,7 @@ INGEST_NOW = "2024-02-01 00:00:00"      # ingested_at / updated_at of bronze & s
 GOLD_AS_OF = "2024-01-15 00:00:00"      # gold run: dates >= 2024-01-14
 GOLD_NOW = "2024-02-01 01:00:00"        # updated_at of the first gold append
 GOLD_NOW_2 = "2024-02-01 02:00:00"      # updated_at of the second gold append
+GOLD_NOW_3 = "2024-02-01 03:00:00"      # return to the first run
 GOLD_AS_OF_2 = "2024-01-20 00:00:00"    # second gold run: dates >= 2024-01-19
 DAILY_AS_OF = "2024-01-16 10:00:00"     # daily report -> 2024-01-15
 WEEKLY_AS_OF = "2024-01-22 10:00:00"    # weekly report -> dates >= 2024-01-15

@@ -96,6 +96,7 @@ def write_layer(df: DataFrame, path: str, layer: str, mode: str = "append",
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     if mode == "replace":
+        mark_replaced(df.sparkSession, path)  # it holds no full history from now on
         w.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     else:
         w.mode(mode).parquet(path)

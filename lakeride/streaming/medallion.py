@@ -1,10 +1,12 @@
 """Structured Streaming ingest: raw JSON stream -> bronze and silver.
 
-Two streaming queries over one source definition, each with its own
-checkpoint, both append-only Parquet file sinks partitioned by event_date
-(the file sink is exactly-once through its commit log). Restarting a query
-on its checkpoint resumes from the stored offsets; :func:`rebuild` starts
-over from the earliest offset into a new path with a new checkpoint.
+:func:`run_medallion` is one streaming query that reads and parses the source
+once and feeds both tables: each micro-batch is written under its own number
+in both and published by one commit record, so it is there in both or in
+none, and once. :func:`start_layer` runs a single layer as an append-only file
+sink (exactly-once through its own log). Restarting a query on its checkpoint
+resumes from the stored offsets; :func:`rebuild` starts over from the
+earliest offset into a new path with a new checkpoint.
 
 A Kafka topic is the production source (the connector is not bundled here);
 a directory of text files with one JSON message per line drives the same
@@ -15,14 +17,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.schemas import SILVER
+from ..functions.schemas import BRONZE, SILVER
+from ..operators import lenient
 from ..operators.gold import hourly_rollup, write_gold
 from ..operators.ingest import decode_trip_json, flatten_bronze, flatten_silver
 from ..session import scratch_path
+from ..sources import sizing
+from ..sources.tables import delete_path, path_exists
 
 # Topic and consumer settings of the stream job.
 TOPIC = "raw.trip.events"
@@ -93,21 +100,86 @@ class MedallionPaths:
     silver: str
     bronze_checkpoint: str
     silver_checkpoint: str
+    checkpoint: str
+    commits: str
 
     @classmethod
     def under(cls, root: str) -> MedallionPaths:
         root = root.rstrip("/")
         return cls(f"{root}/bronze/trips", f"{root}/silver/trips",
-                   f"{root}/_checkpoints/bronze", f"{root}/_checkpoints/silver")
+                   f"{root}/_checkpoints/bronze", f"{root}/_checkpoints/silver",
+                   f"{root}/_checkpoints/medallion", f"{root}/commits")
 
 
-def run_medallion(raw_factory, paths: MedallionPaths, trigger: str | None = CHECKPOINT_INTERVAL
-                  ) -> tuple[StreamingQuery, StreamingQuery]:
-    """Start the bronze and the silver query; ``raw_factory()`` returns a
-    fresh streaming source DataFrame (each query reads the source itself)."""
-    qb = start_layer(bronze_stream(raw_factory()), paths.bronze, paths.bronze_checkpoint, trigger, "bronze_trips")
-    qs = start_layer(silver_stream(raw_factory()), paths.silver, paths.silver_checkpoint, trigger, "silver_trips")
-    return qb, qs
+COMMITS = T.StructType([T.StructField("layer", T.StringType()), T.StructField("rows", T.LongType()), T.StructField("files", T.LongType()),
+                        T.StructField("bytes", T.LongType()), T.StructField("row_bytes", T.DoubleType()), T.StructField("batch", T.LongType())])
+
+
+def commits(spark: SparkSession, paths: MedallionPaths) -> DataFrame:
+    """One row per layer and published batch: rows, files and bytes."""
+    if not path_exists(spark, paths.commits):
+        return spark.createDataFrame([], COMMITS)
+    return spark.read.schema(COMMITS).parquet(paths.commits)
+
+
+def read_layer(spark: SparkSession, paths: MedallionPaths, layer: str) -> DataFrame:
+    """The published rows of a layer. A batch begins only after the one before it was published, so the
+    highest published number tells which partitions count; a batch whose writer died between the two tables is
+    left out without opening its files."""
+    path, schema = {"bronze": (paths.bronze, BRONZE), "silver": (paths.silver, SILVER)}[layer]
+    full = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    last = commits(spark, paths).agg(F.max("batch")).head()[0]
+    if last is None or not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(full).parquet(path).where(F.col("batch") <= last).drop("batch")
+
+
+def write_batch(messages: DataFrame, batch_id: int, paths: MedallionPaths, target: int = sizing.TARGET_FILE_BYTES) -> None:
+    """Writes one micro-batch of raw messages into both layers and publishes it.
+
+    The messages are read and parsed once and held while both layers are
+    written, each under the batch's own partition, which a rerun replaces. The
+    commit record comes last: it publishes both at once, and a batch that has
+    one is left alone. File sizes follow the bytes per row of the batch published last.
+    """
+    spark = messages.sparkSession
+    if path_exists(spark, f"{paths.commits}/batch={batch_id}/_SUCCESS"):
+        return
+    row_bytes = {}
+    if path_exists(spark, f"{paths.commits}/batch={batch_id - 1}/_SUCCESS"):  # one record, however long the history
+        row_bytes = {r["layer"]: r["row_bytes"] for r in spark.read.schema(COMMITS).parquet(f"{paths.commits}/batch={batch_id - 1}").collect()}
+    trips = lenient.flat_trips(lenient.parse_trips(messages)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        record = []
+        for layer, path, rows in (("bronze", paths.bronze, lenient.bronze_of(trips)), ("silver", paths.silver, lenient.silver_of(trips))):
+            own = f"{path}/batch={batch_id}"
+            counts = sizing.rows_by(rows, "event_date")
+            if counts:
+                sizing.write_sized(rows, own, "event_date", row_bytes.get(layer), counts, target, mode="overwrite")
+                written = sizing.files_by(spark, own, "event_date", BRONZE if layer == "bronze" else SILVER)
+                record.append((layer, sum(f.rows for f in written.values()), sum(f.files for f in written.values()),
+                               sum(f.bytes for f in written.values()), sizing.bytes_per_row(written)))
+            else:
+                delete_path(spark, own)  # what a lost attempt may have left
+                record.append((layer, 0, 0, 0, row_bytes.get(layer)))
+        schema = T.StructType(COMMITS.fields[:-1])
+        spark.createDataFrame(record, schema).coalesce(1).write.mode("overwrite").parquet(f"{paths.commits}/batch={batch_id}")
+    finally:
+        trips.unpersist()
+
+
+def run_medallion(raw_factory, paths: MedallionPaths, trigger: str | None = CHECKPOINT_INTERVAL,
+                  target: int = sizing.TARGET_FILE_BYTES) -> tuple[StreamingQuery, StreamingQuery]:
+    """Starts the one query that feeds both layers from one read of ``raw_factory()`` (returned for either layer).
+
+    Restarted on its checkpoint it goes on where it stopped; a batch that was
+    cut off is run again under the same number and published once."""
+    def both(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, batch_id, paths, target)
+
+    writer = raw_factory().writeStream.queryName("medallion_trips").option("checkpointLocation", paths.checkpoint).foreachBatch(both)
+    query = _trigger(writer, trigger).start()
+    return query, query
 
 
 def rebuild(spark: SparkSession, raw_factory, root: str | None = None,

@@ -6,6 +6,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from lakeride.operators import ingest as I
+from lakeride.operators import lenient as L
 
 
 def _raw(spark, lines):
@@ -129,3 +130,46 @@ def test_fixture_counts(spark, sf0001):
     sil = C.silver(spark, sf0001)
     assert sil.count() == 990  # 1000 events minus trip ids every 101st
     assert sil.filter(F.col("event_date").isNull()).count() > 0
+
+
+# ---- VARIANT decode -----------------------------------------------------------
+
+def lenient_rows(spark, lines, layer="silver"):
+    trips = L.flat_trips(L.parse_trips(_raw(spark, lines)))
+    return (L.silver_of if layer == "silver" else L.bronze_of)(trips, now="2024-02-01").collect()
+
+
+def test_lenient_decode_agrees_with_the_declared_schema(spark):
+    trip = ["transactionRecord", "trip_info"]
+    seg = [*trip, "pricing", "route_data", "segments"]
+    lines = [json.dumps(GOOD), "not json", "", "null", '{"driver_ID": "x", "transactionRecord": {', "[1, 2]", _with(["driver_ID"], KeyError),
+             json.dumps({("DRIVER_id" if k == "driver_ID" else k): v for k, v in GOOD.items()}),
+             _with([*trip, "pricing", "base_fare"], None), _with([*trip, "pricing", "base_fare"], -3.0), _with([*trip, "pricing", "base_fare"], "abc"),
+             _with(["customer_id"], 0), _with(["driver_ID"], 123), _with(seg, None), _with(seg, "oops"), _with(seg, []), _with([*trip, "createdAt"], "garbage"),
+             _with([*trip, "createdAt"], "2024-01-02T03:04:05Z"), _with([*trip, "createdAt"], KeyError), _with([*trip, "trip_id"], KeyError),
+             _with(trip, "text"), _with(["COORDINATES"], None), _with(["COORDINATES"], "text"), json.dumps(GOOD) + " trailing"]
+    assert lenient_rows(spark, lines) == silver_rows(spark, lines)
+    assert lenient_rows(spark, lines, "bronze") == bronze_rows(spark, lines)
+
+
+def test_lenient_decode_reads_quoted_numbers(spark):
+    line = _with(["customer_id"], "12")
+    line = _with(["transactionRecord", "trip_info", "pricing", "base_fare"], "9.5", json.loads(line))
+    (r,) = lenient_rows(spark, [line])
+    assert r.customer_id == 12 and r.base_fare == 9.5
+
+
+def test_lenient_decode_loses_only_the_bad_coordinate(spark):
+    (b,) = lenient_rows(spark, [_with(["COORDINATES"], [[["x", 1.0], [2, 3]], "no line"])], "bronze")
+    assert b.coordinates_raw == "[[[null, 1.0], [2.0, 3.0]], null]"
+
+
+def test_lenient_decode_drops_a_record_that_names_a_key_twice(spark):
+    assert lenient_rows(spark, ['{"driver_ID": "a", ' + json.dumps(GOOD)[1:]]) == []
+
+
+def test_silver_does_not_read_coordinates_and_parses_once(spark):
+    parsed = L.parse_trips(_raw(spark, [json.dumps(GOOD)]))
+    plan = L.silver_of(L.flat_trips(parsed))._jdf.queryExecution().optimizedPlan().toString()
+    assert "$.COORDINATES" not in plan and plan.count("parseJson") == 1
+    assert "$.COORDINATES" in L.bronze_of(L.flat_trips(parsed))._jdf.queryExecution().optimizedPlan().toString()

@@ -10,6 +10,7 @@ from lakeride.operators import gold as G
 from lakeride.operators import maintenance as MT
 from lakeride.plans import catalog as C
 from lakeride.session import local_dir, scratch_path
+from lakeride.sources import sizing
 from lakeride.sources.tables import write_layer
 
 
@@ -120,3 +121,56 @@ def test_ties_in_the_ledger_are_decided(spark):
     rows = [("2024-01-01 00:00:00", "r", i, "2024-02-01 00:00:00") for i in (3, 9, 5)]
     df = spark.createDataFrame(rows, "report_hour string, route_name string, trip_count long, updated_at string")
     assert {G.latest_per_key(df.repartition(n)).head().trip_count for n in (1, 2, 3)} == {9}
+
+
+def _write_parts(spark, silver, path, parts):
+    """A batch-written table: dates before the 10th in one file each, later ones in ``parts`` small files."""
+    early = silver.where("event_date < '2024-01-10'")
+    early.repartition(4, "event_date").write.mode("append").partitionBy("event_date").parquet(path)
+    rest = silver.where("event_date >= '2024-01-10' or event_date is null")
+    for part in rest.randomSplit([1.0] * parts, seed=2):
+        part.repartition(2).write.mode("append").partitionBy("event_date").parquet(path)
+
+
+def test_compaction_leaves_dates_without_small_files_alone(spark, sf0001):
+    silver = C.silver(spark, sf0001)
+    path = scratch_path(spark, "t-compact-dates")
+    _write_parts(spark, silver, path, 4)
+    before = sizing.files_by(spark, path, "event_date")
+    names = {r.event_date: r.f for r in spark.read.parquet(path).groupBy("event_date").agg(F.sort_array(F.collect_set("_metadata.file_path")).alias("f")).collect()}
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    conf = spark.conf.get(key)
+    done = sizing.compact_dates(spark, path, "event_date")
+    assert spark.conf.get(key) == conf
+    assert set(done) == {v for v, f in before.items() if f.files > 1} and None in done
+    after = sizing.files_by(spark, path, "event_date")
+    assert {v: f.rows for v, f in after.items()} == {v: f.rows for v, f in before.items()}
+    assert all(f.files == 1 for f in after.values())
+    now = {r.event_date: r.f for r in spark.read.parquet(path).groupBy("event_date").agg(F.sort_array(F.collect_set("_metadata.file_path")).alias("f")).collect()}
+    assert all(now[d] == names[d] for d in names if d not in done) and all(now[d] != names[d] for d in done)
+    cols = silver.columns
+    assert spark.read.parquet(path).select(cols).exceptAll(silver).count() == 0
+    assert sizing.compact_dates(spark, path, "event_date") == []  # nothing is small any more
+
+
+def test_compacted_files_come_close_to_the_target(spark):
+    path, out = scratch_path(spark, "t-target"), scratch_path(spark, "t-target-out")
+    rows = spark.range(400_000).select(F.xxhash64("id").alias("a"), F.sha2(F.col("id").cast("string"), 256).alias("b"),
+                                       F.when(F.col("id") % 8 > 0, F.lit("2024-01-01")).when(F.col("id") % 16 > 0, F.lit("2024-01-02")).cast("date").alias("d"))
+    rows.repartition(40).write.partitionBy("d").parquet(path)
+    total = sizing.files_by(spark, path, "d")
+    target = total[max(k for k in total if k is not None)].bytes // 2  # some 28 files of the large date
+    MT.compact(spark, path, out, "d", target_file_bytes=target)
+    got = spark.read.parquet(out).groupBy("d", "_metadata.file_path").agg(F.max("_metadata.file_size").alias("size")).collect()
+    large = [r["size"] for r in got if str(r["d"]) == "2024-01-01"]
+    assert len(large) > 5 and all(0.75 * target <= s <= 1.25 * target for s in large)
+    assert spark.read.parquet(out).count() == 400_000
+    assert sizing.bytes_per_row({}) is None and sizing.small_dates({}) == []
+
+
+def test_a_sized_write_of_nothing_and_without_history(spark, sf0001):
+    silver = C.silver(spark, sf0001)
+    a, b = scratch_path(spark, "t-none"), scratch_path(spark, "t-first")
+    assert sizing.write_sized(silver.limit(0), a, "event_date", 50.0) == {}
+    assert sizing.write_sized(silver, b, "event_date", None) == {}
+    assert spark.read.schema(silver.schema).parquet(a).count() == 0 and spark.read.parquet(b).count() == silver.count()
