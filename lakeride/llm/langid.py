@@ -177,14 +177,19 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], keep: list[str], te
 
 def floors(docs: DataFrame, profiles: dict[str, list[int]], text_col: str = "text", lang_col: str = "lang",
            share: float = FLOOR_SHARE) -> dict[str, float]:
-    """Least score of a text in each language, from the documents labelled so and predicted so.
+    """:func:`floors_of` the predictions for ``docs``."""
+    labelled = docs.select(docs[lang_col].cast("string").alias("lang"), docs[text_col].alias("text")).where("lang is not null")
+    return floors_of(predict(labelled, profiles, ["lang"]), "lang", share)
+
+
+def floors_of(predicted: DataFrame, lang_col: str = "lang", share: float = FLOOR_SHARE) -> dict[str, float]:
+    """Least score of a text in each language, from the rows of :func:`predict` labelled so and predicted so.
 
     Counts by language and thousandths of the score reach the driver, not rows.
-    A language without such documents has no floor.
+    A language without such documents has no floor, an empty table gives none.
     """
-    labelled = docs.select(docs[lang_col].cast("string").alias("lang"), docs[text_col].alias("text")).where("lang is not null")
-    counts = (predict(labelled, profiles, ["lang"]).where(F.col("lang") == F.col("lang_pred"))
-              .groupBy("lang", F.floor(F.col("score") * 1000).cast("int").alias("at")).count().collect())
+    counts = (predicted.where(F.col(lang_col) == F.col("lang_pred"))
+              .groupBy(F.col("lang_pred").alias("lang"), F.floor(F.col("score") * 1000).cast("int").alias("at")).count().collect())
     out: dict[str, float] = {}
     for lang in {r["lang"] for r in counts}:
         own = sorted((r["at"], r["count"]) for r in counts if r["lang"] == lang)

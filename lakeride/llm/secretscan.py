@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import pieces
 
 #: labelled findings of each kind that the forest is fitted on, at most
@@ -254,7 +255,8 @@ Judge = Forest | Plain | None
 def train(findings: DataFrame, sample: int = SAMPLE) -> Judge:
     """Fits on at most ``sample`` rows (label 0 or 1, features) of each label, those of the smallest
     feature hash. With fewer than ``LEAST_FINDINGS`` of either label the judge is :class:`Plain`;
-    without any finding there is none."""
+    without any finding there is none. The findings are computed once and written."""
+    findings = materialize(findings, "secret-findings")
     rows = [findings.where(F.col("label") == y).orderBy(F.xxhash64("features"), "features").limit(sample) for y in (0, 1)]
     data = rows[0].unionByName(rows[1]).toPandas()
     if data.empty:

@@ -16,7 +16,7 @@ SMALL = "/root/testdata/sf0.001"
 def test_stages_and_registration():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "toxicity", "minhash_dedup", "secret_scan", "packing"]
     names = __spark_entry__.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
     assert set(catalog.ORACLE_SQL) <= set(catalog.QUERIES)
 
 
@@ -77,6 +77,22 @@ def test_texts_without_credentials_stay_when_there_is_little_to_learn_from(spark
     assert got == [*clean, odd, *[f'api_key = "{secretscan.MASK}"'] * n_secrets]
 
 
+def test_stages_carry_columns_of_any_name(spark):
+    docs = catalog.table(spark, SMALL, "documents").where("doc_id < 400")
+    long = spark.createDataFrame([(900003, "the cat and the dog " * 60_000, "en", "s", 1_200_000)], docs.schema)
+    docs = docs.unionByName(long)
+    odd = ["score", "lang_pred", "toxic", "grade", "p_toxic", "expected_severity", "none", "__text", "__path", "c0", "row", "kept", "n", "component_id"]
+    wide = docs.select("*", *(F.concat(F.lit(f"{c}-"), F.col("doc_id").cast("string")).alias(c) for c in odd))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.materialize(stage(spark, docs, SMALL), f"t-plain-{name}")
+        wide = corpus_pipeline.materialize(stage(spark, wide, SMALL), f"t-wide-{name}")
+        assert wide.columns == [*docs.columns, *odd]
+        assert wide.select(docs.columns).exceptAll(docs).count() == 0 and wide.count() == docs.count() > 0
+        assert all(r[c] == f"{c}-{r.doc_id}" for r in wide.limit(20).collect() for c in odd)
+    pack = lambda d: corpus_pipeline.pack(spark, d, SMALL).select("doc_id", "start", "length", "ids_crc32")
+    assert pack(wide).agg(F.sum("length")).head() == pack(docs).agg(F.sum("length")).head()
+
+
 def test_pipeline_runs_on_an_empty_table(spark):
     docs = catalog.table(spark, SMALL, "documents").limit(0)
     for name, stage in corpus_pipeline.STAGES[:-1]:
