@@ -16,25 +16,35 @@ from lakeride.llm.ship import to_executors
 from lakeride.session import materialize
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its columns named c0, c1, ... and the number of each name: extra columns may have any
+    name, those of an operator's results and helpers too."""
+    return docs.toDF(*(f"c{i}" for i in range(len(docs.columns)))), {c: f"c{i}" for i, c in enumerate(docs.columns)}
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a recognisable language go; a null lang becomes the predicted one, a given one stays.
 
     Recognisable: the score of the nearest profile is above 0 and reaches that language's floor, so
     texts in a script without a profile and random letters go."""
     to_executors(spark)
-    columns = docs.columns
-    profiles = langid.train(docs)
-    floors = langid.floors(docs, profiles)
-    named = langid.predict(docs, profiles, columns)
+    rows, c = numbered(docs)
+    profiles = langid.train(rows, c["text"], c["lang"])
+    # predicted once: the floors and the verdict read the same scores
+    named = materialize(langid.predict(rows, profiles, rows.columns, c["text"]), "pipeline-scores")
+    floors = langid.floors_of(named, c["lang"])
     least = F.create_map(*(F.lit(x) for item in sorted(floors.items()) for x in item)) if floors else F.lit(None).cast("map<string,double>")
     far = (F.col("score") <= 0) | (F.col("score") < F.coalesce(F.try_element_at(least, F.col("lang_pred")), F.lit(0.0)))
-    return named.where((F.col("lang_pred") != langid.UNKNOWN) & ~far).withColumn("lang", F.coalesce("lang", "lang_pred")).select(columns)
+    kept = named.where((F.col("lang_pred") != langid.UNKNOWN) & ~far).withColumn(c["lang"], F.coalesce(c["lang"], "lang_pred"))
+    return kept.select(rows.columns).toDF(*docs.columns)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are at least as likely toxic as not go."""
-    model = toxicity.train(docs, toxicity.severity_labels(table(spark, sf_dir, "labels")))
-    return toxicity.grade_documents(docs, model, docs.columns).where(~F.col("toxic")).select(docs.columns)
+    rows, c = numbered(docs)
+    model = toxicity.train(rows, toxicity.severity_labels(table(spark, sf_dir, "labels")).withColumnRenamed("doc_id", c["doc_id"]), c["doc_id"], c["text"])
+    graded = toxicity.grade_documents(rows, model, rows.columns, c["text"])
+    return graded.where(~F.col("toxic")).select(rows.columns).toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +58,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
     one = (left.join(again, "doc_id", "left_semi").groupBy("doc_id")
-           .agg(F.min(F.struct(F.col("text").isNull().alias("none"), "text", *rest)).alias("row")).select("doc_id", "row.*"))
+           .agg(F.min(F.struct(F.struct(F.col("text").isNull().alias("none")), F.struct("text", *rest))).alias("row")).select("doc_id", "row.col2.*"))
     return left.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(one.select(docs.columns))
 
 
@@ -57,8 +67,10 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Where the corpus has too few findings to learn from, only plain assignments to credential names are masked."""
     to_executors(spark)
-    clean = secretscan.redact(docs, secretscan.train(secretscan.labelled_findings(docs)) or secretscan.Plain())
-    return clean.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    rows, c = numbered(docs)
+    found = secretscan.labelled_findings(rows, c["text"], c["source"])
+    clean = secretscan.redact(rows, secretscan.train(found) or secretscan.Plain(), c["text"], c["source"])
+    return clean.withColumn(c["n_chars"], F.length(c["text"]).cast("long")).select(rows.columns).toDF(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
