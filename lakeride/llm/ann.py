@@ -1,9 +1,10 @@
 """Approximate nearest neighbours: a robust-pruned directed graph per shard, searched by beam.
 
-Vectors are dealt to shards by a hash of their id. A shard's graph is built in
+Vectors are dealt to shards by a hash of id and vector. A shard's graph is built in
 batches: beam searches over the graph so far propose neighbours, relaxed
 distance pruning keeps diverse edges, and reverse edges are pruned the same
-way. All searches of a batch advance together as numpy arrays. Equal vectors
+way. Every node then gets in-edges from near nodes until the searches can reach
+it. All searches of a batch advance together as numpy arrays. Equal vectors
 are one node with a list of ids.
 """
 
@@ -20,7 +21,9 @@ from ..session import materialize
 from .pieces import ragged
 
 #: vectors of a shard on average; out-edges of a node; beam of the build; beam of a query
-SHARD_ROWS, DEGREE, BUILD_BEAM, QUERY_BEAM = 4096, 24, 48, 96
+SHARD_ROWS, DEGREE, BUILD_BEAM, QUERY_BEAM = 4096, 24, 48, 256
+#: in-edges that a node has at least, and further out-edges of a node that hold them
+LEAST_IN, LINKS = 3, 8
 #: pruning: an edge is dropped if a kept neighbour is ALPHA times nearer to its end
 ALPHA = 1.2
 #: queries that travel and search together
@@ -78,6 +81,10 @@ def robust_prune(data: np.ndarray, owners: np.ndarray, candidates: np.ndarray, d
     order = np.argsort(dist, axis=1, kind="stable")
     cand, dist = np.take_along_axis(cand, order, 1), np.take_along_axis(dist, order, 1)
     alive = cand >= 0
+    # distances between candidates from inner products, seen from their owner
+    seen_from = data[np.maximum(cand, 0)] - data[owners][:, None, :]
+    inner = seen_from @ seen_from.transpose(0, 2, 1)
+    length = np.einsum("ijj->ij", inner)
     out = np.full((len(owners), degree), -1, np.int64)
     rows = np.arange(len(owners))
     for k in range(degree):
@@ -87,7 +94,7 @@ def robust_prune(data: np.ndarray, owners: np.ndarray, candidates: np.ndarray, d
         at = np.argmax(alive, 1)
         picked = np.where(has, cand[rows, at], -1)
         out[:, k] = picked
-        to_picked = _distances(data[np.maximum(picked, 0)], data, cand)
+        to_picked = np.maximum(length + length[rows, at][:, None] - 2 * inner[rows, at], 0.0)
         alive &= ~((alpha * alpha * to_picked <= dist) & has[:, None])
         alive[rows, at] = False
     return out
@@ -112,21 +119,73 @@ def build_graph(data: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM)
             found = np.tile(batch, (len(batch), 1))
         out = robust_prune(data, batch, found, degree)
         graph[batch] = out
-        # reverse edges: each end takes its new sources and is pruned again
+        # reverse edges: each end takes its new sources, nearest first and in chunks, and is pruned again
         source, target = np.repeat(batch, degree), out.ravel()
         source, target = source[target >= 0], target[target >= 0]
-        by = np.argsort(target, kind="stable")
+        by = np.lexsort((source, ((data[source] - data[target]) ** 2).sum(1), target))
         source, target = source[by], target[by]
-        ends, begin, many = np.unique(target, return_index=True, return_counts=True)
-        if len(ends):
-            most = int(min(many.max(), 4 * degree))
-            new = np.full((len(ends), most), -1, np.int64)
-            rank = ragged(np.zeros(len(ends), np.int64), many)
-            fits = rank < most
-            new[np.repeat(np.arange(len(ends)), many)[fits], rank[fits]] = source[fits]
-            graph[ends] = robust_prune(data, ends, np.concatenate([graph[ends].astype(np.int64), new], 1), degree)
+        ends, many = np.unique(target, return_counts=True)
+        rank = ragged(np.zeros(len(ends), np.int64), many)
+        for low in range(0, int(many.max(initial=0)), 4 * degree):
+            here = (rank >= low) & (rank < low + 4 * degree)
+            some = ends[many > low]
+            new = np.full((len(some), int(rank[here].max()) - low + 1), -1, np.int64)
+            new[np.searchsorted(some, target[here]), rank[here] - low] = source[here]
+            for x in range(0, len(some), 512):
+                own = some[x:x + 512]
+                graph[own] = robust_prune(data, own, np.concatenate([graph[own].astype(np.int64), new[x:x + 512]], 1), degree)
         done += len(batch)
-    return graph, entry
+    return link_unreached(data, graph, entry, beam), entry
+
+
+def reachable(graph: np.ndarray, entry: np.ndarray) -> np.ndarray:
+    """Which nodes a walk from the entry nodes can come to."""
+    seen = np.zeros(len(graph), bool)
+    seen[entry] = True
+    front = entry
+    while len(front):
+        near = np.unique(graph[front])
+        front = near[(near >= 0) & ~seen[np.maximum(near, 0)]]
+        seen[front] = True
+    return seen
+
+
+def link_unreached(data: np.ndarray, graph: np.ndarray, entry: np.ndarray, beam: int,
+                   least_in: int = LEAST_IN, links: int = LINKS) -> np.ndarray:
+    """``graph`` with ``links`` more out-edges a node, so that every node is reachable and has in-edges.
+
+    Each unreached node is linked once, from the nearest node that a search
+    finds and that has room. Every node so linked brings room of its own, so
+    there is always a reachable node with room, and the rounds end with all
+    nodes reachable. Then nodes with fewer than ``least_in`` in-edges get
+    further ones from the nearest nodes with room.
+    """
+    n, degree = graph.shape
+    wide = np.concatenate([graph, np.full((n, links), -1, np.int32)], 1)
+    used = np.zeros(n, np.int64)
+
+    def link(todo: np.ndarray, need: np.ndarray) -> int:
+        placed = 0
+        for at in range(0, len(todo), 512):
+            part = todo[at:at + 512]
+            hosts, _ = beam_search(data[part], data, wide, entry, beam)
+            for node, near, many in zip(part.tolist(), hosts.tolist(), need[part].tolist(), strict=True):
+                for host in near:
+                    if many and host >= 0 and host != node and used[host] < links and node not in wide[host]:
+                        wide[host, degree + used[host]] = node
+                        used[host] += 1
+                        placed, many = placed + 1, many - 1
+        return placed
+
+    while not (seen := reachable(wide, entry)).all():
+        todo = np.flatnonzero(~seen)
+        if not link(todo, np.ones(n, np.int64)):
+            host = int(np.flatnonzero(seen & (used < links))[0])
+            wide[host, degree + used[host]] = todo[0]
+            used[host] += 1
+    into = np.bincount(wide[wide >= 0], minlength=n)
+    link(np.flatnonzero(into < least_in), least_in - into)
+    return wide
 
 
 def valid_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -137,28 +196,33 @@ def valid_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "em
                    & ~F.coalesce(bad, F.lit(True)) & F.exists("vec", lambda x: x != 0))
 
 
+def _counted(vectors: DataFrame) -> DataFrame:
+    """(vec_id, vec, copies): rows that repeat id and vector are counted, map-side first."""
+    return vectors.groupBy("vec_id", "vec").agg(F.count("*").alias("copies"))
+
+
 def build_index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, int]:
-    """One row per shard and length of vector: (shard, dim, ids, first, vecs, graph, entry); and the number of shards."""
+    """One row per shard and length of vector: (shard, dim, ids, copies, sizes, vecs, graph, entry); and the number of shards."""
     n = vectors.count()
     shards = max(1, -(-n // shard_rows))
 
     def build(key, frame):
         import pandas as pd
 
-        frame = frame.sort_values("vec_id", kind="stable").drop_duplicates("vec_id")
         data = np.array(frame["vec"].tolist(), np.float64)
-        ids = frame["vec_id"].to_numpy(np.int64)
+        ids, copies = frame["vec_id"].to_numpy(np.int64), frame["copies"].to_numpy(np.int64)
         _, first, group = np.unique(data, axis=0, return_index=True, return_inverse=True)
-        data = data[first]
-        order = np.argsort(group.ravel(), kind="stable")  # ids of a node ascend
-        size = np.bincount(group.ravel(), minlength=len(first))
+        data = data[first]  # in the order of the vectors, however the rows came
+        order = np.lexsort((ids, group.ravel()))  # ids of a node ascend
+        size = np.bincount(group.ravel(), minlength=len(first)).astype(np.int64)
         graph, entry = build_graph(data)
-        return pd.DataFrame({"shard": [key[0]], "dim": [key[1]], "ids": [ids[order].tobytes()], "sizes": [size.astype(np.int64).tobytes()],
-                             "vecs": [data.tobytes()], "graph": [graph.tobytes()], "entry": [entry.tobytes()]})
+        return pd.DataFrame({"shard": [key[0]], "dim": [key[1]], "ids": [ids[order].tobytes()], "copies": [copies[order].tobytes()],
+                             "sizes": [size.tobytes()], "vecs": [data.tobytes()], "graph": [graph.tobytes()], "entry": [entry.tobytes()]})
 
-    dealt = vectors.select(F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"), F.size("vec").alias("dim"), "vec_id", "vec")
+    dealt = _counted(vectors).select(F.pmod(F.xxhash64("vec_id", "vec"), F.lit(shards)).cast("int").alias("shard"),
+                                     F.size("vec").alias("dim"), "vec_id", "vec", "copies")
     index = dealt.groupBy("shard", "dim").applyInPandas(
-        build, "shard int, dim int, ids binary, sizes binary, vecs binary, graph binary, entry binary")
+        build, "shard int, dim int, ids binary, copies binary, sizes binary, vecs binary, graph binary, entry binary")
     return materialize(index, "ann-index"), shards
 
 
@@ -168,8 +232,11 @@ def search(index: DataFrame, shards: int, queries: DataFrame, k: int = 10, beam:
     Queries travel in blocks, and every block visits every shard. A shard
     answers with its k best, so what is merged per query is k rows a shard.
     """
-    block = F.pmod(F.xxhash64("vec_id"), F.greatest(F.lit(1), F.ceil(F.lit(queries.count()) / QUERY_BLOCK))).cast("int")
-    blocks = (queries.select(F.size("vec").alias("dim"), block.alias("block"), F.struct("vec_id", "vec").alias("q"))
+    counted = _counted(queries)
+    # queries that share an id are told apart by a hash of their vector
+    block = F.pmod(F.xxhash64("vec_id", "vec"), F.greatest(F.lit(1), F.ceil(F.lit(counted.count()) / QUERY_BLOCK))).cast("int")
+    blocks = (counted.select(F.size("vec").alias("dim"), block.alias("block"),
+                             F.struct("vec_id", "vec", "copies", F.xxhash64("vec").alias("hash")).alias("q"))
               .groupBy("dim", "block").agg(F.collect_list("q").alias("q")))
     visits = blocks.select("dim", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "q")
     both = index.join(visits, ["shard", "dim"])
@@ -180,43 +247,46 @@ def search(index: DataFrame, shards: int, queries: DataFrame, k: int = 10, beam:
                 row = {name: batch.column(j)[i] for j, name in enumerate(batch.schema.names)}
                 dim = row["dim"].as_py()
                 read = lambda name, kind: np.frombuffer(row[name].as_buffer(), kind)  # noqa: B023, E731
-                ids, size = read("ids", np.int64), read("sizes", np.int64)
+                ids, copies, size = read("ids", np.int64), read("copies", np.int64), read("sizes", np.int64)
                 data = read("vecs", np.float64).reshape(-1, dim)
-                graph = read("graph", np.int32).reshape(len(data), DEGREE)
+                graph = read("graph", np.int32).reshape(len(data), -1)
                 q = row["q"].as_py()
-                who = np.array([x["vec_id"] for x in q], np.int64)
-                x = np.array([x["vec"] for x in q], np.float64)
+                x = np.array([one["vec"] for one in q], np.float64)
                 nodes, _ = beam_search(x, data, graph, read("entry", np.int64), max(beam, k + 1))
-                out_q, out_v, out_s = [], [], []
                 first = np.cumsum(size) - size
-                for j in range(len(q)):
+                out: list[list] = [[] for _ in range(5)]
+                for j, one in enumerate(q):
                     hit = nodes[j][nodes[j] >= 0]
                     score = np.sqrt(((data[hit] - x[j]) ** 2).sum(1))
                     many = np.minimum(size[hit], k + 1)  # the smallest ids of equal vectors are enough
-                    vec = ids[ragged(first[hit], many)]
-                    score = np.repeat(score, many)
-                    score, vec = score[vec != who[j]], vec[vec != who[j]]
+                    at = ragged(first[hit], many)
+                    score, vec = np.repeat(score, many), ids[at]
+                    # the query's own row is no candidate, its copies are
+                    times = np.minimum(copies[at] - ((vec == one["vec_id"]) & (score == 0)), k)
+                    score, vec = np.repeat(score, times), np.repeat(vec, times)
                     best = np.lexsort((vec, score))[:k]
-                    out_q.append(np.full(len(best), who[j]))
-                    out_v.append(vec[best])
-                    out_s.append(score[best])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (out_q, out_v, out_s)],
-                                                 ["query_id", "vec_id", "score"])
+                    for column, part in zip(out, (np.full(len(best), one["vec_id"]), np.full(len(best), one["hash"]),
+                                                  np.full(len(best), one["copies"]), vec[best], score[best]), strict=True):
+                        column.append(part)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out],
+                                                 ["query_id", "hash", "times", "vec_id", "score"])
 
-    found = both.mapInArrow(run, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = both.mapInArrow(run, "query_id long, hash long, times long, vec_id long, score double")
+    rank = F.row_number().over(Window.partitionBy("query_id", "hash").orderBy("score", "vec_id"))
+    best = found.withColumn("rank", rank).where(F.col("rank") <= k)
+    # a query row that is there several times is answered as often
+    return best.select("query_id", "rank", "vec_id", "score", F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int")))).drop("col")
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """Indexes all of ``vectors`` (vec_id, embedding) and finds the k nearest of each query row (Euclidean).
 
-    A query's own id is no candidate. Ties go to the smaller id. Rows whose
-    vector is null, zero, or holds null or non-finite components take no part,
-    nor do null ids; vectors are compared with those of their own length only.
-    Of rows that repeat an id in a shard, one takes part. Empty tables give no
-    rows. Other columns are ignored, whatever their names.
+    A query's own row is no candidate; other rows with its id are, and each of
+    them is a query of its own. Ties go to the smaller id. Rows whose vector is
+    null, zero, or holds null or non-finite components take no part, nor do
+    null ids; vectors are compared with those of their own length only. Empty
+    tables give no rows. Other columns are ignored, whatever their names.
     """
-    data, asked = materialize(valid_vectors(vectors), "ann-vectors"), valid_vectors(queries).dropDuplicates(["vec_id"])
+    data, asked = materialize(valid_vectors(vectors), "ann-vectors"), valid_vectors(queries)
     index, shards = build_index(data)
     return search(index, shards, asked, k)
