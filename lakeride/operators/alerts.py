@@ -68,6 +68,7 @@ class Route:
     matchers: dict
     group_wait: str
     repeat_interval: str
+    group_interval: str = "5m"
 
 
 # Notification policy (first matching route wins).
@@ -270,6 +271,94 @@ def notification_schedule(intervals: DataFrame, step: str = "1m", routes=ROUTES,
                           from_micros(F.col("_us")).alias("notify_at"))
 
 
+def _episodes(routed: DataFrame, gkeys: list[str], s: int) -> DataFrame:
+    """(gkeys, group_start, group_end) in seconds: the life of a group, from its first firing
+    member to the first flush that finds none firing.
+
+    Flushes lie at start + wait + n * interval. A group's merged intervals are
+    at most one row per two steps of time, however many series it has; where
+    a gap is longer than a flush can reach a new episode is certain, and only
+    the intervals between such gaps are folded one after the other."""
+    wait, every = F.col("group_wait_s"), F.col("group_interval_s")
+    merged = (merged_intervals(routed, gkeys, _step_index(F.col("firing_at"), s), _step_index(F.col("last_active_at"), s))
+              .select(*gkeys, (F.col("start_k") * s).alias("_s"), ((F.col("end_k") + 1) * s).alias("_e")))
+    w = Window.partitionBy(*gkeys).orderBy("_s")
+    apart = F.coalesce(F.col("_s") > F.lag("_e").over(w) + F.greatest(wait, every), F.lit(True))
+    runs = (merged.withColumn("_new", apart.cast("int")).withColumn("_run", F.sum("_new").over(w))
+            .groupBy(*gkeys, "_run").agg(F.sort_array(F.collect_list(F.struct("_s", "_e"))).alias("_x")))
+
+    def flush_after(start, end):
+        n = F.ceil(F.greatest(end - start - wait, F.lit(0)) / every)
+        return start + wait + n * every
+
+    def step(acc, x):
+        joins = x["_s"] <= acc["f"]
+        reached = F.when(x["_e"] > acc["f"], flush_after(acc["s"], x["_e"])).otherwise(acc["f"])
+        closed = F.concat(acc["done"], F.array(F.struct(acc["s"].alias("s"), acc["f"].alias("f"))))
+        return F.struct(F.when(joins, acc["done"]).otherwise(closed).alias("done"),
+                        F.when(joins, acc["s"]).otherwise(x["_s"]).alias("s"),
+                        F.when(joins, reached).otherwise(flush_after(x["_s"], x["_e"])).alias("f"))
+
+    head = F.element_at("_x", 1)
+    first = F.struct(F.array().cast("array<struct<s:bigint,f:bigint>>").alias("done"), head["_s"].alias("s"),
+                     flush_after(head["_s"], head["_e"]).alias("f"))
+    folded = F.aggregate("_x", first, step, lambda acc: F.concat(
+        acc["done"], F.array(F.struct(acc["s"].alias("s"), acc["f"].alias("f")))))
+    return runs.select(*gkeys, F.inline(folded)).withColumnsRenamed({"s": "group_start", "f": "group_end"})
+
+
+def group_notices(intervals: DataFrame, step: str = "1m", routes=ROUTES, default: Route = DEFAULT_ROUTE,
+                  chunk: str = "1d") -> DataFrame:
+    """Every notice of an alert group (alertname, severity), resolved ones included.
+
+    A group is born with its first firing member and flushed ``group_wait``
+    later, then every ``group_interval`` until a flush finds no member firing;
+    the next member makes a new group. A flush sends a notice if members
+    joined or left since the flush before (``joined``, ``left``; the last one
+    has status ``resolved``), or if ``repeat_interval`` has passed since the
+    last notice (rounded up to whole flushes). A member that comes and goes
+    between two flushes is not told, nor a group none of whose members lives
+    to the first flush."""
+    s = seconds(step)
+    secs = lambda c: F.expr(f"unix_micros(cast({c} as timestamp)) div {US}")
+    routed = route_alerts(intervals, routes, default)
+    gap = F.lit(seconds(default.group_interval))
+    for i, r in enumerate(routes, start=1):
+        gap = F.when(F.col("route") == i, F.lit(seconds(r.group_interval))).otherwise(gap)
+    routed = routed.withColumn("group_interval_s", gap.cast("long"))
+    gkeys = [*GROUP_BY, "route", "group_wait_s", "repeat_interval_s", "group_interval_s"]
+    day = F.lit(seconds(chunk))
+    lives = _episodes(routed, gkeys, s).withColumn("_day", F.explode(F.sequence(
+        F.floor(F.col("group_start") / day), F.floor(F.col("group_end") / day))))
+    members = routed.select(*gkeys, "labels_key", secs("firing_at").alias("_a"), secs("resolved_at").alias("_b"))
+    # a group's episodes are disjoint: each member's interval meets one
+    placed = (members.withColumn("_day", F.floor(F.col("_a") / day)).join(lives, [*gkeys, "_day"])
+              .where(F.col("_a").between(F.col("group_start"), F.col("group_end"))))
+    ekeys = [*gkeys, "group_start", "group_end"]
+
+    def flush(at):
+        return F.ceil(F.greatest(F.col(at) - F.col("group_start") - F.col("group_wait_s"), F.lit(0)) / F.col("group_interval_s"))
+
+    turns = placed.select(*ekeys, "labels_key", F.inline(F.array(
+        F.struct(flush("_a").alias("_n"), F.lit(1).alias("_d")), F.struct(flush("_b").alias("_n"), F.lit(-1).alias("_d")))))
+    # a member that left and came back before the flush is as it was
+    net = turns.groupBy(*ekeys, "labels_key", "_n").agg(F.sum("_d").alias("_d")).where("_d <> 0")
+    changes = net.groupBy(*ekeys, "_n").agg(F.count_if(F.col("_d") > 0).alias("joined"), F.count_if(F.col("_d") < 0).alias("left"))
+    w = Window.partitionBy(*ekeys).orderBy("_n")
+    per = F.ceil(F.col("repeat_interval_s") / F.col("group_interval_s"))
+    told = (changes.withColumn("firing", F.sum(F.col("joined") - F.col("left")).over(w))
+            .withColumn("_until", F.coalesce(F.lead("_n").over(w) - 1, F.col("_n")))
+            .withColumn("_at", F.explode(F.sequence("_n", "_until", per))))
+    again = F.col("_at") > F.col("_n")
+    return told.select(
+        *GROUP_BY, "route", from_micros(F.col("group_start") * US).alias("group_firing_at"),
+        from_micros((F.col("group_start") + F.col("group_wait_s") + F.col("_at") * F.col("group_interval_s")) * US).alias("notify_at"),
+        F.when(again, "repeat").when(F.col("firing") > 0, "firing").otherwise("resolved").alias("status"),
+        F.col("firing").cast("long").alias("firing"),
+        F.when(again, 0).otherwise(F.col("joined")).cast("long").alias("joined"),
+        F.when(again, 0).otherwise(F.col("left")).cast("long").alias("left"))
+
+
 def rules_frame(spark: SparkSession, rules=ALERT_RULES) -> DataFrame:
     schema = T.StructType([T.StructField("alertname", T.StringType()),
                            T.StructField("severity", T.StringType()),

@@ -168,6 +168,11 @@ def _notification_schedule(spark, d):
     return A.notification_schedule(_alerts(spark, d), P.METRIC_STEP)
 
 
+@register("group_notices")
+def _group_notices(spark, d):
+    return A.group_notices(_alerts(spark, d), P.METRIC_STEP)
+
+
 @register("firing_summary")
 def _firing_summary(spark, d):
     return A.firing_summary(_alerts(spark, d))

@@ -392,6 +392,47 @@ SELECT alertname, severity, route, make_timestamp(start_k * {_su}) AS group_firi
        make_timestamp(us) AS notify_at
 FROM notes""")
 
+# flush by flush: a group's next flush is one interval on while any member fires, else it starts anew
+q("group_notices", f"""WITH RECURSIVE {ALERTS}, {ROUTED},
+mem AS MATERIALIZED (
+  SELECT alertname, severity, route, group_wait_s AS wait, repeat_interval_s AS rep, labels_key,
+         epoch_us(firing_at) // {US} AS a, epoch_us(resolved_at) // {US} AS b
+  FROM routed),
+fl AS (
+  SELECT alertname, severity, route, wait, rep, MIN(a) AS born, MIN(a) + wait AS tick, 0 AS n
+  FROM mem GROUP BY alertname, severity, route, wait, rep
+  UNION ALL
+  SELECT * FROM (
+    SELECT f.alertname, f.severity, f.route, f.wait, f.rep,
+           CASE WHEN alive THEN born ELSE reborn END AS born,
+           CASE WHEN alive THEN tick + 300 ELSE reborn + f.wait END AS tick,
+           CASE WHEN alive THEN n + 1 ELSE 0 END AS n
+    FROM (SELECT f.alertname, f.severity, f.route, f.wait, f.rep, f.born, f.tick, f.n,
+                 bool_or(m.a <= f.tick AND m.b > f.tick) AS alive, MIN(m.a) FILTER (WHERE m.a > f.tick) AS reborn
+          FROM fl f JOIN mem m ON m.alertname = f.alertname AND m.severity = f.severity AND m.route = f.route
+          GROUP BY f.alertname, f.severity, f.route, f.wait, f.rep, f.born, f.tick, f.n) f) WHERE tick IS NOT NULL),
+held AS MATERIALIZED (
+  SELECT DISTINCT f.alertname, f.severity, f.route, f.born, f.n, labels_key
+  FROM fl f JOIN mem m ON m.alertname = f.alertname AND m.severity = f.severity AND m.route = f.route AND m.a <= f.tick AND m.b > f.tick),
+moved AS (
+  SELECT alertname, severity, route, born, COALESCE(x.n, y.n + 1) AS n,
+         COUNT(*) FILTER (WHERE y.n IS NULL) AS joined, COUNT(*) FILTER (WHERE x.n IS NULL) AS left_n
+  FROM (SELECT *, n - 1 AS before FROM held) x FULL JOIN (SELECT *, n AS before FROM held) y
+       USING (alertname, severity, route, born, labels_key, before)
+  GROUP BY alertname, severity, route, born, COALESCE(x.n, y.n + 1)),
+count_now AS (SELECT alertname, severity, route, born, n, COUNT(*) AS firing FROM held GROUP BY alertname, severity, route, born, n),
+state AS (
+  SELECT f.*, COALESCE(c.firing, 0) AS firing, COALESCE(m.joined, 0) AS joined, COALESCE(m.left_n, 0) AS left_n,
+         COALESCE(m.joined, 0) + COALESCE(m.left_n, 0) > 0 AS changed
+  FROM fl f LEFT JOIN moved m USING (alertname, severity, route, born, n)
+            LEFT JOIN count_now c USING (alertname, severity, route, born, n)),
+since AS (
+  SELECT *, MAX(n) FILTER (WHERE changed) OVER (PARTITION BY alertname, severity, route, born ORDER BY n) AS told FROM state)
+SELECT alertname, severity, route, make_timestamp(born * {US}) AS group_firing_at, make_timestamp(tick * {US}) AS notify_at,
+       CASE WHEN NOT changed THEN 'repeat' WHEN firing > 0 THEN 'firing' ELSE 'resolved' END AS status,
+       CAST(firing AS BIGINT) AS firing, CAST(joined AS BIGINT) AS joined, CAST(left_n AS BIGINT) AS "left"
+FROM since WHERE changed OR (firing > 0 AND (n - told) % (rep // 300) = 0)""")
+
 _RULES_VALUES = ", ".join(f"('{name}', '{severity}', '{component}')" for name, severity, component, *_ in RULES_AS_SQL)
 q("firing_summary", f"""WITH {ALERTS},
 rules(alertname, severity, component) AS (VALUES {_RULES_VALUES}),

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakeride.functions.schemas import METRIC_SAMPLE
@@ -76,6 +77,59 @@ def test_notification_schedule_repeats_and_guard(spark):
     assert all(r.alertname == "KafkaConsumerLagHigh" for r in got)
 
 
+def _interval(name, key, start, end, severity="warning", component="kafka"):
+    at = lambda m: T0 + dt.timedelta(minutes=m)
+    return (name, severity, component, key, at(start), at(start), at(end - 1), at(end))
+
+
+def _plain_notices(rows, wait, every, repeat):
+    """Flush by flush, in minutes: (born, at, status, firing, joined, left)."""
+    out, f = [], None
+    while True:
+        starts = [a for _, a, _ in rows if f is None or a > f]
+        if not starts:
+            return out
+        born = min(starts)
+        f, before, told = born + wait, set(), None
+        while True:
+            now = {k for k, a, b in rows if a <= f < b}
+            if now != before:
+                out.append((born, f, "firing" if now else "resolved", len(now), len(now - before), len(before - now)))
+                told = f
+            elif now and f - told >= repeat:
+                out.append((born, f, "repeat", len(now), 0, 0))
+                told = f
+            if not now:
+                break
+            before, f = now, f + every
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_group_notices_against_flush_by_flush(spark, seed):
+    import random
+
+    r = random.Random(seed)
+    rows = []
+    for key in "abcd":
+        at = r.randrange(40)
+        for _ in range(r.randrange(1, 25)):
+            end = at + r.choice([1, 2, 3, 7, 30, 400])
+            rows.append((key, at, end))
+            at = end + r.choice([1, 2, 6, 50, 2000])
+    iv = spark.createDataFrame(
+        [_interval("KafkaConsumerLagHigh", *x) for x in rows] + [_interval("Short", "x", 3, 4, "critical", "other")],
+        "alertname string, severity string, component string, labels_key string, pending_at timestamp_ntz, "
+        "firing_at timestamp_ntz, last_active_at timestamp_ntz, resolved_at timestamp_ntz")
+    minute = lambda t: (t - T0).total_seconds() / 60
+    got = A.group_notices(iv, "1m").collect()
+    lag = sorted((minute(x.group_firing_at), minute(x.notify_at), x.status, x.firing, x.joined, x["left"])
+                 for x in got if x.alertname == "KafkaConsumerLagHigh")
+    assert lag == sorted(_plain_notices(rows, 1, 5, 120))
+    # half a minute of waiting is over while the other one still fires
+    assert [(minute(x.notify_at), x.status) for x in sorted(got, key=lambda x: x.notify_at) if x.alertname == "Short"] == [
+        (3.5, "firing"), (8.5, "resolved")]
+
+
 def test_firing_summary_counts_all_rules(spark):
     iv = spark.createDataFrame([("FlinkJobNotRunning", "critical", "flink", "k", T0, T0, T0, T0)],
                                "alertname string, severity string, component string, labels_key string, "
