@@ -97,18 +97,25 @@ def _bucket(g: int) -> Column:
     return F.expr(f"(unix_micros(cast(ts as timestamp)) + {gu - 1}) div {gu}")
 
 
-def _owned_evals(pre: DataFrame, R: int, S: int, keys) -> DataFrame:
+def _owned_evals(pre: DataFrame, R: int, S: int, keys, chunk: int) -> DataFrame:
     """Adds ``_m`` (exploded): the eval indices bucket ``_b`` is the latest
-    bucket for, i.e. m*S in [b, min(next bucket - 1, b + R - 1)]."""
-    w = Window.partitionBy(*keys).orderBy("_b")
-    d = pre.select("*", F.lead("_b").over(w).alias("_nb"))
+    bucket for, i.e. m*S in [b, min(next bucket - 1, b + R - 1)].
+
+    Time is cut into chunks of ``chunk`` buckets (at least one lookback), so
+    no window spans a series' history. A chunk also gets the buckets of one
+    lookback after it: only such a near one can end what a bucket owns."""
+    C = max(R, chunk)
+    own = F.expr(f"_b div {C}")
+    d = pre.select("*", own.alias("_own"), F.explode(F.sequence(F.expr(f"(_b - {R - 1}) div {C}"), own)).alias("_c"))
+    w = Window.partitionBy(*keys, "_c").orderBy("_b")
+    d = d.select("*", F.lead("_b").over(w).alias("_nb")).where("_c = _own")
     last_pos = F.least(F.coalesce(F.col("_nb") - 1, F.col("_b") + (R - 1)), F.col("_b") + (R - 1))
     lo = F.expr(f"(_b + {S - 1}) div {S}")
     hi = F.floor(last_pos / F.lit(S)).cast("long")
     return (d.withColumn("_lo", lo).withColumn("_hi", hi)
             .filter(F.col("_lo") <= F.col("_hi"))
             .withColumn("_m", F.explode(F.sequence("_lo", "_hi")))
-            .drop("_lo", "_hi", "_nb"))
+            .drop("_lo", "_hi", "_nb", "_c", "_own"))
 
 
 def _eval_ts(step_s: int) -> Column:
@@ -263,9 +270,10 @@ def counter_rate(samples: DataFrame, range_: str = "5m", step: str = "1m", **kw)
 
 # ---- gauges -------------------------------------------------------------------
 
-def instant_last(samples: DataFrame, step: str = "1m", lookback: str = "5m", keep=()) -> DataFrame:
+def instant_last(samples: DataFrame, step: str = "1m", lookback: str = "5m", keep=(), chunk: str = "1d") -> DataFrame:
     """Instant vector: newest sample within ``(t - lookback, t]`` per series.
-    The bucket that owns an eval instant holds that newest sample."""
+    The bucket that owns an eval instant holds that newest sample. Buckets are
+    ordered within chunks of time, never over a series' history."""
     lb, s = seconds(lookback), seconds(step)
     g, R, S = _grid(lb, s)
     d, keep = _keep_cols(with_series(samples), keep)
@@ -274,7 +282,7 @@ def instant_last(samples: DataFrame, step: str = "1m", lookback: str = "5m", kee
            .groupBy(*keys, "_b")
            # equal times: the larger value, so the choice is the same in every run
            .agg(F.max(F.struct("ts", "value")).alias("_v")).withColumn("value", F.col("_v.value")).drop("_v"))
-    return _owned_evals(pre, R, S, keys).select(*keys, _eval_ts(s), "value")
+    return _owned_evals(pre, R, S, keys, seconds(chunk) // g).select(*keys, _eval_ts(s), "value")
 
 
 def _label_or_col(df: DataFrame, k: str) -> Column:

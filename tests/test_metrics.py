@@ -3,6 +3,7 @@ property check of the bucketed range evaluation."""
 
 import datetime as dt
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -141,6 +142,25 @@ def test_increase_invariant_to_offset(spark):
     assert a == b
 
 
+@pytest.mark.parametrize("chunk", ["5m", "7m", "1d"])
+def test_instant_last_in_chunks_of_time(spark, chunk):
+    import random
+
+    r = random.Random(5)
+    times = sorted(r.sample(range(0, 200 * 60), 60))
+    base = dt.datetime(2024, 1, 1, 0, 0)
+    df = spark.createDataFrame([("up", {"job": "a"}, base + dt.timedelta(seconds=t), float(t)) for t in times], METRIC_SAMPLE)
+    got = {(x.eval_ts - base).total_seconds(): x.value for x in M.instant_last(df, "1m", "5m", chunk=chunk).collect()}
+    want = {}
+    for t in range(0, 220 * 60, 60):
+        inside = [x for x in times if t - 300 < x <= t]
+        if inside:
+            want[float(t)] = float(inside[-1])
+    assert got == want
+    plan = M.instant_last(df, chunk=chunk)._jdf.queryExecution().optimizedPlan().toString()
+    assert all("_c#" in line for line in plan.splitlines() if "Window [" in line)
+
+
 def test_instant_last_lookback(spark):
     df = samples(spark, [(10, 1), (70, 2)])
     got = as_map(M.instant_last(df, "1m", "5m"), "value")
