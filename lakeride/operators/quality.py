@@ -26,12 +26,12 @@ FRESHNESS_HOURS = 2
 MAX_INVALID_RATIO = 0.1
 
 
-def _fresh_bound(as_of, hours: int):
+def fresh_bound(as_of, hours: int):
     return ts_lit(as_of) - F.make_dt_interval(F.lit(0), F.lit(hours))
 
 
 def dq_freshness(silver: DataFrame, as_of=None, hours: int = FRESHNESS_HOURS) -> DataFrame:
-    bound = _fresh_bound(as_of, hours)
+    bound = fresh_bound(as_of, hours)
     # implied partition filter: event_date is the date of created_at (both
     # NULL together), so this prunes partitions without changing the result
     rows = silver.filter((F.col("event_date") >= F.to_date(bound)) & (F.col("created_at") >= bound))
@@ -51,7 +51,7 @@ def dq_validity(silver: DataFrame, as_of=None, max_ratio: float = MAX_INVALID_RA
     return rows.agg((ratio < F.lit(max_ratio)).alias("passed"), ratio.alias("observed"))
 
 
-def _any_null(cols):
+def any_null(cols):
     cond = F.lit(False)
     for c in cols:
         cond = cond | F.col(c).isNull()
@@ -59,7 +59,7 @@ def _any_null(cols):
 
 
 def dq_nulls(silver: DataFrame, as_of=None, cols=CRITICAL_COLUMNS) -> DataFrame:
-    rows = silver.filter(_any_null(cols) & (F.col("event_date") >= date_of(as_of)))
+    rows = silver.filter(any_null(cols) & (F.col("event_date") >= date_of(as_of)))
     return rows.agg((F.count(F.lit(1)) == 0).alias("passed"),
                     F.count(F.lit(1)).cast("double").alias("observed"))
 
@@ -67,14 +67,19 @@ def dq_nulls(silver: DataFrame, as_of=None, cols=CRITICAL_COLUMNS) -> DataFrame:
 def dq_checks(silver: DataFrame, as_of=None, hours: int = FRESHNESS_HOURS,
               max_ratio: float = MAX_INVALID_RATIO, cols=CRITICAL_COLUMNS) -> DataFrame:
     """All three checks in one scan -> rows (check, passed, observed, as_of)."""
-    bound = _fresh_bound(as_of, hours)
+    bound = fresh_bound(as_of, hours)
     today = date_of(as_of)
     rows = silver.filter(F.col("event_date") >= F.least(F.to_date(bound), today))
     is_today = F.col("event_date") >= today
     fresh_n = F.count_if(F.col("created_at") >= bound)
     ratio = _invalid_ratio(is_today)
-    null_n = F.count_if(is_today & _any_null(cols))
+    null_n = F.count_if(is_today & any_null(cols))
     one = rows.agg(fresh_n.alias("fresh_n"), ratio.alias("ratio"), null_n.alias("null_n"))
+    return verdicts(one, as_of, max_ratio)
+
+
+def verdicts(counts: DataFrame, as_of=None, max_ratio: float = MAX_INVALID_RATIO) -> DataFrame:
+    """The three check rows from one row (fresh_n, ratio, null_n)."""
     checks = F.array(
         F.struct(F.lit(FRESHNESS).alias("check"), (F.col("fresh_n") > 0).alias("passed"),
                  F.col("fresh_n").cast("double").alias("observed")),
@@ -83,7 +88,7 @@ def dq_checks(silver: DataFrame, as_of=None, hours: int = FRESHNESS_HOURS,
         F.struct(F.lit(NULLS).alias("check"), (F.col("null_n") == 0).alias("passed"),
                  F.col("null_n").cast("double").alias("observed")),
     )
-    return (one.select(F.inline(checks))
+    return (counts.select(F.inline(checks))
             .select("check", F.coalesce("passed", F.lit(False)).alias("passed"), "observed",
                     ts_lit(as_of).alias("as_of")))
 

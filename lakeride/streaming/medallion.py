@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.schemas import BRONZE, SILVER
-from ..operators import lenient
+from ..operators import lenient, states
 from ..operators.gold import hourly_rollup, write_gold
 from ..operators.ingest import decode_trip_json, flatten_bronze, flatten_silver
 from ..session import scratch_path
@@ -198,7 +198,7 @@ def await_all(*queries: StreamingQuery, timeout_s: float | None = None) -> None:
 
 
 def hourly_gold_stream(spark: SparkSession, silver_path: str, gold_path: str, checkpoint: str,
-                       trigger: str | None = CHECKPOINT_INTERVAL, now=None) -> StreamingQuery:
+                       trigger: str | None = CHECKPOINT_INTERVAL, now=None, state_path: str | None = None) -> StreamingQuery:
     """Keeps gold up to date with a growing silver table.
 
     Each micro-batch only tells which dates got new rows; these dates are
@@ -206,12 +206,20 @@ def hourly_gold_stream(spark: SparkSession, silver_path: str, gold_path: str, ch
     count however late they are, distinct drivers are exact, every hour is
     there, and a batch that is run twice leaves the same rows. What reaches
     the driver is the dates of one batch.
+
+    With ``state_path`` a batch is absorbed into mergeable states
+    (:mod:`..operators.states`) and its dates come from these: silver rows are
+    read once, in their own batch.
     """
     new_rows = spark.readStream.schema(SILVER).parquet(silver_path)
 
-    def refresh(batch: DataFrame, _batch_id: int) -> None:
+    def refresh(batch: DataFrame, batch_id: int) -> None:
         dates = [r[0] for r in batch.select("event_date").where("event_date is not null").distinct().collect()]
-        if dates:
+        if dates and state_path:
+            states.absorb(batch, batch_id, state_path)
+            gold = states.gold_from_states(batch.sparkSession, state_path, now, dates)
+            write_gold(gold, gold_path, covered=F.col("report_date").isin(dates))
+        elif dates:
             rows = batch.sparkSession.read.schema(SILVER).parquet(silver_path).filter(F.col("event_date").isin(dates))
             write_gold(hourly_rollup(rows, now), gold_path, covered=F.col("report_date").isin(dates))
 

@@ -50,7 +50,9 @@ def test_rebuild_uses_new_paths(spark, sf0001):
     assert spark.read.parquet(p1.silver).count() == spark.read.parquet(p2.silver).count()
 
 
-def test_streaming_gold_equals_batch_with_late_rows_and_reruns(spark, sf0001):
+@pytest.mark.parametrize("mergeable", [False, True])
+def test_streaming_gold_equals_batch_with_late_rows_and_reruns(spark, sf0001, mergeable):
+    state_path = scratch_path(spark, "t-states") if mergeable else None
     from lakeride.functions.schemas import GOLD
     from lakeride.operators import gold as G
     src = scratch_path(spark, "t-raw3")
@@ -63,7 +65,7 @@ def test_streaming_gold_equals_batch_with_late_rows_and_reruns(spark, sf0001):
         SM.await_all(SM.start_layer(SM.silver_stream(SM.read_trip_stream(spark, "text", src)),
                                     paths.silver, paths.silver_checkpoint, "availableNow"))
         for _ in range(2):
-            SM.await_all(SM.hourly_gold_stream(spark, paths.silver, out, ckpt, "availableNow"))
+            SM.await_all(SM.hourly_gold_stream(spark, paths.silver, out, ckpt, "availableNow", state_path=state_path))
     cols = ["report_hour", "route_name", "trip_count", "unique_drivers", F.round("total_revenue", 6).alias("r")]
     stream = spark.read.schema(GOLD).parquet(out).select(*cols)
     batch = G.hourly_gold(C.silver(spark, sf0001), as_of="2000-01-01").select(*cols)  # every date
