@@ -12,7 +12,8 @@ compared with the list's hub only, the set whose pairs are the most frequent
 (in a group of near copies: their origin). Links that the full shingle sets
 confirm make components. Only sets of lists that hold several components can
 still have links between components; an exact join over the rarest shingles
-of these sets finds them. Sets in one component need no further comparison,
+of these sets finds them, which reads on along the shingles of a long list
+instead of pairing it off. Sets in one component need no further comparison,
 so no link between components is lost.
 """
 
@@ -24,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -160,20 +161,18 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 CLASS = 1.05
 
 
-def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components in ``rest(node, component)`` that can be similar enough.
+#: a list of m sets is paired off at once up to LIST * m pairs, and after ROUNDS elements in any case
+LIST, ROUNDS = 1, 16
 
-    Two sets of sizes x and y need an overlap of o = t / (1 + t) * (x + y), so
-    with one order of all shingles, rarest first, they share one among the
-    first x - o + 1 of the one and y - o + 1 of the other. A shingle is posted
-    under its own and each possible partner's size class only where its
-    position allows that. Edited copies of one origin that are too far from
-    it have more shingles of their own than that and are not posted at all,
-    so a large family of them makes no pairs.
-    """
-    t = percent / 100
-    few = rest.join(sets, "node")
 
+def _elements(rest: DataFrame, sets: DataFrame, t: float) -> DataFrame:
+    """node, component, n, alone, known: the shingles of each set in ``rest`` that others there have too.
+
+    Shingles that exactly the same sets have (a boilerplate paragraph's) are
+    one element with their number as weight. ``known`` holds a set's elements,
+    rare and heavy ones first (a heavy one leaves few ways to skip it), with
+    the weight before each; ``alone`` counts the others.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for node, component, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
@@ -182,29 +181,89 @@ def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(k, node)), pa.array(np.full(k, component)),
                                                   pa.array(np.full(k, k)), pa.array(token)], ["node", "component", "n", "token"])
 
-    tokens = few.select("node", "component", "shingles").mapInArrow(run, "node long, component long, n long, token long")
-    often = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    # at most the shingles of one set meet in a group here
-    order = tokens.join(often, "token").groupBy("node", "component", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("known"))
-    alone = F.col("n") - F.size("known")
-    posted = (order.where(alone <= F.col("n") * (1 - t) + 1).select("node", "component", "n", alone.alias("alone"), F.posexplode("known"))
-              .select("node", "component", "n", F.col("col.token").alias("token"), (F.col("alone") + F.col("pos") + 1).alias("at")))
+    tokens = rest.join(sets, "node").select("node", "component", "shingles").mapInArrow(run, "node long, component long, n long, token long")
+    often = tokens.groupBy("token").agg(F.count("*").alias("df"), F.bit_xor(F.xxhash64("node")).alias("element")).where("df > 1")
+    own = ["node", "component", "n"]
+    weighed = tokens.join(often, "token").groupBy(*own, "df", "element").agg(F.count("*").alias("weight"))
+    # at most the shingles of one set meet in a window or group here
+    earlier = Window.partitionBy(*own).orderBy("rank", "element").rowsBetween(Window.unboundedPreceding, -1)
+    weighed = weighed.withColumn("rank", F.col("df") / (F.col("weight") * F.col("weight")))
+    known = (weighed.withColumn("before", F.coalesce(F.sum("weight").over(earlier), F.lit(0))).groupBy(*own)
+             .agg(F.sort_array(F.collect_list(F.struct("rank", "element", "weight", "before"))).alias("known"), F.sum("weight").alias("shared")))
+    return known.select(*own, (F.col("n") - F.col("shared")).alias("alone"), "known").where(F.col("alone") <= F.col("n") * (1 - t) + 1e-6)
+
+
+def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components in ``rest(node, component)`` that can be similar enough.
+
+    Two sets of sizes x and y need an overlap of o = t / (1 + t) * (x + y). Go
+    through both in one order of all elements: before any element they share,
+    the one skips at most x - o and the other y - o shingles that they do not
+    share. So a set is posted under each element it can reach with so few
+    skipped, once for its own and each possible partner's size class, and the
+    two meet under the first element they share.
+
+    A list that stays long is not paired off: its sets are posted again under
+    the next element they can reach, so that sets meet only if their first
+    two, three, ... shared elements are the same. Those whose elements so far
+    suffice for a link need only the list's smallest set as partner: if any two
+    of them are linked by these, both are linked to it. A list whose next
+    postings outnumber its pairs is paired off.
+    """
+    t = percent / 100
+    share = t / (1 + t)
+    known = materialize(_elements(rest, sets, t), "minhash-elements")
     own = F.floor(F.log(F.col("n")) / F.log(F.lit(CLASS)) + 1e-9).cast("int")
     reach = int(np.ceil(np.log(1 / t) / np.log(CLASS))) + 1
-    smallest = F.pow(F.lit(CLASS), F.col("partner")) * (1 - 1e-6)
-    posted = (posted.where(F.col("at") <= F.col("n") * (1 - t) + 1 + 1e-6).withColumn("own", own)
-              .withColumn("partner", F.explode(F.sequence(F.col("own") - reach, F.col("own") + reach)))
-              .where(F.col("at") <= F.col("n") - t / (1 + t) * (F.col("n") + smallest) + 1 + 1e-6))
-    left = posted.select("token", F.col("own").alias("i"), F.col("partner").alias("j"), F.col("node").alias("x"),
-                         F.col("component").alias("p"), F.col("n").alias("n_x"), F.col("at").alias("at_x"))
-    right = posted.select("token", F.col("partner").alias("i"), F.col("own").alias("j"), F.col("node").alias("y"),
-                          F.col("component").alias("q"), F.col("n").alias("n_y"), F.col("at").alias("at_y"))
-    # the classes allow a little more than the two sizes themselves do
-    overlap = t / (1 + t) * (F.col("n_x") + F.col("n_y")) - 1e-6
-    both = left.join(right, ["token", "i", "j"]).where((F.col("x") < F.col("y")) & (F.col("p") != F.col("q")) & (
-        F.col("at_x") <= F.col("n_x") - overlap + 1) & (F.col("at_y") <= F.col("n_y") - overlap + 1))
-    both = both.select(F.col("x").alias("a"), F.col("y").alias("b"))
-    return both.distinct()
+    slack = F.col("n") - share * (F.col("n") + F.pow(F.lit(CLASS), F.col("partner")) * (1 - 1e-6)) + 1e-6
+    place = ["key", "low", "high"]
+    sides = ["node", "component", "n", "own", "partner", "low", "high"]
+
+    def reachable(entries: DataFrame) -> DataFrame:
+        later = F.slice("known", F.col("at") + 1, F.size("known"))
+        return entries.withColumn("next", F.filter(later, lambda x: F.col("skipped") + x["before"] - F.col("end") <= slack)).drop("known")
+
+    def posted(entries: DataFrame) -> DataFrame:
+        step = entries.select("*", F.posexplode("next").alias("step", "x"))
+        return step.select(*sides, F.xxhash64("key", "x.element").alias("key"), (F.col("at") + F.col("step") + 1).alias("at"),
+                           (F.col("skipped") + F.col("x.before") - F.col("end")).alias("skipped"),
+                           (F.col("x.before") + F.col("x.weight")).alias("end"), (F.col("matched") + F.col("x.weight")).alias("matched"))
+
+    def paired(entries: DataFrame) -> DataFrame:
+        left = entries.where("own = low").select(*place, F.col("node").alias("x"), F.col("component").alias("p"), F.col("n").alias("n_x"), F.col("skipped").alias("s_x"))
+        right = entries.where("own = high").select(*place, F.col("node").alias("y"), F.col("component").alias("q"), F.col("n").alias("n_y"), F.col("skipped").alias("s_y"))
+        # the classes allow a little more than the two sizes themselves do
+        overlap = share * (F.col("n_x") + F.col("n_y")) - 1e-6
+        both = left.join(right, place).where((F.col("p") != F.col("q")) & ((F.col("low") < F.col("high")) | (F.col("x") < F.col("y"))) & (
+            F.col("s_x") <= F.col("n_x") - overlap) & (F.col("s_y") <= F.col("n_y") - overlap))
+        return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+    first = known.withColumn("own", own).withColumn("partner", F.explode(F.sequence(F.col("own") - reach, F.col("own") + reach)))
+    first = first.select("*", F.least("own", "partner").alias("low"), F.greatest("own", "partner").alias("high"), F.lit(0).cast("long").alias("key"),
+                         F.lit(0).alias("at"), F.col("alone").alias("skipped"), F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("matched"))
+    now = materialize(posted(reachable(first)), "minhash-lists")
+    found = []
+    for done in range(1, ROUNDS + 1):
+        x, y = F.count_if(F.col("own") == F.col("low")), F.count_if(F.col("own") == F.col("high"))
+        lists = now.groupBy(*place).agg(
+            F.count("*").alias("members"), F.when(F.col("low") == F.col("high"), x * (x - 1) / 2).otherwise(x * y).alias("pairs"),
+            F.min("component").alias("least"), F.max("component").alias("most"), F.min(F.struct("n", "node")).alias("hub"))
+        long = (F.col("pairs") > LIST * F.col("members")) if done < ROUNDS else F.lit(False)
+        lists = lists.where("pairs > 0 and least <> most").select(*place, "pairs", "hub", long.alias("long"))
+        now = materialize(now.join(lists, place), "minhash-lists")
+        found.append(paired(now.where("not long")))
+        if done == ROUNDS or now.where("long").isEmpty():
+            break
+        more = materialize(reachable(now.where("long").join(known.select("node", "known"), "node")), "minhash-next")
+        found.append(more.where((F.col("node") != F.col("hub.node")) & (F.col("matched") >= share * (F.col("n") + F.col("hub.n")) - 1e-6)).select(
+            F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")))
+        wide = more.groupBy(*place).agg(F.sum(F.size("next")).alias("steps"), F.max("pairs").alias("pairs")).where("steps > pairs").select(*place)
+        found.append(paired(more.join(wide, place, "left_semi")))
+        now = materialize(posted(more.join(wide, place, "left_anti")), "minhash-lists")
+    out = found[0]
+    for pairs in found[1:]:
+        out = out.unionByName(pairs)
+    return out.distinct()
 
 
 def _matching(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
