@@ -54,45 +54,6 @@ def test_components_equal_brute_force(make, n):
     assert got == brute(rows, n)
 
 
-def template_texts(number, seed=11):
-    """Texts of 12 of 24 boilerplate paragraphs each."""
-    rnd = random.Random(seed)
-    paragraphs = [" ".join(f"p{k}w{rnd.randrange(10 ** 6)}" for _ in range(50)) for k in range(24)]
-    return [(i, "\n".join(rnd.sample(paragraphs, 12))) for i in range(number)]
-
-
-def test_boilerplate_makes_no_quadratic_pair_list(spark, make, monkeypatch):
-    from lakeride.llm import neardup
-
-    counts = {}
-    kept = neardup.materialize
-    for number in (250, 500):
-
-        def counted(df, name, number=number):
-            out = kept(df, name)
-            if name == "minhash-cross":
-                counts[number] = out.count()
-            return out
-        monkeypatch.setattr(neardup, "materialize", counted)
-        rows = template_texts(number)
-        got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(make(rows)).collect()}
-        if number <= 250:
-            assert got == brute(rows, 5)
-    assert counts[500] < 2.6 * max(counts[250], 100)
-
-
-def test_long_lists_equal_brute_force(make):
-    # sentences in one order, some left out: long lists of sets, linked and not, over several rounds
-    rnd = random.Random(5)
-    sentences = [" ".join(f"s{k}w{j}" for j in range(9)) for k in range(40)]
-    rows = []
-    for i in range(300):
-        some = sorted(rnd.sample(range(40), rnd.choice([10, 11, 20, 30, 36])))
-        rows.append((i, ". ".join(sentences[k] for k in some) + f" end{i % 7}"))
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(make(rows)).collect()}
-    assert got == brute(rows, 5)
-
-
 def test_null_ids_repeated_rows_and_empty(make, empty):
     text = " ".join(f"t{i}" for i in range(30))
     got = near_duplicates(make([(None, text), (5, text), (5, text), (7, text), (8, None)])).collect()
