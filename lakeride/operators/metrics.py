@@ -346,6 +346,10 @@ LAG_BANDS = [(None, "green"), (1000, "yellow"), (10000, "red")]
 RESTART_BANDS = [(None, "green"), (1, "yellow"), (3, "red")]
 FAILED_CHECKPOINT_BANDS = [(None, "green"), (1, "yellow"), (5, "red")]
 BYTES_BANDS = [(None, "green"), (10485760, "yellow"), (104857600, "red")]
+RUNNING_JOB_BANDS = [(None, "red"), (1, "green")]
+TWO_JOB_BANDS = [(None, "red"), (2, "green")]
+OBJECT_BANDS = [(None, "blue"), (500, "yellow"), (5000, "red")]
+SMALL_OBJECT_BANDS = [(None, "purple"), (200, "yellow"), (1000, "red")]
 
 
 def up_down(value: Column) -> Column:

@@ -102,6 +102,31 @@ def _series_reduce(spark, d):
     return M.series_reduce(M.instant_last(s, P.METRIC_STEP, "5m"))
 
 
+@register("series_reduce_ranges")
+def _series_reduce_ranges(spark, d):
+    """The panel reducers over the last hour and the last three hours."""
+    vec = M.instant_last(samples(spark, d, *GAUGES), P.METRIC_STEP, "5m")
+    hour, three = (M.series_reduce(vec, start, P.PANEL_END).withColumn("panel_range", F.lit(name)) for name, start in P.PANEL_STARTS.items())
+    return hour.unionByName(three)
+
+
+@register("threshold_bands_jobs")
+def _threshold_bands_jobs(spark, d):
+    """Running jobs: red without one, and red below two."""
+    vec = M.instant_last(samples(spark, d, "flink_jobmanager_numRunningJobs"), P.METRIC_STEP)
+    return vec.select("labels_key", "eval_ts", "value", M.threshold_bands(F.col("value"), M.RUNNING_JOB_BANDS).alias("band"),
+                      M.threshold_bands(F.col("value"), M.TWO_JOB_BANDS).alias("band_of_two"))
+
+
+@register("threshold_bands_counts")
+def _threshold_bands_counts(spark, d):
+    """The bands of counts, bytes, restarts and failed checkpoints, each on the lag and on the restart counter."""
+    vec = M.instant_last(samples(spark, d, "kafka_consumergroup_lag", "flink_jobmanager_job_numRestarts"), P.METRIC_STEP)
+    bands = {"objects": M.OBJECT_BANDS, "small_objects": M.SMALL_OBJECT_BANDS, "bytes": M.BYTES_BANDS,
+             "restarts": M.RESTART_BANDS, "checkpoints": M.FAILED_CHECKPOINT_BANDS}
+    return vec.select("metric", "labels_key", "eval_ts", "value", *(M.threshold_bands(F.col("value"), b).alias(name) for name, b in bands.items()))
+
+
 @register("threshold_bands")
 def _threshold_bands(spark, d):
     vec = M.instant_last(M.select_series(samples(spark, d, "kafka_consumergroup_lag"), "kafka_consumergroup_lag"), P.METRIC_STEP)

@@ -260,6 +260,29 @@ SELECT metric, labels_key, {_r6('arg_max(value, eval_ts) FILTER (WHERE value IS
        {_r6('SUM(value)')} AS total, {_r6('AVG(value)')} AS mean, {_r6('MAX(value)')} AS max
 FROM v GROUP BY metric, labels_key""")
 
+_panels = " UNION ALL ".join(
+    f"""SELECT '{name}' AS panel_range, metric, labels_key, {_r6('arg_max(value, eval_ts) FILTER (WHERE value IS NOT NULL)')} AS last_not_null,
+       {_r6('SUM(value)')} AS total, {_r6('AVG(value)')} AS mean, {_r6('MAX(value)')} AS max
+FROM v WHERE eval_ts >= TIMESTAMP '{start}' AND eval_ts <= TIMESTAMP '{P.PANEL_END}' GROUP BY metric, labels_key"""
+    for name, start in (("1h", "2024-01-16 09:00:00"), ("3h", "2024-01-16 07:00:00")))
+q("series_reduce_ranges", f"WITH {SAMPLES}, {instant_cte('v', 'samples', GAUGES, STEP)} {_panels}")
+
+q("threshold_bands_jobs", f"""WITH {SAMPLES},
+{instant_cte('v', 'samples', "metric = 'flink_jobmanager_numRunningJobs'", STEP)}
+SELECT labels_key, eval_ts, {_r6('value')} AS value, CASE WHEN value >= 1 THEN 'green' ELSE 'red' END AS band,
+       CASE WHEN value >= 2 THEN 'green' ELSE 'red' END AS band_of_two
+FROM v""")
+
+q("threshold_bands_counts", f"""WITH {SAMPLES},
+{instant_cte('v', 'samples', "metric IN ('kafka_consumergroup_lag', 'flink_jobmanager_job_numRestarts')", STEP)}
+SELECT metric, labels_key, eval_ts, {_r6('value')} AS value,
+       CASE WHEN value >= 5000 THEN 'red' WHEN value >= 500 THEN 'yellow' ELSE 'blue' END AS objects,
+       CASE WHEN value >= 1000 THEN 'red' WHEN value >= 200 THEN 'yellow' ELSE 'purple' END AS small_objects,
+       CASE WHEN value >= 104857600 THEN 'red' WHEN value >= 10485760 THEN 'yellow' ELSE 'green' END AS bytes,
+       CASE WHEN value >= 3 THEN 'red' WHEN value >= 1 THEN 'yellow' ELSE 'green' END AS restarts,
+       CASE WHEN value >= 5 THEN 'red' WHEN value >= 1 THEN 'yellow' ELSE 'green' END AS checkpoints
+FROM v""")
+
 q("threshold_bands", f"""WITH {SAMPLES},
 {instant_cte('v', 'samples', "metric = 'kafka_consumergroup_lag'", STEP)}
 SELECT labels_key, eval_ts, {_r6('value')} AS value,

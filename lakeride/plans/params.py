@@ -18,6 +18,8 @@ FUTURE_AS_OF = "2099-01-01 02:00:00"    # freshness bound 2099-01-01 -> fails
 
 # metric evaluation
 METRIC_STEP = "1m"
+PANEL_END = "2024-01-16 10:00:00"       # panels look back 1 h or 3 h from here
+PANEL_STARTS = {"1h": "2024-01-16 09:00:00", "3h": "2024-01-16 07:00:00"}
 INCREASE_RANGE = "1h"
 INCREASE_STEP = "15m"
 # sf0.01 has ~14 events per hour spread over 24 task series, so the
