@@ -107,9 +107,10 @@ class GateOutcome:
 
 
 def dq_gate(silver: DataFrame, as_of=None, **kw) -> tuple[bool, DataFrame]:
-    """Evaluate the fused checks; the result frame is cached (3 rows)."""
-    results = dq_checks(silver, as_of, **kw).cache()
-    rows = results.select("passed").collect()  # exactly three rows
+    """Evaluate the fused checks once; the result frame holds the three rows themselves, nothing stays cached."""
+    checks = dq_checks(silver, as_of, **kw)
+    rows = checks.collect()  # exactly three rows
+    results = silver.sparkSession.createDataFrame(rows, checks.schema)
     return (len(rows) == 3 and all(r.passed for r in rows)), results
 
 
