@@ -14,7 +14,7 @@ from ..operators import maintenance as MT
 from ..operators import quality as Q
 from ..operators import reports as R
 from ..operators import states as ST
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import fixtures as FX
 from ..sources import sizing
 from ..sources.tables import write_layer
@@ -206,6 +206,11 @@ def _expire_versions(spark, d):
     return _gold_cols(MT.expire_versions(ledger(spark, d)[0], P.RETENTION_AS_OF, P.RETENTION))
 
 
+def silver_once(spark, d):
+    """Silver for a query that takes it part by part: the messages are decoded once and not again for every part."""
+    return materialize(silver(spark, d), "silver-rows")
+
+
 def write_in_batches(silver_rows, path, batches):
     """One append per (from, to) of event_date, None being open, and one for rows without a date."""
     for lo, hi in batches:
@@ -222,7 +227,7 @@ def write_in_batches(silver_rows, path, batches):
 def _compact_dates(spark, d):
     """Early dates written at once, late ones by two runs: only the late ones are rewritten, in place."""
     path = scratch_path(spark, "silver-dates")
-    s = silver(spark, d)
+    s = silver_once(spark, d)
     late = F.coalesce(F.col("event_date") >= P.EVOLVE_SPLIT, F.lit(False))
     even = F.substring("trip_id", -1, 1).isin("0", "2", "4", "6", "8")
     for part in (~late, late & even, late & ~even):
@@ -235,7 +240,7 @@ def _compact_dates(spark, d):
 def _compact(spark, d):
     """Silver written in many small appends, compacted to a new path."""
     src = scratch_path(spark, "silver-small")
-    s = silver(spark, d)
+    s = silver_once(spark, d)
     write_in_batches(s, src, P.SILVER_BATCHES)
     return MT.compact(spark, src, scratch_path(spark, "silver-compact"), "event_date",
                       schema=None).select(*s.columns)
