@@ -36,11 +36,14 @@ def absorb(silver: DataFrame, batch_id: int, path: str, cols=CRITICAL_COLUMNS) -
     spark = silver.sparkSession
     if path_exists(spark, f"{path}/published/batch={batch_id}/_SUCCESS"):
         return False
-    rows = silver.where("event_date is not null").persist(StorageLevel.MEMORY_AND_DISK)
+    # both states read these columns only, so no more is kept
+    rows = silver.where("event_date is not null").select(
+        "event_date", "created_at", "route_name", "driver_id", "base_fare", "is_valid",
+        any_null(cols).alias("lacking")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         checks = rows.groupBy("event_date", _minute(F.col("created_at")).alias("minute")).agg(
             F.count(F.lit(1)).alias("n"), F.count_if(F.col("is_valid") == F.lit(False)).alias("invalid"),
-            F.count_if(any_null(cols)).alias("nulls"))
+            F.count_if("lacking").alias("nulls"))
         rollup = rows.where("is_valid").groupBy("event_date", hour_floor(F.col("created_at")).alias("report_hour"), "route_name", "driver_id").agg(
             F.count(F.lit(1)).alias("trips"), F.sum("base_fare").alias("fare"))
         # a date's counts are at most one row a minute; its drivers go to a few files

@@ -332,7 +332,7 @@ def _hourly_gold_stream(spark, d):
 def _absorbed(spark, d):
     """States of silver taken in by batches, the third one twice; the last batch also brings late rows."""
     path = scratch_path(spark, "silver-states")
-    rows = silver(spark, d)
+    rows = silver_once(spark, d)
     late = F.coalesce(F.pmod(F.xxhash64("trip_id"), F.lit(50)) == 0, F.lit(False))
     for i, (low, high) in enumerate(P.SILVER_BATCHES):
         inside = F.lit(True) if low is None else F.col("event_date") >= low

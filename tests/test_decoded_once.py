@@ -33,3 +33,8 @@ def test_compaction(spark, sf0001, decoded_rows):
     for i, name in enumerate(("compact", "compact_dates"), 1):
         assert len(_rows(spark, sf0001, name)) == n
         assert decoded_rows.value == i * n
+
+
+def test_hourly_gold_from_states(spark, sf0001, decoded_rows):
+    assert len(_rows(spark, sf0001, "hourly_gold_from_states")) == len(_rows(spark, sf0001, "hourly_gold")) > 0
+    assert decoded_rows.value == C.silver(spark, sf0001).count()
