@@ -38,3 +38,8 @@ def test_compaction(spark, sf0001, decoded_rows):
 def test_hourly_gold_from_states(spark, sf0001, decoded_rows):
     assert len(_rows(spark, sf0001, "hourly_gold_from_states")) == len(_rows(spark, sf0001, "hourly_gold")) > 0
     assert decoded_rows.value == C.silver(spark, sf0001).count()
+
+
+def test_dq_results_from_states(spark, sf0001, decoded_rows):
+    assert sorted(map(str, _rows(spark, sf0001, "dq_results_from_states"))) == sorted(map(str, _rows(spark, sf0001, "dq_results")))
+    assert decoded_rows.value == C.silver(spark, sf0001).count()
