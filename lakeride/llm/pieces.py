@@ -172,11 +172,14 @@ def byte_letters() -> dict[int, str]:
 
 
 def _by_pretoken(tok, keep_spaces: bool, at_once: int = 5000) -> Callable:
-    """Codes pieces through the library's model, one call per distinct pre-token.
-
-    Pieces of visible Latin characters are joined by line breaks and cut into
-    pre-tokens by one regular expression; all others (controls, special token
-    strings, other scripts) go through the library's whole chain one by one.
+    """Codes pieces through the library, all distinct pieces of a batch together.
+
+    Pieces of visible Latin characters are joined by line breaks; all others
+    (controls, special token strings, other scripts) go through the library's
+    whole chain one by one. Where a line break is one id that nothing else in
+    such pieces gives, the library codes the joined text at once and that id
+    cuts it; else one regular expression cuts it into pre-tokens and the model
+    is called once per distinct pre-token.
     """
     import regex
 
@@ -184,32 +187,55 @@ def _by_pretoken(tok, keep_spaces: bool, at_once: int = 5000) -> Callable:
     plain = re.compile((" ?" if keep_spaces else "") + "[!-~\xa1-\xac\xae-\u024f]+").fullmatch
     letters = {chr(b): c for b, c in byte_letters().items()}
     table, model = str.maketrans(letters), tok.model
+    line_break = tok.encode("\n", add_special_tokens=False).ids if keep_spaces else []
 
     def ids_of(word: str) -> list[int]:
         return [t.id for t in model.tokenize(word.encode().decode("latin-1").translate(table))]
 
-    def code(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        parts: list = [None] * len(words)
-        easy = [i for i, w in enumerate(words) if plain(w) and "<|" not in w]
+    def by_rule(group: list[str], known: dict[str, list[int]]) -> list[list[int]]:
+        rows, out = [], []
+        text = "\n".join(group)
+        for pre in rule.findall(text if keep_spaces else text.lower()):
+            if pre == "\n":
+                rows.append(out)
+                out = []
+                continue
+            got = known.get(pre)
+            if got is None:
+                got = known[pre] = ids_of(pre)
+            out += got
+        return [*rows, out]
+
+    def easy_codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         known: dict[str, list[int]] = {}
-        for k in range(0, len(easy), at_once):
-            group = easy[k:k + at_once]
-            text = "\n".join([words[i] for i in group])
-            at = iter(group)
-            out: list[int] = []
-            for pre in rule.findall(text if keep_spaces else text.lower()):
-                if pre == "\n":
-                    parts[next(at)], out = out, []
+        codes, counts = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+        for k in range(0, len(words), at_once):
+            group = words[k:k + at_once]
+            if len(line_break) == 1:
+                ids = np.array(tok.encode_batch_fast(["\n".join(group)], add_special_tokens=False)[0].ids, np.int32)
+                cut = np.flatnonzero(ids == line_break[0])
+                if len(cut) == len(group) - 1:
+                    codes.append(np.delete(ids, cut))
+                    counts.append(np.diff(np.concatenate([[-1], cut, [len(ids)]])) - 1)
                     continue
-                got = known.get(pre)
-                if got is None:
-                    got = known[pre] = ids_of(pre)
-                out += got
-            parts[next(at)] = out
-        for i, p in enumerate(parts):
-            if p is None:
-                parts[i] = tok.encode(words[i], add_special_tokens=False).ids
-        counts = np.fromiter(map(len, parts), np.int64, len(parts))
-        return np.fromiter(chain.from_iterable(parts), np.int32, int(counts.sum())), counts
+            rows = by_rule(group, known)
+            counts.append(np.fromiter(map(len, rows), np.int64, len(rows)))
+            codes.append(np.fromiter(chain.from_iterable(rows), np.int32, int(counts[-1].sum())))
+        return np.concatenate(codes), np.concatenate(counts)
+
+    def code(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        easy = np.fromiter((plain(w) is not None and "<|" not in w for w in words), bool, len(words))
+        if easy.all():
+            return easy_codes(words)
+        codes, of_easy = easy_codes([w for w, e in zip(words, easy.tolist(), strict=True) if e])
+        rest = [tok.encode(words[i], add_special_tokens=False).ids for i in np.flatnonzero(~easy).tolist()]
+        counts = np.empty(len(words), np.int64)
+        counts[easy] = of_easy
+        counts[~easy] = np.fromiter(map(len, rest), np.int64, len(rest))
+        out = np.empty(int(counts.sum()), np.int32)
+        of_id = np.repeat(easy, counts)
+        out[of_id] = codes
+        out[~of_id] = np.fromiter(chain.from_iterable(rest), np.int32, int(counts[~easy].sum()))
+        return out, counts
 
     return code

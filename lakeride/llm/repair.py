@@ -55,6 +55,7 @@ def compress(ids: np.ndarray, rules_a_round: int = RULES_A_ROUND, least_uses: in
     left: list[np.ndarray] = []
     right: list[np.ndarray] = []
     symbols = terminals
+    length = np.ones(terminals, np.uint32)
     while len(seq) >= 2 * least_uses:
         wide = symbols + rules_a_round > 0xFFFF
         code = (seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]) if wide else (seq[:-1] << np.uint32(16) | seq[1:])
@@ -69,12 +70,10 @@ def compress(ids: np.ndarray, rules_a_round: int = RULES_A_ROUND, least_uses: in
         seq = seq[keep]
         left.append(a)
         right.append(b)
+        length = np.concatenate([length, length[a] + length[b]])
         symbols += len(a)
     first = np.concatenate(left).astype(np.uint32) if left else np.empty(0, np.uint32)
     second = np.concatenate(right).astype(np.uint32) if right else np.empty(0, np.uint32)
-    length = np.ones(symbols, np.uint32)
-    for k, (x, y) in enumerate(zip(first.tolist(), second.tolist(), strict=True)):
-        length[terminals + k] = length[x] + length[y]
     return b"".join([MAGIC, np.array([terminals, len(first), len(seq)], "<u4").tobytes(),
                      seen.astype("<u4").tobytes(), first.astype("<u4").tobytes(), second.astype("<u4").tobytes(),
                      length[terminals:].astype("<u4").tobytes(),
@@ -132,10 +131,16 @@ class Shard:
         self.start = np.concatenate([[0], np.cumsum(self.length)[:-1]]).astype(np.int64) if t else np.empty(0, np.int64)
         self.flat = np.empty(int(self.length.sum()), np.uint32)
         self.flat[:t] = self.ids
-        for k, (a, b) in enumerate(zip(left.tolist(), right.tolist(), strict=True)):
-            o, la, lb = self.start[t + k], self.length[a], self.length[b]
-            self.flat[o:o + la] = self.flat[self.start[a]:self.start[a] + la]
-            self.flat[o + la:o + la + lb] = self.flat[self.start[b]:self.start[b] + lb]
+        # rules that refer to known symbols only are expanded together: as many steps as the grammar had rounds
+        newest, known = np.maximum.accumulate(np.maximum(left, right)) if r else left, 0
+        while known < r:
+            upto = int(np.searchsorted(newest, t + known))
+            if upto == known:
+                raise ValueError("a rule refers to a symbol that is not lower")
+            for side, begin in ((left, self.start[t + known:t + upto]), (right, self.start[t + known:t + upto] + self.length[left[known:upto]])):
+                many = self.length[side[known:upto]]
+                self.flat[pieces.ragged(begin, many)] = self.flat[pieces.ragged(self.start[side[known:upto]], many)]
+            known = upto
 
     def decode(self, begin: int = 0, end: int | None = None) -> np.ndarray:
         """The ids from ``begin`` up to ``end``; only the symbols that cover them are expanded."""
