@@ -12,7 +12,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterator
-from itertools import chain, repeat
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -76,6 +76,104 @@ def split_dropping_spaces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+# Classes of bytes. A run of letters, of digits or of other visible ASCII is a pre-token of both
+# kinds of vocabulary file; what is left to the library (LEFT) keeps its whole piece together.
+SPACE, BREAK, LETTER, DIGIT, SIGN, LEFT = range(6)
+
+
+def _byte_classes(letter_leads: range, line_break: int) -> bytes:
+    kind = np.full(256, LEFT, np.uint8)
+    kind[33:127], kind[ord("0"):ord("9") + 1] = SIGN, DIGIT
+    kind[ord("A"):ord("Z") + 1] = kind[ord("a"):ord("z") + 1] = LETTER
+    kind[0x80:0xC0] = kind[letter_leads.start:letter_leads.stop] = LETTER  # as UTF-8; other leads are left
+    kind[[ord("'"), ord("|")]] = LEFT  # contractions, special tokens
+    kind[[ord(" "), ord("\n")]] = SPACE, line_break
+    return kind.tobytes()
+
+
+# lead bytes of U+00C0 to U+024F, of which only the two signs below are no letters; to U+00FF where case matters
+_KEEPING, _IN_PIECES = (_byte_classes(range(0xC3, 0xCA), x) for x in (BREAK, LEFT))
+_DROPPING = _byte_classes(range(0xC3, 0xC4), SPACE)
+_LOWER = bytes(range(256)).lower()
+
+
+def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' bytes end to end and the edges of the texts in them."""
+    _, edges, data = texts.buffers()
+    edge = np.frombuffer(edges, np.int64, len(texts) + 1, 8 * texts.offset)
+    size = int(edge[-1] - edge[0])
+    return np.frombuffer(data, np.uint8, size, int(edge[0])) if size else np.empty(0, np.uint8), edge - edge[0]
+
+
+def _kinds(data: np.ndarray, classes: bytes) -> np.ndarray:
+    return np.frombuffer(data.tobytes().translate(classes), np.uint8) if len(data) else data
+
+
+def _starts(data: np.ndarray, kind: np.ndarray, piece: np.ndarray, left: np.ndarray, digits_alone: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(whether a pre-token begins at each byte, the bytes of pieces that stay whole): at ``piece``
+    and, in pieces with no byte ``left``, where the class changes."""
+    start = piece.copy()
+    start[1:] |= (kind[1:] != kind[:-1]) & (kind[:-1] != SPACE)
+    if digits_alone:
+        start |= kind == DIGIT
+    times = np.flatnonzero((data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7)))  # U+00D7, U+00F7
+    left = np.concatenate([np.flatnonzero(left), times])
+    if not len(left):
+        return start, left
+    edge = np.append(np.flatnonzero(piece), len(data))
+    whole = np.zeros(len(edge) - 1, bool)
+    whole[np.searchsorted(edge, left, "right") - 1] = True
+    at = np.flatnonzero(start)
+    own = piece[at]
+    start[at[whole[np.cumsum(own) - 1] & ~own]] = False
+    return start, ragged(edge[:-1][whole], np.diff(edge)[whole])
+
+
+def _strings(offsets: np.ndarray, data: np.ndarray) -> pa.Array:
+    return pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype(np.int64, copy=False)), pa.py_buffer(data))
+
+
+def split_keeping_pretokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The pieces of :func:`split_keeping_spaces`, those of ASCII and Latin letters cut into pre-tokens."""
+    regular = not pc.any(pc.match_substring_regex(texts, _IRREGULAR)).as_py()
+    if regular:
+        data, edge = _bytes_of(texts)
+    else:
+        pieces, per_text = split_keeping_spaces(texts)
+        data, bounds = _bytes_of(pieces)
+        edge = bounds[np.concatenate([[0], np.cumsum(per_text)])]
+    kind = _kinds(data, _KEEPING if regular else _IN_PIECES)
+    piece = (kind == SPACE) | (kind == BREAK) if regular else np.zeros(len(data), bool)
+    inside = edge if regular else bounds
+    piece[inside[inside < len(data)]] = True
+    left = kind == LEFT
+    if regular:
+        piece[1:] |= kind[:-1] == BREAK
+    else:
+        left |= (kind == SPACE) & ~piece
+    at = np.flatnonzero(_starts(data, kind, piece, left, False)[0])
+    return _strings(np.append(at, len(data)), data), np.diff(np.searchsorted(at, edge))
+
+
+def split_dropping_pretokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The pieces of :func:`split_dropping_spaces`, those of ASCII and Latin-1 letters cut into pre-tokens in lower case."""
+    data, edge = _bytes_of(texts)
+    kind = _kinds(data, _DROPPING)
+    seen = kind != SPACE
+    piece = seen.copy()
+    piece[1:] &= ~seen[:-1]
+    first = edge[edge < len(data)]
+    piece[first] = seen[first]
+    start, whole = _starts(data, kind, piece, kind == LEFT, True)
+    # a start at white space is the end of a word
+    start &= seen
+    low = _kinds(data, _LOWER).copy()
+    low[1:] += ((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] < 0x9F)) * np.uint8(0x20)
+    low[whole] = data[whole]
+    words = _strings(np.append(np.flatnonzero(start[seen]), np.count_nonzero(seen)), low[seen])
+    return words, np.diff(np.searchsorted(np.flatnonzero(start), edge))
+
+
 _IN_USE: list = []
 
 
@@ -154,7 +252,7 @@ def library_coder(path: str, keep_spaces: bool, cap: int = CACHE_PIECES) -> Piec
         tok.no_truncation()
         tok.no_padding()
         _CODERS[path, keep_spaces] = PieceCoder(
-            split_keeping_spaces if keep_spaces else split_dropping_spaces, _by_pretoken(tok, keep_spaces), cap)
+            split_keeping_pretokens if keep_spaces else split_dropping_pretokens, _single_pretokens(tok, keep_spaces), cap)
     return _CODERS[path, keep_spaces]
 
 
@@ -239,3 +337,26 @@ def _by_pretoken(tok, keep_spaces: bool, at_once: int = 5000) -> Callable:
         return out, counts
 
     return code
+
+
+def _single_pretokens(tok, keep_spaces: bool) -> Callable:
+    """Codes of pieces: what is one pre-token for certain goes to the library's model, the rest through :func:`_by_pretoken`."""
+    signs = r"[!-&(-/:-@\[-`{}~]+"
+    rule = " ?(?:[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+|[0-9]+|" if keep_spaces else "(?:[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|"
+    single = re.compile(rule + signs + ")").fullmatch
+    letters = byte_letters()
+    table, line_break, tokenize = str.maketrans({chr(b): c for b, c in letters.items()}), letters[10], tok.model.tokenize
+    by_pretoken = _by_pretoken(tok, keep_spaces)
+
+    def code(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        easy = [single(w) is not None for w in words]
+        text = "\n".join(compress(words, easy)).encode().decode("latin-1").translate(table)
+        rows = [[t.id for t in tokenize(w)] for w in text.split(line_break)] if text else []
+        if not all(easy):
+            rest, many = by_pretoken([w for w, e in zip(words, easy, strict=True) if not e])
+            own, others = iter(rows), iter(np.split(rest, np.cumsum(many)[:-1]))
+            rows = [next(own) if e else next(others).tolist() for e in easy]
+        counts = np.fromiter(map(len, rows), np.int64, len(rows))
+        return np.fromiter(chain.from_iterable(rows), np.int32, int(counts.sum())), counts
+
+    return code

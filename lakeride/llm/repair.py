@@ -85,33 +85,36 @@ def _choose(code: np.ndarray, most: int, least_uses: int):
     half = np.uint64(32) if code.dtype == np.uint64 else np.uint32(16)
     mask = code.dtype.type((1 << int(half)) - 1)
     none = (np.empty(0, np.uint32),) * 4
+    # a pair with enough uses is the same that many places further on in the sorted list
     ordered = np.sort(code)
-    edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    count = np.diff(np.append(edge, len(ordered)))
-    often = np.flatnonzero(count >= least_uses)
-    if not len(often):
+    same = np.flatnonzero(ordered[least_uses - 1:] == ordered[:len(ordered) - least_uses + 1])
+    if not len(same):
         return none
+    edge = np.flatnonzero(np.concatenate([[True], ordered[same[1:]] != ordered[same[:-1]]]))
+    count, often = np.diff(np.append(edge, len(same))), np.arange(len(edge))
     if len(often) > most:
-        often = often[np.argpartition(-count[often], most)[:most]]
+        often = often[np.argpartition(-count, most)[:most]]
     often = often[np.argsort(-count[often], kind="stable")]
-    pair = ordered[edge[often]]
+    pair = ordered[same[edge[often]]]
     # a small hash table finds the chosen pairs; of pairs that meet in a cell, the more frequent stays this round
-    mix = np.uint64(0x9E3779B97F4A7C15)
-    cell = lambda c: ((c.astype(np.uint64) * mix) >> np.uint64(46)).astype(np.int32)
-    table = np.full(1 << 18, -1, np.int32)
-    table[cell(pair)[::-1]] = np.arange(len(pair), dtype=np.int32)[::-1]
-    hit = table[cell(code)]
-    at = np.flatnonzero(hit >= 0)
-    at = at[pair[hit[at]] == code[at]]
+    mix, shift = (np.uint64(0x9E3779B97F4A7C15), np.uint64(46)) if code.dtype == np.uint64 else (np.uint32(0x9E3779B1), np.uint32(14))
+    cell = lambda c: (c * mix) >> shift
+    rule_of, pair_in = np.zeros(1 << 18, np.int32), np.zeros(1 << 18, code.dtype)
+    pair_in[0] = 1  # an empty cell holds a pair that belongs elsewhere
+    where = cell(pair)[::-1]
+    rule_of[where], pair_in[where] = np.arange(len(pair), dtype=np.int32)[::-1], pair[::-1]
+    spot = cell(code)
+    at = np.flatnonzero(pair_in[spot] == code)
     # neighbours overlap: in a run of touching positions every second one is taken
     run = np.concatenate([[True], np.diff(at) != 1]) if len(at) else np.empty(0, bool)
     begin = np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))
     at = at[(np.arange(len(at)) - begin) % 2 == 0]
-    uses = np.bincount(hit[at], minlength=len(pair))
+    hit = rule_of[spot[at]]
+    uses = np.bincount(hit, minlength=len(pair))
     kept = np.flatnonzero(uses >= 3)
     rank = np.full(len(pair), -1, np.int64)
     rank[kept] = np.arange(len(kept))
-    rule = rank[hit[at]]
+    rule = rank[hit]
     at, rule = at[rule >= 0], rule[rule >= 0]
     return (pair[kept] >> half).astype(np.uint32), (pair[kept] & mask).astype(np.uint32), at, rule.astype(np.uint32)
 
