@@ -67,3 +67,24 @@ def test_a_slice_of_texts_is_cut_like_a_copy_of_it(split):
         words, counts = split(texts.slice(k, 2))
         copy, same = split(pa.array(texts.slice(k, 2).to_pylist(), pa.large_string()))
         assert words.to_pylist() == copy.to_pylist() and counts.tolist() == same.tolist()
+
+
+def test_the_model_is_called_once_for_each_pretoken_of_a_packer():
+    class Model:
+        calls = 0
+
+        def tokenize(self, word):
+            Model.calls += 1
+            return tok.model.tokenize(word)
+
+    class Counted:
+        model = Model()
+
+        def encode(self, *args, **kw):
+            return tok.encode(*args, **kw)
+
+    tok, _ = _coder(WORD, False)
+    coder = pieces.PieceCoder(pieces.library_coder(WORD, False).split, pieces._single_pretokens(Counted(), False), 1000)
+    for k in range(0, len(_texts()), 20):
+        _equal(tok, coder, _texts()[k:k + 20])
+    assert Model.calls == len(WORDS) + len(SIGNS)
