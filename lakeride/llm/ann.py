@@ -6,6 +6,10 @@ distance pruning keeps diverse edges, and reverse edges are pruned the same
 way. Every node then gets in-edges from near nodes until the searches can reach
 it. All searches of a batch advance together as numpy arrays. Equal vectors
 are one node with a list of ids.
+
+A built shard is kept as rows of at most PIECE_BYTES, written in small row
+groups, so that no JVM ever holds a whole shard on its heap; only the Python
+worker that searches a shard puts its pieces together.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -28,6 +32,11 @@ LEAST_IN, LINKS = 3, 8
 ALPHA = 1.2
 #: queries that travel and search together
 QUERY_BLOCK = 256
+#: bytes of a built shard in one row; the writer looks at sizes after each such row (by default after a hundred)
+PIECE_BYTES = 256 << 10
+PIECE_WRITER = {"parquet.block.size": 8 << 20, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1}
+#: where there are more than SEARCH_TASKS shards, a task searches several, HELD_SHARDS at most, for the queries that it gets once
+SEARCH_TASKS, HELD_SHARDS = 128, 32
 
 
 def _distances(x: np.ndarray, data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -50,24 +59,38 @@ def beam_search(queries: np.ndarray, data: np.ndarray, graph: np.ndarray, entry:
     order = np.argsort(dist, axis=1, kind="stable")
     nodes, dist = np.take_along_axis(nodes, order, 1), np.take_along_axis(dist, order, 1)
     opened = nodes < 0
+    # a node that a beam had or turned down is not new to it again; the last column is for -1
+    known = np.zeros((n, len(data) + 1), bool)
+    known[:, -1] = True
+    known[np.arange(n)[:, None], nodes] = True
     active = np.arange(n)
     while len(active):
-        todo = ~opened[active]
-        active = active[todo.any(1)]
+        at = np.argmax(~opened[active], 1)
+        todo = ~opened[active, at]
+        active, at = active[todo], at[todo]
         if not len(active):
             break
-        at = np.argmax(~opened[active], 1)
         opened[active, at] = True
-        near = graph[nodes[active, at]].astype(np.int64)
-        # a node already in the beam, or twice in the list, is not new
-        near = np.where((near[:, :, None] == nodes[active][:, None, :]).any(2), -1, near)
-        merged = np.concatenate([nodes[active], near], 1)
-        far = np.concatenate([dist[active], _distances(queries[active], data, near)], 1)
-        done = np.concatenate([opened[active], near < 0], 1)
+        near = graph[nodes[active, at]]
+        row, column = np.nonzero(~known[active[:, None], near])
+        new, owner = near[row, column].astype(np.int64), active[row]
+        known[owner, new] = True
+        d = data[new] - queries[owner]
+        d = np.einsum("ij,ij->i", d, d)
+        # only what is nearer than the last of the beam comes in
+        row, new, d = (x[d < dist[owner, -1]] for x in (row, new, d))
+        if not len(row):
+            continue
+        rows, many = np.unique(row, return_counts=True)
+        some, width = active[rows], int(many.max())
+        slot = np.repeat(np.arange(len(rows)), many), beam + ragged(np.zeros(len(rows), np.int64), many)
+        merged, far, done = (np.full((len(rows), beam + width), x) for x in (np.int64(-1), np.inf, True))
+        merged[:, :beam], far[:, :beam], done[:, :beam] = nodes[some], dist[some], opened[some]
+        merged[slot], far[slot], done[slot] = new, d, False
         keep = np.argsort(far, axis=1, kind="stable")[:, :beam]
-        nodes[active] = np.take_along_axis(merged, keep, 1)
-        dist[active] = np.take_along_axis(far, keep, 1)
-        opened[active] = np.take_along_axis(done, keep, 1)
+        nodes[some] = np.take_along_axis(merged, keep, 1)
+        dist[some] = np.take_along_axis(far, keep, 1)
+        opened[some] = np.take_along_axis(done, keep, 1)
     return nodes, dist
 
 
@@ -189,20 +212,46 @@ def link_unreached(data: np.ndarray, graph: np.ndarray, entry: np.ndarray, beam:
 
 
 def valid_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """(vec_id, vec) of the rows that take part: no null, no zero vector, only finite components."""
-    v = vectors.select(vectors[id_col].cast("long").alias("vec_id"), vectors[vec_col].cast("array<double>").alias("vec"))
+    """(vec_id, vec) of the rows that take part: no null, no zero vector, only finite components. Floats stay floats, all else is doubles."""
+    kind = "array<float>" if vectors.schema[vec_col].dataType.simpleString() == "array<float>" else "array<double>"
+    v = vectors.select(vectors[id_col].cast("long").alias("vec_id"), vectors[vec_col].cast(kind).alias("vec"))
     bad = F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return v.where(F.col("vec_id").isNotNull() & F.col("vec").isNotNull() & (F.size("vec") > 0)
                    & ~F.coalesce(bad, F.lit(True)) & F.exists("vec", lambda x: x != 0))
 
 
+def _hash(*columns: str) -> Column:
+    """The same for a vector of floats and of doubles."""
+    return F.xxhash64(*(F.col(c).cast("array<double>") if c == "vec" else F.col(c) for c in columns))
+
+
 def _counted(vectors: DataFrame) -> DataFrame:
     """(vec_id, vec, copies): rows that repeat id and vector are counted, map-side first."""
     return vectors.groupBy("vec_id", "vec").agg(F.count("*").alias("copies"))
 
 
+def _packed(ids: np.ndarray, copies: np.ndarray, sizes: np.ndarray, data: np.ndarray, graph: np.ndarray, entry: np.ndarray) -> bytes:
+    """A built shard as bytes; vectors that floats hold exactly are kept as floats."""
+    with np.errstate(over="ignore"):
+        short = data.astype(np.float32)
+    vecs = short if (short == data).all() else data
+    head = np.array([len(ids), len(data), len(entry), vecs.itemsize], np.int64)
+    return b"".join(x.tobytes() for x in (head, ids, copies, sizes, entry, vecs, graph))
+
+
+def _unpacked(payload: bytes, dim: int) -> tuple[np.ndarray, ...]:
+    """(ids, copies, sizes, data, graph, entry) of what ``_packed`` made."""
+    n_ids, n, n_entry, width = np.frombuffer(payload, np.int64, 4).tolist()
+    at, out = 32, []
+    for kind, many in ((np.int64, n_ids), (np.int64, n_ids), (np.int64, n), (np.int64, n_entry), (f"f{width}", n * dim)):
+        out.append(np.frombuffer(payload, kind, many, at))
+        at += out[-1].nbytes
+    ids, copies, sizes, entry, vecs = out
+    return ids, copies, sizes, vecs.astype(np.float64).reshape(n, dim), np.frombuffer(payload, np.int32, offset=at).reshape(n, -1), entry
+
+
 def build_index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, int]:
-    """One row per shard and length of vector: (shard, dim, ids, copies, sizes, vecs, graph, entry); and the number of shards."""
+    """Shards by length of vector, each in rows (shard, dim, part, piece) of at most PIECE_BYTES; and the number of shards."""
     n = vectors.count()
     shards = max(1, -(-n // shard_rows))
 
@@ -216,60 +265,74 @@ def build_index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[DataF
         order = np.lexsort((ids, group.ravel()))  # ids of a node ascend
         size = np.bincount(group.ravel(), minlength=len(first)).astype(np.int64)
         graph, entry = build_graph(data)
-        return pd.DataFrame({"shard": [key[0]], "dim": [key[1]], "ids": [ids[order].tobytes()], "copies": [copies[order].tobytes()],
-                             "sizes": [size.tobytes()], "vecs": [data.tobytes()], "graph": [graph.tobytes()], "entry": [entry.tobytes()]})
+        payload = _packed(ids[order], copies[order], size, data, graph, entry)
+        pieces = [payload[x:x + PIECE_BYTES] for x in range(0, len(payload), PIECE_BYTES)]
+        return pd.DataFrame({"shard": key[0], "dim": key[1], "part": range(len(pieces)), "piece": pieces})
 
-    dealt = _counted(vectors).select(F.pmod(F.xxhash64("vec_id", "vec"), F.lit(shards)).cast("int").alias("shard"),
+    dealt = _counted(vectors).select(F.pmod(_hash("vec_id", "vec"), F.lit(shards)).cast("int").alias("shard"),
                                      F.size("vec").alias("dim"), "vec_id", "vec", "copies")
-    index = dealt.groupBy("shard", "dim").applyInPandas(
-        build, "shard int, dim int, ids binary, copies binary, sizes binary, vecs binary, graph binary, entry binary")
-    return materialize(index, "ann-index"), shards
+    index = dealt.groupBy("shard", "dim").applyInPandas(build, "shard int, dim int, part int, piece binary")
+    return materialize(index, "ann-index", PIECE_WRITER), shards
 
 
 def search(index: DataFrame, shards: int, queries: DataFrame, k: int = 10, beam: int = QUERY_BEAM) -> DataFrame:
     """(query_id, rank, vec_id, score) of each query's k nearest found in all shards.
 
-    Queries travel in blocks, and every block visits every shard. A shard
-    answers with its k best, so what is merged per query is k rows a shard.
+    Queries travel in blocks, and every block visits every shard. The shards
+    are dealt to tasks; a task reads the pieces of its shards first and then
+    block after block, which searches each of them. A task answers with its k
+    best, so what is merged per query is k rows a task.
     """
     counted = _counted(queries)
+    tasks = -(-shards // min(HELD_SHARDS, max(1, shards // SEARCH_TASKS)))
     # queries that share an id are told apart by a hash of their vector
-    block = F.pmod(F.xxhash64("vec_id", "vec"), F.greatest(F.lit(1), F.ceil(F.lit(counted.count()) / QUERY_BLOCK))).cast("int")
-    blocks = (counted.select(F.size("vec").alias("dim"), block.alias("block"),
-                             F.struct("vec_id", "vec", "copies", F.xxhash64("vec").alias("hash")).alias("q"))
+    block = F.pmod(_hash("vec_id", "vec"), F.greatest(F.lit(1), F.ceil(F.lit(counted.count()) / QUERY_BLOCK))).cast("int")
+    blocks = (counted.select(F.size("vec").alias("dim"), block.alias("block"), F.struct("vec_id", "vec", "copies", _hash("vec").alias("hash")).alias("q"))
               .groupBy("dim", "block").agg(F.collect_list("q").alias("q")))
-    visits = blocks.select("dim", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "q")
-    both = index.join(visits, ["shard", "dim"])
+    visits = blocks.select(F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))).alias("task"), "dim", "q")
+    pieces = index.select(F.pmod("shard", F.lit(tasks)).alias("task"), "dim", "shard", "part", "piece")
+    # within a task and a length the pieces come before the queries, which have no shard
+    both = (pieces.unionByName(visits, allowMissingColumns=True).repartitionById(tasks, F.col("task"))
+            .sortWithinPartitions("dim", F.col("shard").asc_nulls_last(), "part").select("dim", "shard", "piece", "q"))
+
+    def answers(held: dict[int, list[bytes]], dim: int, q: list[dict]) -> pa.RecordBatch:
+        x = np.array([one["vec"] for one in q], np.float64)
+        found: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in q]
+        for payload in held.values():
+            ids, copies, size, data, graph, entry = _unpacked(b"".join(payload), dim)
+            nodes, _ = beam_search(x, data, graph, entry, max(beam, k + 1))
+            first = np.cumsum(size) - size
+            for j, one in enumerate(q):
+                hit = nodes[j][nodes[j] >= 0]
+                score = np.sqrt(((data[hit] - x[j]) ** 2).sum(1))
+                many = np.minimum(size[hit], k + 1)  # the smallest ids of equal vectors are enough
+                at = ragged(first[hit], many)
+                score, vec = np.repeat(score, many), ids[at]
+                # the query's own row is no candidate, its copies are
+                times = np.minimum(copies[at] - ((vec == one["vec_id"]) & (score == 0)), k)
+                score, vec = np.repeat(score, times), np.repeat(vec, times)
+                best = np.lexsort((vec, score))[:k]
+                found[j].append((vec[best], score[best]))
+        out: list[list] = [[] for _ in range(5)]
+        for one, parts in zip(q, found, strict=True):
+            vec, score = (np.concatenate(c) for c in zip(*parts, strict=True))
+            best = np.lexsort((vec, score))[:k]
+            for column, part in zip(out, (np.full(len(best), one["vec_id"]), np.full(len(best), one["hash"]),
+                                          np.full(len(best), one["copies"]), vec[best], score[best]), strict=True):
+                column.append(part)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["query_id", "hash", "times", "vec_id", "score"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        length, held = None, {}
         for batch in batches:
-            for i in range(batch.num_rows):
-                row = {name: batch.column(j)[i] for j, name in enumerate(batch.schema.names)}
-                dim = row["dim"].as_py()
-                read = lambda name, kind: np.frombuffer(row[name].as_buffer(), kind)  # noqa: B023, E731
-                ids, copies, size = read("ids", np.int64), read("copies", np.int64), read("sizes", np.int64)
-                data = read("vecs", np.float64).reshape(-1, dim)
-                graph = read("graph", np.int32).reshape(len(data), -1)
-                q = row["q"].as_py()
-                x = np.array([one["vec"] for one in q], np.float64)
-                nodes, _ = beam_search(x, data, graph, read("entry", np.int64), max(beam, k + 1))
-                first = np.cumsum(size) - size
-                out: list[list] = [[] for _ in range(5)]
-                for j, one in enumerate(q):
-                    hit = nodes[j][nodes[j] >= 0]
-                    score = np.sqrt(((data[hit] - x[j]) ** 2).sum(1))
-                    many = np.minimum(size[hit], k + 1)  # the smallest ids of equal vectors are enough
-                    at = ragged(first[hit], many)
-                    score, vec = np.repeat(score, many), ids[at]
-                    # the query's own row is no candidate, its copies are
-                    times = np.minimum(copies[at] - ((vec == one["vec_id"]) & (score == 0)), k)
-                    score, vec = np.repeat(score, times), np.repeat(vec, times)
-                    best = np.lexsort((vec, score))[:k]
-                    for column, part in zip(out, (np.full(len(best), one["vec_id"]), np.full(len(best), one["hash"]),
-                                                  np.full(len(best), one["copies"]), vec[best], score[best]), strict=True):
-                        column.append(part)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out],
-                                                 ["query_id", "hash", "times", "vec_id", "score"])
+            dims, owners = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for i, (dim, shard) in enumerate(zip(dims, owners, strict=True)):
+                if dim != length:
+                    length, held = dim, {}
+                if shard is not None:
+                    held.setdefault(shard, []).append(batch.column(2)[i].as_py())
+                elif held:  # no shard of this length: nothing to find here
+                    yield answers(held, dim, batch.column(3)[i].as_py())
 
     found = both.mapInArrow(run, "query_id long, hash long, times long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id", "hash").orderBy("score", "vec_id"))

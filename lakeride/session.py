@@ -79,9 +79,9 @@ def local_dir(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, options: dict | None = None):
     """Cut lineage by writing ``df`` once as Parquet under the shared
-    checkpoint folder and reading it back.
+    checkpoint folder and reading it back. ``options``: of the writer.
 
     Unlike an unpersisted ``checkpoint()``, which computes its input once
     for the action and again to write the files, this computes it once; the
@@ -89,5 +89,5 @@ def materialize(df, name: str):
     normal file splits."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").options(**(options or {})).parquet(path)
     return spark.read.parquet(path)

@@ -117,3 +117,69 @@ def test_pruning_keeps_diverse_edges():
 def test_query_covers_every_hundredth(spark):
     got = catalog.QUERIES["op4_pruned_graph"](spark, "/root/testdata/sf0.01")
     assert got.groupBy("query_id").count().where("count = 10 and query_id % 100 = 0").count() == 5
+
+
+def _normal(n, dim, seed=6):
+    return [(i, [float(x) for x in v], 0) for i, v in enumerate(np.random.default_rng(seed).normal(size=(n, dim)).astype(np.float32))]
+
+
+def test_an_index_is_kept_in_small_rows_and_row_groups(spark):
+    import pyarrow.parquet as pq
+
+    vectors = spark.createDataFrame(_normal(3000, 512), SCHEMA)
+    index, shards = ann.build_index(ann.valid_vectors(vectors), shard_rows=500)
+    assert shards == 6
+    kept = [c for c, kind in index.dtypes if kind == "binary"]
+    sizes = index.select(sum(F.octet_length(c) for c in kept).alias("n")).agg(F.max("n"), F.sum("n")).head()
+    assert sizes[0] <= ann.PIECE_BYTES and sizes[1] > 3000 * 512 * 4  # floats are kept as floats
+    groups = [pq.ParquetFile(path.removeprefix("file:")).metadata for path in index.inputFiles()]
+    assert max(m.row_group(i).total_byte_size for m in groups for i in range(m.num_row_groups)) < 2 * ann.PIECE_WRITER["parquet.block.size"]
+
+
+def test_tasks_that_search_several_shards_find_the_same(spark, monkeypatch):
+    rows = _normal(900, 64) + [(i, v, 0) for i, v, _ in _normal(300, 7)] + [(5000 + i, [0.5] * 64, 0) for i in range(30)]
+    vectors = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    asked = ann.valid_vectors(vectors.where("vec_id % 50 = 0 or vec_id = 5001"))
+    index, shards = ann.build_index(ann.valid_vectors(vectors), shard_rows=150)
+    assert shards == 9
+    ask = lambda: sorted(tuple(r) for r in ann.search(index, shards, asked).collect())
+    want = ask()
+    assert len(want) == 10 * (18 + 6 + 2)
+    monkeypatch.setattr(ann, "SEARCH_TASKS", 2)
+    monkeypatch.setattr(ann, "PIECE_BYTES", 5000)
+    index, shards = ann.build_index(ann.valid_vectors(vectors), shard_rows=150)
+    assert index.where("shard = 0 and dim = 64").count() > 1
+    found = ann.search(index, shards, asked)
+    assert sorted(tuple(r) for r in found.collect()) == want
+    doubles = vectors.withColumn("embedding", F.expr("transform(embedding, x -> cast(x as double))"))
+    index, shards = ann.build_index(ann.valid_vectors(doubles), shard_rows=150)
+    got = ann.search(index, shards, ann.valid_vectors(doubles.where("vec_id % 50 = 0 or vec_id = 5001")))
+    assert sorted(tuple(r) for r in got.collect()) == want
+
+
+def test_a_shard_is_unpacked_as_it_was():
+    rng = np.random.default_rng(8)
+    for data in (rng.normal(size=(70, 5)), rng.normal(size=(70, 5)).astype(np.float32).astype(float), np.array([[1e300, 1.0]])):
+        graph, entry = ann.build_graph(data)
+        size = np.full(len(data), 2)
+        made = (np.arange(2 * len(data)), np.ones(2 * len(data), np.int64), size, data, graph, entry)
+        for a, b in zip(made, ann._unpacked(ann._packed(*made), data.shape[1]), strict=True):
+            assert a.dtype == b.dtype and np.array_equal(a, b)
+
+
+def test_beam_search_opens_the_nearest_until_all_are_open():
+    rng = np.random.default_rng(9)
+    for data in (rng.integers(0, 4, (300, 3)).astype(float), rng.normal(size=(300, 8))):
+        data = np.unique(data, axis=0)
+        graph, entry = ann.build_graph(data, degree=6, beam=12)
+        asked = np.concatenate([data[:20], data[-20:] + 0.25])
+        nodes, dist = ann.beam_search(asked, data, graph, entry, 10)
+        for x, found, far in zip(asked, nodes, dist, strict=True):
+            d = ((data - x) ** 2).sum(1)
+            beam, opened = sorted(entry.tolist(), key=lambda i: d[i])[:10], set()
+            while left := [i for i in beam if i not in opened]:
+                opened.add(left[0])
+                # equal ones stay in the order they came
+                beam = sorted(beam + [i for i in graph[left[0]].tolist() if i >= 0 and i not in beam], key=lambda i: d[i])[:10]
+            want = beam + [-1] * (10 - len(beam))
+            assert found.tolist() == want and far[found >= 0] == pytest.approx(d[beam], abs=1e-12)
