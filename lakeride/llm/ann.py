@@ -32,9 +32,10 @@ LEAST_IN, LINKS = 3, 8
 ALPHA = 1.2
 #: queries that travel and search together
 QUERY_BLOCK = 256
-#: bytes of a built shard in one row; the writer looks at sizes after each such row (by default after a hundred)
+#: bytes of a built shard in one row
 PIECE_BYTES = 256 << 10
-PIECE_WRITER = {"parquet.block.size": 8 << 20, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1}
+#: a writer keeps a row group on the heap (by default 128 MB in each task), and looks at its size every hundred rows unless told otherwise
+WRITER = {"parquet.block.size": 8 << 20, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1}
 #: where there are more than SEARCH_TASKS shards, a task searches several, HELD_SHARDS at most, for the queries that it gets once
 SEARCH_TASKS, HELD_SHARDS = 128, 32
 
@@ -213,8 +214,9 @@ def link_unreached(data: np.ndarray, graph: np.ndarray, entry: np.ndarray, beam:
 
 def valid_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(vec_id, vec) of the rows that take part: no null, no zero vector, only finite components. Floats stay floats, all else is doubles."""
-    kind = "array<float>" if vectors.schema[vec_col].dataType.simpleString() == "array<float>" else "array<double>"
-    v = vectors.select(vectors[id_col].cast("long").alias("vec_id"), vectors[vec_col].cast(kind).alias("vec"))
+    v = vectors.select(vectors[id_col].cast("long").alias("vec_id"), vectors[vec_col].alias("vec"))
+    if v.schema["vec"].dataType.simpleString() != "array<float>":
+        v = v.withColumn("vec", F.col("vec").cast("array<double>"))
     bad = F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return v.where(F.col("vec_id").isNotNull() & F.col("vec").isNotNull() & (F.size("vec") > 0)
                    & ~F.coalesce(bad, F.lit(True)) & F.exists("vec", lambda x: x != 0))
@@ -272,7 +274,7 @@ def build_index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[DataF
     dealt = _counted(vectors).select(F.pmod(_hash("vec_id", "vec"), F.lit(shards)).cast("int").alias("shard"),
                                      F.size("vec").alias("dim"), "vec_id", "vec", "copies")
     index = dealt.groupBy("shard", "dim").applyInPandas(build, "shard int, dim int, part int, piece binary")
-    return materialize(index, "ann-index", PIECE_WRITER), shards
+    return materialize(index, "ann-index", WRITER), shards
 
 
 def search(index: DataFrame, shards: int, queries: DataFrame, k: int = 10, beam: int = QUERY_BEAM) -> DataFrame:
@@ -350,6 +352,6 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     null ids; vectors are compared with those of their own length only. Empty
     tables give no rows. Other columns are ignored, whatever their names.
     """
-    data, asked = materialize(valid_vectors(vectors), "ann-vectors"), valid_vectors(queries)
+    data, asked = materialize(valid_vectors(vectors), "ann-vectors", WRITER), valid_vectors(queries)
     index, shards = build_index(data)
     return search(index, shards, asked, k)
