@@ -7,9 +7,9 @@ way. Every node then gets in-edges from near nodes until the searches can reach
 it. All searches of a batch advance together as numpy arrays. Equal vectors
 are one node with a list of ids.
 
-A built shard is kept as rows of at most PIECE_BYTES, written in small row
-groups, so that no JVM ever holds a whole shard on its heap; only the Python
-worker that searches a shard puts its pieces together.
+A built shard is kept as rows of at most PIECE_BYTES in small row groups, so
+that writers and readers need little heap; the Python worker that searches a
+shard puts its pieces together.
 """
 
 from __future__ import annotations
